@@ -79,3 +79,24 @@ def predict_a(md) -> F.Column:
 def predict_b(md) -> F.Column:
     """FX4 second model: 'an' -> 'en'."""
     return F.replace(md, F.lit("an"), F.lit("en"))
+
+
+def books(spark: SparkSession, sf_dir: str, seed: str = "42") -> DataFrame:
+    """Candidate books: one per (lang, source); candidate order is a seeded random rank (FX12)."""
+    from pyspark.sql import Window
+
+    d = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(
+        F.min_by("text", "doc_id").alias("first_text"))
+    rank = F.md5(F.concat_ws("|", F.lit(seed), book_id_col()))
+    return d.select(
+        "lang", book_id_col().alias("book_id"),
+        F.substring(F.split("first_text", "\n")[0], 1, 70).alias("title"),
+        F.array(F.concat(F.lit("Author "), F.col("source"))).alias("authors"),
+        F.row_number().over(Window.partitionBy("lang").orderBy(rank)).cast("bigint").alias("cand_rank"),
+    )
+
+
+def rendered(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
+    """Pages whose image exists: every chunk except those of documents labelled toxic and low quality."""
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1 AND quality = 0").select(F.col("doc_id").alias("section_pos"))
+    return chunks.join(toxic, "section_pos", "left_anti").select("book_id", "chunk_idx")

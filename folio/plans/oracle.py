@@ -100,3 +100,57 @@ chunks AS (
          count(*) OVER (PARTITION BY book_id) AS n_chunks, section_id, md
   FROM pieces
 )"""
+
+
+def zone_sql(idx: str, n: str, p: Params) -> str:
+    m = f"least({p.n_front_mandatory}, {n})"
+    fs = f"greatest({p.strata_map['front'] + 1}, ({n} - {m}) // 10)"
+    w = f"least({fs}, ({n} - {m}) // 3)"
+    return (f"CASE WHEN {idx} < {m} THEN 'mandatory' WHEN {idx} < {m} + {w} THEN 'front' "
+            f"WHEN {idx} < {n} - {w} THEN 'body' ELSE 'back' END")
+
+
+def sample_ctes(p: Params) -> str:
+    """After ``chunks_ctes``: zoned, sampled, rendered, pages, gate."""
+    ks = " ".join(f"WHEN '{z}' THEN {k}" for z, k in p.strata)
+    return f""",
+zoned AS (SELECT book_id, chunk_idx, n_chunks, section_pos, {zone_sql('chunk_idx', 'n_chunks', p)} AS zone FROM chunks),
+ranked AS (
+  SELECT book_id, chunk_idx, zone,
+         row_number() OVER (PARTITION BY book_id, zone ORDER BY
+            CASE WHEN zone = 'mandatory' THEN lpad(CAST(chunk_idx AS VARCHAR), 20, '0')
+                 ELSE md5('{p.seed}|' || book_id || '|' || CAST(chunk_idx AS VARCHAR)) END, chunk_idx) AS sample_pos
+  FROM zoned WHERE n_chunks >= 10
+),
+sampled AS (
+  SELECT book_id, chunk_idx, zone, sample_pos FROM ranked
+  WHERE sample_pos <= CASE zone WHEN 'mandatory' THEN {p.n_front_mandatory} {ks} END
+),
+rendered AS (
+  SELECT book_id, chunk_idx FROM chunks
+  WHERE section_pos NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND quality = 0)
+),
+pages AS (SELECT s.* FROM sampled s SEMI JOIN rendered r USING (book_id, chunk_idx)),
+gate AS (
+  SELECT b.book_id, b.n_chunks,
+         coalesce(s.n_sampled, 0) AS n_sampled, coalesce(g.n_pages, 0) AS n_pages,
+         b.n_chunks >= 10 AND coalesce(g.n_pages, 0) >= {p.n_pages} AS accepted
+  FROM (SELECT book_id, max(n_chunks) AS n_chunks FROM chunks GROUP BY book_id) b
+  LEFT JOIN (SELECT book_id, count(*) AS n_sampled FROM sampled GROUP BY book_id) s USING (book_id)
+  LEFT JOIN (SELECT book_id, count(*) AS n_pages FROM pages GROUP BY book_id) g USING (book_id)
+)"""
+
+
+def books_sql(seed: str = "42") -> str:
+    return f"""SELECT lang, book_id, title, authors,
+       row_number() OVER (PARTITION BY lang ORDER BY md5('{seed}|' || book_id)) AS cand_rank
+FROM (
+  SELECT lang, lang || '_' || source AS book_id,
+         left(string_split(arg_min(text, doc_id), chr(10))[1], 70) AS title,
+         ['Author ' || source] AS authors
+  FROM documents GROUP BY lang, source
+)"""
+
+
+def slug_sql(title: str) -> str:
+    return f"trim(left(regexp_replace({title}, '[^\\p{{L}}\\p{{N}}\\p{{M}}_\\-]', '_', 'g'), 60), '_')"

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folio.operators import chunk as C
+from folio.operators import dataset as D
+from folio.operators import sample as S
+from folio.functions import text as T
 from folio.params import Params
 from folio.plans import fixtures as fx
 from folio.plans import oracle as O
@@ -78,5 +81,88 @@ SELECT book_id, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md FROM
 def q_chunk_index(spark, sf):
     return C.index_chunks(fx.sections(spark, sf), GATE_PARAMS) \
             .withColumn("piece_pos", F.col("piece_pos").cast("bigint"))
+
+
+# ---------------------------------------------------------------- sampling and gates
+
+def _gate_chunks(spark, sf):
+    return C.index_chunks(fx.sections(spark, sf), GATE_PARAMS)
+
+
+def _sample_sql(select):
+    return f"""WITH RECURSIVE {O.chunks_ctes(O.sections_sql(), GATE_PARAMS)}{O.sample_ctes(GATE_PARAMS)}
+{select}"""
+
+
+@register("zones", lambda: _sample_sql("SELECT book_id, chunk_idx, n_chunks, zone FROM zoned"))
+def q_zones(spark, sf):
+    return S.assign_zones(_gate_chunks(spark, sf), GATE_PARAMS).select("book_id", "chunk_idx", "n_chunks", "zone")
+
+
+@register("stratified_sample", lambda: _sample_sql("SELECT book_id, chunk_idx, zone, sample_pos FROM sampled"))
+def q_stratified_sample(spark, sf):
+    ch = _gate_chunks(spark, sf).filter("n_chunks >= 10")
+    return S.stratified_sample(S.assign_zones(ch, GATE_PARAMS), GATE_PARAMS)
+
+
+def _gate(spark, sf):
+    ch = _gate_chunks(spark, sf)
+    return S.book_gate(ch, fx.rendered(spark, sf, ch), GATE_PARAMS)
+
+
+@register("book_gate", lambda: _sample_sql("SELECT book_id, n_chunks, n_sampled, n_pages, accepted FROM gate"))
+def q_book_gate(spark, sf):
+    return _gate(spark, sf)[0]
+
+
+@register("accepted_books", lambda: _sample_sql(f"""SELECT lang, book_id, cand_rank, n_chunks, n_pages, accept_pos FROM (
+  SELECT c.lang, g.*, c.cand_rank,
+         row_number() OVER (PARTITION BY c.lang ORDER BY c.cand_rank, g.book_id) AS accept_pos
+  FROM gate g JOIN ({O.books_sql()}) c USING (book_id) WHERE g.accepted
+) WHERE accept_pos <= {GATE_PARAMS.n_books}"""))
+def q_accepted_books(spark, sf):
+    books, _ = _gate(spark, sf)
+    cands = fx.books(spark, sf).select("lang", "book_id", "cand_rank")
+    return S.first_accepted(books.join(cands, "book_id"), GATE_PARAMS).select(
+        "lang", "book_id", "cand_rank", "n_chunks", "n_pages", "accept_pos")
+
+
+@register("dataset_metadata", lambda: _sample_sql(f"""SELECT lang, book_id, title, to_json(authors) AS authors_json,
+  to_json(list(struct_pack(page_idx := CAST(chunk_idx AS INTEGER), zone := zone,
+      img_path := lang || '/' || book_id || '_' || {O.slug_sql('title')} || '/pages/' || printf('page_%04d.jpg', chunk_idx),
+      md_path := lang || '/' || book_id || '_' || {O.slug_sql('title')} || '/pages/' || printf('page_%04d.md', chunk_idx))
+    ORDER BY CASE zone WHEN 'mandatory' THEN 0 WHEN 'front' THEN 1 WHEN 'body' THEN 2 ELSE 3 END, sample_pos)) AS pages_json
+FROM (
+  SELECT c.lang, c.title, c.authors, p.* FROM pages p JOIN ({O.books_sql()}) c USING (book_id)
+  WHERE p.book_id IN (SELECT book_id FROM (
+     SELECT g.book_id, row_number() OVER (PARTITION BY c2.lang ORDER BY c2.cand_rank, g.book_id) AS ap
+     FROM gate g JOIN ({O.books_sql()}) c2 USING (book_id) WHERE g.accepted) WHERE ap <= {GATE_PARAMS.n_books})
+) GROUP BY lang, book_id, title, authors"""))
+def q_dataset_metadata(spark, sf):
+    books, pages = _gate(spark, sf)
+    cands = fx.books(spark, sf)
+    first = S.first_accepted(books.join(cands.select("lang", "book_id", "cand_rank"), "book_id"), GATE_PARAMS)
+    pages = pages.join(first.select("book_id"), "book_id", "left_semi")
+    meta = D.book_metadata(D.page_records(pages, cands), cands)
+    return meta.select("lang", "book_id", "title", F.to_json("authors").alias("authors_json"),
+                       F.to_json("pages").alias("pages_json"))
+
+
+@register("full_book_md", lambda: f"""SELECT book_id, section_pos,
+  CASE WHEN section_pos = min(section_pos) OVER (PARTITION BY book_id) THEN md
+       ELSE chr(10) || chr(10) || '---' || chr(10) || chr(10) || md END AS part
+FROM ({O.sections_sql()})""")
+def q_full_book_md(spark, sf):
+    return D.full_book_parts(fx.sections(spark, sf))
+
+
+@register("book_slug", lambda: f"""SELECT lang, book_id, title, {O.slug_sql('title')} AS slug,
+  book_id || '_' || {O.slug_sql('title')} AS book_dir FROM ({O.books_sql()})""")
+def q_book_slug(spark, sf):
+    b = fx.books(spark, sf)
+    return b.select("lang", "book_id", "title", T.title_slug("title").alias("slug"),
+                    D.book_dir("book_id", "title").alias("book_dir"))
+
+
 def flagship(spark, sf):
-    raise NotImplementedError
+    return q_book_gate(spark, sf)
