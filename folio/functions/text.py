@@ -82,3 +82,21 @@ def model_slug(model_id) -> Column:
 def page_name(idx, ext: str) -> Column:
     """``page_0007.<ext>`` style file name."""
     return F.format_string(f"page_%04d.{ext}", col(idx))
+
+
+def posexplode_rows(df, keep, arr, pos: str, val: str):
+    """Rows of array ``arr`` with their 0-based position; empty arrays give no row.
+
+    The *_outer generator is used on purpose: a plain explode makes the optimizer
+    infer ``size(arr) > 0`` and push that filter (with the whole array expression
+    inlined) below the projection that computes the array, so the array would be
+    computed twice.
+    """
+    return (df.select(*keep, F.posexplode_outer(arr).alias(pos, val))
+              .filter(F.col(pos).isNotNull()))
+
+
+def explode_rows(df, keep, arr, val: str):
+    """Like ``posexplode_rows`` without the position."""
+    return (df.select(*keep, F.posexplode_outer(arr).alias("_pos", val))
+              .filter(F.col("_pos").isNotNull()).drop("_pos"))

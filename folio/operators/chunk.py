@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.functions.text import col, py_strip
+from folio.functions.text import col, posexplode_rows, py_strip
 from folio.params import Params
 
 # A page marker "[p. N]" starts a new piece; the marker stays with its piece.
@@ -23,15 +23,10 @@ def paragraphs(md) -> Column:
     return F.filter(F.transform(F.split(col(md), r"\n{2,}"), py_strip), lambda p: p != "")
 
 
-def pack_paragraphs(paras, limit: int, min_chars: int) -> Column:
-    """Greedy packing: add paragraphs until their summed length reaches ``limit``,
-    then close the block; blocks are joined by a blank line and end with a newline.
-    A last, unfilled block is kept only if it has ``min_chars`` characters.
-
-    The accumulator only records the index of each closing paragraph, so its cost
-    grows with the number of blocks, not with the number of paragraphs.
-    """
-    paras = col(paras)
+def pack_ends(paras, limit: int) -> Column:
+    """Greedy packing, pass 1: indices of the paragraphs that close a block. A block
+    closes when the summed length of its paragraphs (separators not counted) reaches
+    ``limit``. The accumulator only grows at block ends."""
     init = F.struct(
         F.array().cast("array<int>").alias("ends"),
         F.lit(0).cast("long").alias("run"),
@@ -47,7 +42,17 @@ def pack_paragraphs(paras, limit: int, min_chars: int) -> Column:
             (acc["i"] + 1).alias("i"),
         )
 
-    ends = F.aggregate(paras, init, step)["ends"]
+    return F.aggregate(col(paras), init, step)["ends"]
+
+
+def pack_blocks(paras, ends, min_chars: int) -> Column:
+    """Greedy packing, pass 2: blocks joined by a blank line, each ending with a newline;
+    the unfilled tail is kept only with ``min_chars`` characters.
+
+    ``paras`` and ``ends`` must be column references (materialised by an earlier
+    projection): lambdas re-evaluate any expression they mention once per element.
+    """
+    paras, ends = col(paras), col(ends)
 
     def block(e, j):
         start = F.when(j == 0, F.lit(0)).otherwise(F.element_at(ends, j) + 1)  # 0-based
@@ -61,6 +66,14 @@ def pack_paragraphs(paras, limit: int, min_chars: int) -> Column:
     return F.when(keep_tail, F.array_append(full, F.concat(tail, F.lit("\n")))).otherwise(full)
 
 
+def with_packed(df: DataFrame, md: str, out: str, limit: int, min_chars: int) -> DataFrame:
+    """Adds ``out``: the greedy paragraph blocks of column ``md``."""
+    return (df.withColumn("_paras", paragraphs(py_strip(md)))
+              .withColumn("_ends", pack_ends("_paras", limit))
+              .withColumn(out, pack_blocks("_paras", "_ends", min_chars))
+              .drop("_paras", "_ends"))
+
+
 def split_markers(md, min_chars: int) -> Column:
     """Pieces between page markers that keep ``min_chars`` after stripping, each + newline."""
     pieces = F.transform(F.split(py_strip(md), MARKER_SPLIT), py_strip)
@@ -68,12 +81,13 @@ def split_markers(md, min_chars: int) -> Column:
                        lambda p: F.concat(p, F.lit("\n")))
 
 
-def split_section(md, params: Params = Params()) -> Column:
-    """Chunks of one section: marker pieces if at least two survive, else packed paragraphs."""
-    stripped = py_strip(md)
-    by_marker = split_markers(stripped, params.min_md_chars)
-    packed = pack_paragraphs(paragraphs(stripped), params.page_chars, params.min_md_chars)
-    return F.when(F.size(by_marker) >= 2, by_marker).otherwise(packed)
+def with_pieces(df: DataFrame, md: str = "md", out: str = "pieces", params: Params = Params()) -> DataFrame:
+    """Adds ``out``: the chunks of one section - marker pieces if at least two survive,
+    else packed paragraphs of the whole section."""
+    staged = with_packed(df.withColumn("_bym", split_markers(md, params.min_md_chars)),
+                         md, "_packed", params.page_chars, params.min_md_chars)
+    return (staged.withColumn(out, F.when(F.size("_bym") >= 2, F.col("_bym")).otherwise(F.col("_packed")))
+                  .drop("_bym", "_packed"))
 
 
 def split_sections(sections: DataFrame, params: Params = Params(), book_keys=("book_id",)) -> DataFrame:
@@ -83,10 +97,8 @@ def split_sections(sections: DataFrame, params: Params = Params(), book_keys=("b
     """
     keys = list(book_keys)
     kept = sections.filter(F.length(py_strip("md")) >= params.min_md_chars)
-    return kept.select(
-        *keys, "section_pos", "section_id",
-        F.posexplode(split_section("md", params)).alias("piece_pos", "md"),
-    )
+    pieces = with_pieces(kept.select(*keys, "section_pos", "section_id", "md"), "md", "pieces", params)
+    return posexplode_rows(pieces, [*keys, "section_pos", "section_id"], "pieces", "piece_pos", "md")
 
 
 def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("book_id",),
@@ -96,8 +108,8 @@ def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("boo
     Output: book keys, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md.
     """
     keys = list(book_keys)
-    kept = sections.filter(F.length(py_strip("md")) >= params.min_md_chars).select(
-        *keys, "section_pos", "section_id", split_section("md", params).alias("pieces"))
+    kept = with_pieces(sections.filter(F.length(py_strip("md")) >= params.min_md_chars)
+                       .select(*keys, "section_pos", "section_id", "md"), "md", "pieces", params).drop("md")
     # One shuffle of the section text on its unique key; both branches below read it
     # (the exchange is reused), so the split runs once.
     part_cols = keys + ["section_pos"]
@@ -110,10 +122,9 @@ def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("boo
                    F.lit(0)).alias("offset"),
         F.sum("n_pieces").over(Window.partitionBy(*keys)).alias("n_chunks"),
     )
-    return kept.join(offsets, part_cols).select(
-        *keys, "section_pos", "section_id", "offset", "n_chunks",
-        F.posexplode("pieces").alias("piece_pos", "md"),
-    ).select(
+    joined = kept.join(offsets, part_cols)
+    return posexplode_rows(joined, [*keys, "section_pos", "section_id", "offset", "n_chunks"],
+                           "pieces", "piece_pos", "md").select(
         *keys, "section_pos", "piece_pos",
         (F.col("offset") + F.col("piece_pos")).cast("bigint").alias("chunk_idx"),
         F.col("n_chunks").cast("bigint").alias("n_chunks"),

@@ -42,8 +42,8 @@ FROM mpieces"""
 def q_split_markers(spark, sf):
     p = Params()
     s = fx.rich_sections(spark, sf).filter(F.length(C.py_strip("md")) >= p.min_md_chars)
-    return s.select("book_id", "section_pos",
-                    F.posexplode(C.split_markers("md", p.min_md_chars)).alias("piece_pos", "md")) \
+    s = s.withColumn("pieces", C.split_markers("md", p.min_md_chars))
+    return T.posexplode_rows(s, ["book_id", "section_pos"], "pieces", "piece_pos", "md") \
             .withColumn("piece_pos", F.col("piece_pos").cast("bigint"))
 
 
@@ -56,8 +56,8 @@ SELECT book_id, section_pos, piece_pos, md FROM bypack"""
 def q_pack_paragraphs(spark, sf):
     p = Params()
     s = fx.sections(spark, sf).filter(F.length(C.py_strip("md")) >= p.min_md_chars)
-    packed = C.pack_paragraphs(C.paragraphs(C.py_strip("md")), p.page_chars, p.min_md_chars)
-    return s.select("book_id", "section_pos", F.posexplode(packed).alias("piece_pos", "md")) \
+    s = C.with_packed(s, "md", "packed", p.page_chars, p.min_md_chars)
+    return T.posexplode_rows(s, ["book_id", "section_pos"], "packed", "piece_pos", "md") \
             .withColumn("piece_pos", F.col("piece_pos").cast("bigint"))
 
 
