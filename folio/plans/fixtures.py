@@ -100,3 +100,23 @@ def rendered(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
     """Pages whose image exists: every chunk except those of documents labelled toxic and low quality."""
     toxic = table(spark, sf_dir, "labels").filter("toxic = 1 AND quality = 0").select(F.col("doc_id").alias("section_pos"))
     return chunks.join(toxic, "section_pos", "left_anti").select("book_id", "chunk_idx")
+
+
+def ref_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference pages: the chunks of the Markdown-rich sections, named like page files."""
+    from folio.functions.text import page_name
+    from folio.operators.chunk import index_chunks
+
+    ch = index_chunks(rich_sections(spark, sf_dir),
+                      book_keys=("lang", "book_id"))
+    return ch.select("lang", F.col("book_id").alias("book"), page_name("chunk_idx", "md").alias("page"),
+                     "section_pos", "chunk_idx", "md")
+
+
+def predictions(spark: SparkSession, sf_dir: str, refs: DataFrame) -> DataFrame:
+    """Two models' predictions; the first has none for pages of documents in ``labels``."""
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("section_pos"))
+    a = refs.join(labelled, "section_pos", "left_anti").select(
+        F.lit(MODEL_A).alias("model"), "lang", "book", "page", predict_a("md").alias("md"))
+    b = refs.select(F.lit(MODEL_B).alias("model"), "lang", "book", "page", predict_b("md").alias("md"))
+    return a.unionByName(b)

@@ -154,3 +154,178 @@ FROM (
 
 def slug_sql(title: str) -> str:
     return f"trim(left(regexp_replace({title}, '[^\\p{{L}}\\p{{N}}\\p{{M}}_\\-]', '_', 'g'), 60), '_')"
+
+
+# ---------------------------------------------------------------- evaluation
+
+# Oracle-only: DuckDB's levenshtein counts bytes. The fixture text holds exactly these
+# 21 non-ASCII letters; each is mapped to its own control byte so that byte distance
+# equals code-point distance.
+NON_ASCII = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü"
+CTRL = "".join(chr(c) for c in list(range(1, 9)) + [11, 12] + list(range(14, 25)))
+WS_RE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]"
+
+
+def norm_sql(x: str) -> str:
+    y = f"regexp_replace(nfc_normalize({x}), '\\r\\n|\\r', chr(10), 'g')"
+    y = f"regexp_replace({y}, '[ \\t]+', ' ', 'g')"
+    y = f"regexp_replace({y}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    return strip(y)
+
+
+def tok13a_sql(x: str) -> str:
+    y = f"rtrim({x}, '{WS}')"
+    for a, b in (("'<skipped>'", "''"), ("'-' || chr(10)", "''"), ("chr(10)", "' '"),
+                 ("'&quot;'", "'\"'"), ("'&amp;'", "'&'"), ("'&lt;'", "'<'"), ("'&gt;'", "'>'")):
+        y = f"replace({y}, {a}, {b})"
+    y = f"(' ' || {y} || ' ')"
+    for pat, rep in ((r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "),
+                     (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")):
+        y = f"regexp_replace({y}, '{pat}', '{rep}', 'g')"
+    return f"list_filter(string_split_regex({strip(y)}, '{WS_RE}+'), lambda t: t <> '')"
+
+
+def ntok_sql(x: str) -> str:
+    return f"lower({strip(f'regexp_replace({x}, {chr(39)}{WS_RE}+{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')})"
+
+
+def inline_sql(x: str) -> str:
+    y = f"regexp_replace({x}, '!\\[([^\\]]*)\\]\\([^)]*\\)', ' \\1 ', 'g')"
+    y = f"regexp_replace({y}, '\\[([^\\]]*)\\]\\([^)]*\\)', ' \\1 ', 'g')"
+    y = f"regexp_replace({y}, '`[^`]*`', ' ', 'g')"
+    return f"regexp_replace({y}, '\\*+|~~', ' ', 'g')"
+
+
+def elements_sql(t: str) -> str:
+    """list<struct(type, token)> of a text, RE2 forms of the element contract."""
+    fence = ("(?ms)^ {0,3}```.*?(?:^ {0,3}```[^\\n]*(?:\\n|\\z)|\\z)|"
+             "^ {0,3}~~~.*?(?:^ {0,3}~~~[^\\n]*(?:\\n|\\z)|\\z)")
+    quote = "(?m)(?:^ {0,3}>[^\\n]*(?:\\n|\\z))+"
+    delim = "[ \\t]*\\|?(?:[ \\t]*:?-+:?[ \\t]*\\|)+(?:[ \\t]*:?-+:?[ \\t]*)?"
+    table = "(?m)^([^\\n|]*\\|[^\\n]*)\\n(" + delim + ")(?:\\n|\\z)((?:[^\\n|]*\\|[^\\n]*(?:\\n|\\z))*)"
+    heading = "(?m)^ {0,3}(#{1,6})(?:[ \\t]+([^\\n]*?))?(?:[ \\t]+#+)?[ \\t]*$"
+    item = "(?m)^[ \\t]*(?:[-*+]|[0-9]{1,9}[.)])[ \\t]+([^\\n]*)"
+    image = "!\\[([^\\]]*)\\]\\([^)]*\\)"
+    no_code = f"regexp_replace({t}, '{fence}', chr(10), 'g')"
+    no_quote = f"regexp_replace({no_code}, '{quote}', chr(10), 'g')"
+    rest = f"regexp_replace({no_quote}, '{table}', chr(10), 'g')"
+    bi = "(?s)\\*{3}(.+?)\\*{3}"
+    bo = "(?s)\\*{2}(.+?)\\*{2}"
+    mb = "(?s)\\$\\$(.*?)\\$\\$"
+
+    def typed(lst, kind, norm=False, inline=False):
+        body = "x"
+        if inline:
+            body = inline_sql(body)
+        if norm:
+            body = ntok_sql(body)
+        return f"list_transform({lst}, lambda x: {{'type': '{kind}', 'token': {body}}})"
+
+    cells = (f"flatten(list_transform(list_filter(flatten(list_transform(regexp_extract_all({no_quote}, '{table}', 3), "
+             f"lambda b: string_split(b, chr(10)))), lambda r: trim(r) <> ''), "
+             f"lambda r: string_split(regexp_replace(regexp_replace(r, '^[ \\t]*\\|', ''), '\\|[ \\t]*$', ''), '|')))")
+    heads = (f"list_transform(regexp_extract_all({rest}, '{heading}', 0), lambda h: "
+             f"CAST(length(regexp_extract(h, '{heading}', 1)) AS VARCHAR) || ':' || "
+             f"{ntok_sql(inline_sql(f'regexp_extract(h, {chr(39)}{heading}{chr(39)}, 2)'))})")
+    fref = (f"list_transform(list_filter(regexp_extract_all({t}, '\\[\\^\\w+\\]:?', 0), lambda m: NOT suffix(m, ':')), "
+            f"lambda m: regexp_extract(m, '\\[\\^(\\w+)\\]', 1))")
+    qtok = f"list_transform(regexp_extract_all({no_code}, '{quote}', 0), lambda q: regexp_replace(q, '(?m)^(?: {{0,3}}> ?)+', '', 'g'))"
+    no_bi = f"regexp_replace({t}, '{bi}', ' ', 'g')"
+    no_bo = f"regexp_replace({no_bi}, '{bo}', ' ', 'g')"
+    parts = [
+        typed(heads, "headings"),
+        typed(cells, "tables", True, True),
+        typed(f"regexp_extract_all({t}, '{mb}', 1)", "math_block", True),
+        typed(f"regexp_extract_all(regexp_replace({t}, '{mb}', '', 'g'), '\\$([^\\$\\n]+?)\\$', 1)", "math_inline", True),
+        typed(f"regexp_extract_all({t}, '\\[p\\.\\s*([0-9]+)\\]', 1)", "page_nums"),
+        typed(fref, "footnotes"),
+        typed(f"regexp_extract_all({t}, '(?m)^\\[\\^\\w+\\]:\\s*(.+)', 1)", "footnote_defs", True),
+        typed(f"regexp_extract_all({rest}, '{image}', 1)", "images", True, True),
+        typed(f"regexp_extract_all({rest}, '{item}', 1)", "list_items", True, True),
+        typed(f"regexp_extract_all({no_bi}, '{bo}', 1)", "bold", True),
+        typed(f"regexp_extract_all({no_bo}, '\\*([^*\\n]+)\\*', 1)", "italic", True),
+        typed(f"regexp_extract_all({t}, '{bi}', 1)", "bold_italic", True),
+        typed(qtok, "blockquotes", True, True),
+    ]
+    return "list_concat(" + ", ".join(parts) + ")"
+
+
+def eval_ctes(model_a: str, model_b: str) -> str:
+    """After chunks_ctes on the rich sections: refs, preds, pairs, normed, scores."""
+    na, ct = NON_ASCII, CTRL
+    return f""",
+refs AS (SELECT lang, book_id AS book, printf('page_%04d.md', chunk_idx) AS page, section_pos, chunk_idx, md FROM chunks),
+preds AS (
+  SELECT '{model_a}' AS model, lang, book, page,
+         replace(array_to_string(list_filter(string_split(md, chr(10)), lambda x, i: (i - 1) % 5 <> 4), chr(10)), 'tion', 't1on') AS md
+  FROM refs WHERE section_pos NOT IN (SELECT doc_id FROM labels)
+  UNION ALL
+  SELECT '{model_b}', lang, book, page, replace(md, 'an', 'en') FROM refs
+),
+pairs AS (SELECT p.model, r.lang, r.book, r.page, r.md AS ref, p.md AS hyp FROM refs r JOIN preds p USING (lang, book, page)),
+normed AS (SELECT *, {norm_sql('ref')} AS rn, {norm_sql('hyp')} AS hn FROM pairs),
+neds AS (
+  SELECT model, lang, book, page,
+    CASE WHEN length(rn) = 0 AND length(hn) = 0 THEN 0.0 WHEN length(rn) = 0 OR length(hn) = 0 THEN 1.0
+         ELSE round_even(CAST(levenshtein(translate(rn, '{na}', '{ct}'), translate(hn, '{na}', '{ct}')) AS DOUBLE)
+                         / greatest(length(rn), length(hn)), 6) END AS ned
+  FROM normed
+),
+toks AS (SELECT model, lang, book, page, {tok13a_sql('rn')} AS rt, {tok13a_sql('hn')} AS ht FROM normed),
+grams AS (
+  SELECT model, lang, book, page, n, array_to_string(rt[i:i + n - 1], ' ') AS g, 1 AS r, 0 AS h
+  FROM toks, (VALUES (1), (2), (3), (4)) v(n), unnest(range(1, len(rt) - n + 2)) u(i)
+  UNION ALL
+  SELECT model, lang, book, page, n, array_to_string(ht[i:i + n - 1], ' ') AS g, 0, 1
+  FROM toks, (VALUES (1), (2), (3), (4)) v(n), unnest(range(1, len(ht) - n + 2)) u(i)
+),
+gcount AS (SELECT model, lang, book, page, n, g, sum(r) AS rc, sum(h) AS hc FROM grams GROUP BY ALL),
+gcorr AS (SELECT model, lang, book, page, n, sum(least(rc, hc)) AS c FROM gcount GROUP BY ALL),
+bcounts AS (
+  SELECT t.model, t.lang, t.book, t.page, len(t.rt) AS ref_len, len(t.ht) AS hyp_len,
+    coalesce(max(c) FILTER (WHERE n = 1), 0) AS correct_1, coalesce(max(c) FILTER (WHERE n = 2), 0) AS correct_2,
+    coalesce(max(c) FILTER (WHERE n = 3), 0) AS correct_3, coalesce(max(c) FILTER (WHERE n = 4), 0) AS correct_4
+  FROM toks t LEFT JOIN gcorr g USING (model, lang, book, page) GROUP BY ALL
+),
+bz AS (
+  SELECT *, greatest(hyp_len, 0) AS t1, greatest(hyp_len - 1, 0) AS t2, greatest(hyp_len - 2, 0) AS t3, greatest(hyp_len - 3, 0) AS t4,
+    CAST(correct_1 = 0 AS INT) AS z1, CAST(correct_1 = 0 AS INT) + CAST(correct_2 = 0 AS INT) AS z2,
+    CAST(correct_1 = 0 AS INT) + CAST(correct_2 = 0 AS INT) + CAST(correct_3 = 0 AS INT) AS z3,
+    CAST(correct_1 = 0 AS INT) + CAST(correct_2 = 0 AS INT) + CAST(correct_3 = 0 AS INT) + CAST(correct_4 = 0 AS INT) AS z4,
+    least(hyp_len, 4) AS eff
+  FROM bcounts
+),
+bleus AS (
+  SELECT model, lang, book, page,
+    CASE WHEN greatest(correct_1, correct_2, correct_3, correct_4) > 0 THEN
+      (CASE WHEN hyp_len >= ref_len THEN 1.0 WHEN hyp_len > 0 THEN exp(CAST(1.0 AS DOUBLE) - ref_len / greatest(hyp_len, 1)) ELSE 0.0 END)
+      * exp(({" + ".join(f"(CASE WHEN {n} <= eff THEN ln(CASE WHEN correct_{n} = 0 THEN CAST(100.0 AS DOUBLE) / (pow(2.0, z{n}) * greatest(t{n}, 1)) ELSE CAST(100.0 AS DOUBLE) * correct_{n} / greatest(t{n}, 1) END) ELSE 0.0 END)" for n in range(1, 5))}) / greatest(eff, 1))
+    ELSE 0.0 END AS bleu
+  FROM bz
+),
+elems AS (
+  SELECT model, lang, book, page, 'ref' AS side, unnest({elements_sql('ref')}, recursive := true) FROM pairs
+  UNION ALL
+  SELECT model, lang, book, page, 'hyp' AS side, unnest({elements_sql('hyp')}, recursive := true) FROM pairs
+),
+ecount AS (SELECT model, lang, book, page, side, type, token, count(*) AS cnt FROM elems GROUP BY ALL),
+etype AS (
+  SELECT model, lang, book, page, type, sum(rc) AS rt, sum(hc) AS ht, sum(least(rc, hc)) AS tp FROM (
+    SELECT model, lang, book, page, type, token,
+           coalesce(sum(cnt) FILTER (WHERE side = 'ref'), 0) AS rc, coalesce(sum(cnt) FILTER (WHERE side = 'hyp'), 0) AS hc
+    FROM ecount GROUP BY ALL) GROUP BY ALL
+),
+ef1 AS (
+  SELECT *, CASE WHEN rt = 0 AND ht = 0 THEN 1.0 WHEN rt = 0 OR ht = 0 THEN 0.0
+                 WHEN tp / greatest(ht, 1) + tp / greatest(rt, 1) = 0 THEN 0.0
+                 ELSE round_even(CAST(2.0 AS DOUBLE) * (tp / greatest(ht, 1)) * (tp / greatest(rt, 1)) / ((tp / greatest(ht, 1)) + (tp / greatest(rt, 1))), 6) END AS f1
+  FROM etype
+),
+sf1 AS (
+  SELECT p.model, p.lang, p.book, p.page, coalesce(round_even(avg(f1) FILTER (WHERE rt > 0), 6), 1.0) AS struct_f1
+  FROM pairs p LEFT JOIN ef1 e USING (model, lang, book, page) GROUP BY ALL
+),
+scores AS (
+  SELECT model, lang, book, page, n.ned, round_even(1.0 - n.ned, 6) AS similarity, b.bleu, s.struct_f1
+  FROM neds n JOIN bleus b USING (model, lang, book, page) JOIN sf1 s USING (model, lang, book, page)
+)"""

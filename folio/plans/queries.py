@@ -12,6 +12,10 @@ from folio.operators import chunk as C
 from folio.operators import dataset as D
 from folio.operators import sample as S
 from folio.functions import text as T
+from folio.functions.bleu import tokenize_13a
+from folio.functions.markdown import ELEMENT_TYPES
+from folio.operators import evaluate as E
+from folio.operators import metrics as M
 from folio.params import Params
 from folio.plans import fixtures as fx
 from folio.plans import oracle as O
@@ -164,5 +168,146 @@ def q_book_slug(spark, sf):
                     D.book_dir("book_id", "title").alias("book_dir"))
 
 
+# ---------------------------------------------------------------- evaluation
+
+MODELS = (fx.MODEL_A, fx.MODEL_B)
+PAIR = ["model", "lang", "book", "page"]
+
+
+def _eval_sql(select):
+    return f"""WITH RECURSIVE {O.chunks_ctes(O.rich_sections_sql(), Params())}{O.eval_ctes(*MODELS)}
+{select}"""
+
+
+def _inputs(spark, sf):
+    refs = fx.ref_pages(spark, sf)
+    return refs, fx.predictions(spark, sf, refs)
+
+
+def _scores(spark, sf, detail=False):
+    refs, preds = _inputs(spark, sf)
+    return E.eval_scores(refs, preds, detail=detail)
+
+
+@register("eval_pairs", lambda: _eval_sql(
+    "SELECT model, lang, book, page, length(ref) AS ref_chars, length(hyp) AS hyp_chars FROM pairs"))
+def q_eval_pairs(spark, sf):
+    refs, preds = _inputs(spark, sf)
+    p = E.eval_pairs(refs, preds)
+    return p.select(*PAIR, F.length("ref").cast("bigint").alias("ref_chars"),
+                    F.length("hyp").cast("bigint").alias("hyp_chars"))
+
+
+@register("missing_predictions", lambda: _eval_sql(f"""SELECT m.model, r.lang, r.book, r.page
+FROM refs r, (VALUES ('{fx.MODEL_A}'), ('{fx.MODEL_B}')) m(model)
+WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.model = m.model AND p.lang = r.lang AND p.book = r.book AND p.page = r.page)"""))
+def q_missing_predictions(spark, sf):
+    refs, preds = _inputs(spark, sf)
+    return E.missing_predictions(refs, preds, MODELS).select(*PAIR)
+
+
+@register("normalise_text", lambda: f"""SELECT doc_id,
+  {O.norm_sql("replace(text, chr(10), ' ' || chr(9) || chr(13) || chr(10) || chr(10) || chr(10)) || '  '")} AS text_norm
+FROM documents""")
+def q_normalise_text(spark, sf):
+    d = fx.documents(spark, sf)
+    messy = F.concat(F.replace("text", F.lit("\n"), F.lit(" \t\r\n\n\n")), F.lit("  "))
+    return d.select("doc_id", T.normalise(messy).alias("text_norm"))
+
+
+@register("tokenize_13a", lambda: f"""SELECT doc_id, CAST(len(tk) AS BIGINT) AS n_tokens, array_to_string(tk, ' ') AS tokens
+FROM (SELECT doc_id, {O.tok13a_sql(O.norm_sql('text'))} AS tk FROM documents)""")
+def q_tokenize_13a(spark, sf):
+    d = fx.documents(spark, sf).select("doc_id", tokenize_13a(T.normalise("text")).alias("tk"))
+    return d.select("doc_id", F.size("tk").cast("bigint").alias("n_tokens"), F.array_join("tk", " ").alias("tokens"))
+
+
+@register("ned", lambda: _eval_sql("SELECT model, lang, book, page, ned, similarity FROM scores"))
+def q_ned(spark, sf):
+    refs, preds = _inputs(spark, sf)
+    p = M.prepare_pairs(E.eval_pairs(refs, preds), PAIR)
+    return p.select(*PAIR, M.ned("_rn", "_hn").alias("ned")).withColumn("similarity", M.similarity("ned"))
+
+
+@register("bleu", lambda: _eval_sql("SELECT model, lang, book, page, round_even(bleu, 6) AS bleu FROM scores"))
+def q_bleu(spark, sf):
+    return _scores(spark, sf).select(*PAIR, F.bround("bleu", 6).alias("bleu"))
+
+
+@register("bleu_counts", lambda: _eval_sql(
+    "SELECT model, lang, book, page, ref_len, hyp_len, correct_1, correct_2, correct_3, correct_4, "
+    "t1 AS total_1, t2 AS total_2, t3 AS total_3, t4 AS total_4 FROM bz"))
+def q_bleu_counts(spark, sf):
+    refs, preds = _inputs(spark, sf)
+    s = M.score_pairs(E.eval_pairs(refs, preds), PAIR, partitioned_by=["lang", "book", "page"], with_counts=True)
+    return s.select(*PAIR, "ref_len", "hyp_len", *[f"correct_{n}" for n in range(1, 5)],
+                    *[f"total_{n}" for n in range(1, 5)])
+
+
+@register("struct_f1", lambda: _eval_sql("SELECT model, lang, book, page, struct_f1 FROM scores"))
+def q_struct_f1(spark, sf):
+    return _scores(spark, sf).select(*PAIR, "struct_f1")
+
+
+@register("md_elements", lambda: _eval_sql("SELECT model, lang, book, page, side, type, token, cnt FROM ecount"))
+def q_md_elements(spark, sf):
+    refs, preds = _inputs(spark, sf)
+    return M.element_table(E.eval_pairs(refs, preds), PAIR)
+
+
+@register("multiset_overlap", lambda: _eval_sql(
+    "SELECT model, lang, book, page, type, rt AS ref_total, ht AS hyp_total, tp AS overlap FROM etype"))
+def q_multiset_overlap(spark, sf):
+    from folio.operators.multiset import multiset_overlap
+    refs, preds = _inputs(spark, sf)
+    el = M.element_table(E.eval_pairs(refs, preds), PAIR)
+    items = el.select(*PAIR, "type", "token",
+                      F.when(F.col("side") == "ref", F.col("cnt")).otherwise(0).alias("r"),
+                      F.when(F.col("side") == "hyp", F.col("cnt")).otherwise(0).alias("h"))
+    return multiset_overlap(items, PAIR + ["type"], "token")
+
+
+@register("struct_f1_detail", lambda: _eval_sql(
+    "SELECT p.model, p.lang, p.book, p.page, " + ", ".join(
+        f"coalesce(max(f1) FILTER (WHERE type = '{t}'), 1.0) AS f1_{t}" for t in ELEMENT_TYPES) +
+    ", any_value(s.struct_f1) AS struct_f1 FROM pairs p JOIN sf1 s USING (model, lang, book, page) "
+    "LEFT JOIN ef1 e USING (model, lang, book, page) GROUP BY p.model, p.lang, p.book, p.page"))
+def q_struct_f1_detail(spark, sf):
+    return _scores(spark, sf, detail=True).select(*PAIR, *[f"f1_{t}" for t in ELEMENT_TYPES], "struct_f1")
+
+
+@register("eval_scores", lambda: _eval_sql(
+    "SELECT model, lang, book, page, ned, similarity, round_even(bleu, 6) AS bleu, struct_f1 FROM scores"))
+def q_eval_scores(spark, sf):
+    return _scores(spark, sf).withColumn("bleu", F.bround("bleu", 6))
+
+
+@register("eval_summary", lambda: _eval_sql(
+    "SELECT model, lang, book, count(*) AS n_pages, round_even(avg(ned), 4) AS avg_ned, "
+    "round_even(avg(similarity), 4) AS avg_similarity, round_even(avg(bleu), 2) AS avg_bleu, "
+    "round_even(avg(struct_f1), 4) AS avg_struct_f1 FROM scores GROUP BY ALL"))
+def q_eval_summary(spark, sf):
+    return E.eval_summary(_scores(spark, sf))
+
+
+@register("corpus_scores", lambda: _eval_sql(
+    "SELECT model, count(*) AS n_pairs, coalesce(round_even(avg(ned), 4), 0.0) AS corpus_ned, "
+    "coalesce(round_even(avg(bleu), 2), 0.0) AS corpus_bleu, "
+    "coalesce(round_even(avg(struct_f1), 4), 0.0) AS corpus_struct_f1 FROM scores GROUP BY ALL"))
+def q_corpus_scores(spark, sf):
+    return E.corpus_scores(_scores(spark, sf))
+
+
+@register("model_ranking", lambda: _eval_sql(
+    "SELECT model, lang, metric, value, higher_is_better, row_number() OVER (PARTITION BY lang, metric ORDER BY "
+    "CASE WHEN higher_is_better THEN -value ELSE value END, model) AS rank FROM ("
+    "SELECT model, lang, 'ned' AS metric, round_even(avg(ned), 6) AS value, false AS higher_is_better FROM scores GROUP BY ALL "
+    "UNION ALL SELECT model, lang, 'bleu', round_even(avg(bleu), 6), true FROM scores GROUP BY ALL "
+    "UNION ALL SELECT model, lang, 'struct_f1', round_even(avg(struct_f1), 6), true FROM scores GROUP BY ALL)"))
+def q_model_ranking(spark, sf):
+    return E.model_ranking(_scores(spark, sf))
+
+
 def flagship(spark, sf):
-    return q_book_gate(spark, sf)
+    """Flagship: the evaluation report per model, language and book."""
+    return q_eval_summary(spark, sf)
