@@ -134,21 +134,29 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
                .withColumn("f1", F.when(F.col("kind") == "s", f1_of("tp", "rt", "ht"))))
     aggs = [F.coalesce(F.sum(F.when((F.col("kind") == "b") & (F.col("sub") == str(n)), F.col("tp"))),
                        F.lit(0)).cast("bigint").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
-    aggs.append(F.avg(F.when((F.col("kind") == "s") & (F.col("rt") > 0), F.col("f1"))).alias("_macro"))
-    if detail:
-        aggs += [F.coalesce(F.max(F.when((F.col("kind") == "s") & (F.col("sub") == t), F.col("f1"))),
-                            F.lit(1.0)).alias(f"f1_{t}") for t in ELEMENT_TYPES]
+    # Per-type F1 (absent type -> NULL) and presence in the reference, so the macro
+    # average adds the types in their fixed order, as the definition does.
+    for t in ELEMENT_TYPES:
+        is_t = (F.col("kind") == "s") & (F.col("sub") == t)
+        aggs.append(F.max(F.when(is_t, F.col("f1"))).alias(f"_f1_{t}"))
+        aggs.append(F.max(F.when(is_t & (F.col("rt") > 0), F.lit(1)).otherwise(F.lit(0))).alias(f"_in_{t}"))
     per_pair = per_sub.groupBy(*keys, *scal).agg(*aggs)
     correct = [F.col(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
 
     def total_of(n):
         return F.greatest(F.col("hyp_len") - (n - 1), F.lit(0))
 
+    macro_sum = F.lit(0.0)
+    n_present = F.lit(0)
+    for t in ELEMENT_TYPES:
+        macro_sum = macro_sum + F.when(F.col(f"_in_{t}") == 1, F.col(f"_f1_{t}")).otherwise(F.lit(0.0))
+        n_present = n_present + F.col(f"_in_{t}")
+    macro = F.when(n_present > 0, F.bround(macro_sum / F.greatest(n_present, F.lit(1)), 6)).otherwise(F.lit(1.0))
     out = [*keys, "ned", similarity("ned").alias("similarity"),
            bleu_from_counts(correct, total_of, "ref_len", "hyp_len").alias("bleu"),
-           F.coalesce(F.bround("_macro", 6), F.lit(1.0)).alias("struct_f1")]
+           macro.alias("struct_f1")]
     if detail:
-        out += [f"f1_{t}" for t in ELEMENT_TYPES]
+        out += [F.coalesce(F.col(f"_f1_{t}"), F.lit(1.0)).alias(f"f1_{t}") for t in ELEMENT_TYPES]
     if with_counts:
         out += [F.col("ref_len").cast("bigint").alias("ref_len"), F.col("hyp_len").cast("bigint").alias("hyp_len")]
         out += [F.col(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]

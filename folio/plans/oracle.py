@@ -322,7 +322,9 @@ ef1 AS (
   FROM etype
 ),
 sf1 AS (
-  SELECT p.model, p.lang, p.book, p.page, coalesce(round_even(avg(f1) FILTER (WHERE rt > 0), 6), 1.0) AS struct_f1
+  SELECT p.model, p.lang, p.book, p.page,
+    CASE WHEN count(*) FILTER (WHERE rt > 0) > 0
+         THEN round_even((0.0::DOUBLE + coalesce(max(f1) FILTER (WHERE type = 'headings' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'tables' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'math_block' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'math_inline' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'page_nums' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'footnotes' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'footnote_defs' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'images' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'list_items' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'bold' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'italic' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'bold_italic' AND rt > 0), 0.0) + coalesce(max(f1) FILTER (WHERE type = 'blockquotes' AND rt > 0), 0.0)) / count(*) FILTER (WHERE rt > 0), 6) ELSE 1.0 END AS struct_f1
   FROM pairs p LEFT JOIN ef1 e USING (model, lang, book, page) GROUP BY ALL
 ),
 scores AS (
