@@ -120,3 +120,42 @@ def predictions(spark: SparkSession, sf_dir: str, refs: DataFrame) -> DataFrame:
         F.lit(MODEL_A).alias("model"), "lang", "book", "page", predict_a("md").alias("md"))
     b = refs.select(F.lit(MODEL_B).alias("model"), "lang", "book", "page", predict_b("md").alias("md"))
     return a.unionByName(b)
+
+
+def raw_line(x, i) -> F.Column:
+    """FX5: wrap line i in converter noise chosen by i mod 12."""
+    k = i % 12
+    L = F.lit
+    return (F.when(k == 0, F.concat(L("["), x, L("]{.c}")))
+            .when(k == 1, F.concat(L("[]{#a}"), x))
+            .when(k == 2, F.concat(L("["), x, L("](#a)")))
+            .when(k == 3, F.concat(L("["), x, L("](b.xhtml)")))
+            .when(k == 4, F.concat(L("["), x, L("](https://h/)")))
+            .when(k == 5, F.concat(x, L("^[[3]](n.html#f)^")))
+            .when(k == 6, F.concat(x, L("[[4]](n.html)")))
+            .when(k == 7, F.concat(x, L("^5^")))
+            .when(k == 8, F.concat(L("::: d\n"), x))
+            .when(k == 9, F.concat(L("| "), x))
+            .when(k == 10, F.concat(x, L(" \\[pg!7\\]")))
+            .otherwise(F.concat(L("<span>"), x, L("</span> ![fig](img/a.png) ![](img/b.png)"))))
+
+
+def raw_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX5: converter-style Markdown per document, with a YAML block in front."""
+    d = table(spark, sf_dir, "documents")
+    body = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: raw_line(x, i)), "\n")
+    return d.select("doc_id", F.concat(F.lit("---\ntitle: t\n---\n"), body).alias("md"))
+
+
+# Classes given to successive <p> tags of the classed pages (FX9).
+HEADING_CLASSES = ("title", "chapter", "section", "paragraph", "h4", "calibre")
+
+
+def classed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX9: the k-th <p> of each page gets class HEADING_CLASSES[k mod 6]."""
+    p = table(spark, sf_dir, "pages")
+    classes = F.array(*[F.lit(c) for c in HEADING_CLASSES])
+    parts = F.split("html", "<p>", -1)
+    html = F.array_join(F.transform(parts, lambda s, i: F.when(i == 0, s).otherwise(
+        F.concat(F.lit('<p class="'), F.element_at(classes, ((i - 1) % 6) + 1), F.lit('">'), s))), "")
+    return p.select("page_id", "url", html.alias("html"))

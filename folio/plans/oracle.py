@@ -331,3 +331,56 @@ scores AS (
   SELECT model, lang, book, page, n.ned, round_even(1.0 - n.ned, 6) AS similarity, b.bleu, s.struct_f1
   FROM neds n JOIN bleus b USING (model, lang, book, page) JOIN sf1 s USING (model, lang, book, page)
 )"""
+
+
+# ---------------------------------------------------------------- cleaning
+
+def raw_markdown_sql() -> str:
+    line = ("CASE (i - 1) % 12 WHEN 0 THEN '[' || x || ']{.c}' WHEN 1 THEN '[]{#a}' || x "
+            "WHEN 2 THEN '[' || x || '](#a)' WHEN 3 THEN '[' || x || '](b.xhtml)' "
+            "WHEN 4 THEN '[' || x || '](https://h/)' WHEN 5 THEN x || '^[[3]](n.html#f)^' "
+            "WHEN 6 THEN x || '[[4]](n.html)' WHEN 7 THEN x || '^5^' WHEN 8 THEN '::: d' || chr(10) || x "
+            "WHEN 9 THEN '| ' || x WHEN 10 THEN x || ' \\[pg!7\\]' "
+            "ELSE '<span>' || x || '</span> ![fig](img/a.png) ![](img/b.png)' END")
+    return ("SELECT doc_id, '---' || chr(10) || 'title: t' || chr(10) || '---' || chr(10) || "
+            f"array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: {line}), chr(10)) AS md FROM documents")
+
+
+def clean_rules_sql(x: str) -> list[tuple[str, str]]:
+    """(rule id, expression after the rule) in order; RE2 forms (C4h via a sentinel)."""
+    ws = WS_RE[1:-1]
+    steps = []
+
+    def rr(pat, rep, flags="g"):
+        return lambda y: f"regexp_replace({y}, '{pat}', '{rep}', '{flags}')"
+
+    rules = [
+        ("C1", rr("(?s)\\A---\\n.*?\\n---\\n?", "", "")),
+        ("C2", rr("(?m)^:{3,}[^\\n]*$", "")),
+        ("C3", rr("(?m)^(#{1,6}[ \\t]+)\\[([^\\]]+)\\]\\([^)]*\\)([ \\t]*\\{[^}]*\\})*", "\\1\\2")),
+        ("C4a", rr("\\[([^\\]]+)\\]\\{[^}\\n]{0,200}\\}", "\\1")),
+        ("C4b", rr("\\[\\]\\{[^}]*\\}", "")),
+        ("C4c", rr("\\[([^\\]\\n]+)\\]\\(#[^)]*\\)", "\\1")),
+        ("C4d", rr("\\^\\[\\[([0-9]+)\\]\\]\\([^)]*\\)\\^", "[^\\1]")),
+        ("C4e", rr("\\[\\[([0-9]+)\\]\\]\\([^)]*\\)", "[^\\1]")),
+        ("C4f", rr("\\^\\[\\^([0-9]+)\\]\\^", "[^\\1]")),
+        ("C4g", rr("\\^([0-9]+)\\^", "[^\\1]")),
+        ("C4h", lambda y: ("replace(regexp_replace(regexp_replace(" + y + ", '\\]\\((https?://|mailto:)', ']' || chr(2) || '(\\1', 'g'), "
+                           "'\\[([^\\]\\n]+)\\]\\([^)]+\\)', '\\1', 'g'), ']' || chr(2) || '(', '](')")),
+        ("C4i", rr("\\[\\[([0-9]+)\\]\\]", "[^\\1]")),
+        ("C4j", rr("\\[\\]", "")),
+        ("C4k", rr("(?m)^\\| ([^|\\n]+)$", "\\1")),
+        ("C5", rr("\\{[^}\\n]{0,200}\\}", "")),
+        ("C6", rr("<[^>\\n]{0,200}>", "")),
+        ("C7", rr("\\\\\\[[Pp]g[!." + ws + "]?([0-9]+)\\\\\\]", "[p. \\1]")),
+        ("C8", lambda y: ("array_to_string(list_transform(string_split_regex(" + y + ", '!\\[([^\\]]*)\\]\\([^)]+\\)'), "
+                          "lambda p, i: CASE WHEN i = 1 THEN p ELSE '![image_' || CAST(i - 1 AS VARCHAR) || "
+                          "'](images/image_' || CAST(i - 1 AS VARCHAR) || '.png)' || p END), '')")),
+        ("C9", rr("\\\\([!\"#$%&''()*+,\\-./:;<=>?@\\[\\\\\\]^_{|}~`])", "\\1")),
+        ("C10", lambda y: f"regexp_replace({y}, '\\n{{3,}}', chr(10) || chr(10), 'g')"),
+    ]
+    cur = x
+    for rid, fn in rules:
+        cur = fn(cur)
+        steps.append((rid, cur))
+    return steps

@@ -308,6 +308,87 @@ def q_model_ranking(spark, sf):
     return E.model_ranking(_scores(spark, sf))
 
 
+def _flagship_unused(spark, sf):
+    """Flagship: the evaluation report per model, language and book."""
+    return q_eval_summary(spark, sf)
+
+
+# ---------------------------------------------------------------- cleaning
+
+from folio.functions import clean as CL  # noqa: E402
+
+
+def _clean_sql(select):
+    steps = O.clean_rules_sql("md")
+    cols = ", ".join(f"{expr} AS s_{rid}" for rid, expr in steps)
+    return f"WITH raw AS ({O.raw_markdown_sql()}), st AS (SELECT doc_id, md, {cols} FROM raw)\n{select}"
+
+
+@register("clean_markdown", lambda: _clean_sql(f"SELECT doc_id, {O.strip('s_C10')} || chr(10) AS clean FROM st"))
+def q_clean_markdown(spark, sf):
+    return CL.clean_markdown(fx.raw_markdown(spark, sf), "md", "clean").select("doc_id", "clean")
+
+
+def _rules_sql():
+    ids = [r[0] for r in CL.RULES]
+    prev = ["md"] + [f"s_{i}" for i in ids[:-1]]
+    union = " UNION ALL ".join(
+        f"SELECT '{rid}' AS rule, CAST(count(*) FILTER (WHERE s_{rid} <> {p}) AS BIGINT) AS n_changed FROM st"
+        for rid, p in zip(ids, prev))
+    return _clean_sql(union)
+
+
+@register("clean_markdown_rules", _rules_sql)
+def q_clean_markdown_rules(spark, sf):
+    df, names = CL.clean_steps(fx.raw_markdown(spark, sf), "md")
+    prev = ["md"] + names[:-1]
+    agg = df.agg(*[F.sum(F.when(F.col(n) != F.col(p), 1).otherwise(0)).cast("bigint").alias(n)
+                   for n, p in zip(names, prev)])
+    return agg.select(F.explode(F.array(*[
+        F.struct(F.lit(n[2:]).alias("rule"), F.col(n).alias("n_changed")) for n in names])).alias("r")
+    ).select("r.rule", "r.n_changed")
+
+
+@register("render_text", lambda: f"""WITH RECURSIVE {O.chunks_ctes(O.rich_sections_sql(), Params())}
+SELECT book_id, chunk_idx, regexp_replace(md, '!\\[[^\\]]*\\]\\([^)]+\\)', '', 'g') AS text FROM chunks""")
+def q_render_text(spark, sf):
+    ch = C.index_chunks(fx.rich_sections(spark, sf), Params())
+    return ch.select("book_id", "chunk_idx", CL.strip_images("md").alias("text"))
+
+
 def flagship(spark, sf):
     """Flagship: the evaluation report per model, language and book."""
     return q_eval_summary(spark, sf)
+
+
+# ---------------------------------------------------------------- HTML -> Markdown
+
+from folio.operators import convert as CV  # noqa: E402
+
+
+@register("html_blocks")
+def q_html_blocks(spark, sf):
+    return CV.html_blocks(fx.table(spark, sf, "pages"))
+
+
+@register("promote_headings")
+def q_promote_headings(spark, sf):
+    from folio.functions import html as H
+    from folio.functions.text import posexplode_rows
+    p = fx.classed_pages(spark, sf)
+    b = H.split_blocks(p.select("page_id", "html"), "html", "blocks")
+    b = b.withColumn("blocks", H.promote("blocks"))
+    rows = posexplode_rows(b, ["page_id"], "blocks", "pos", "b")
+    return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), "b.tag", "b.cls", "b.text") \
+               .filter("cls <> ''")
+
+
+@register("html_to_markdown")
+def q_html_to_markdown(spark, sf):
+    return CV.html_to_markdown(fx.classed_pages(spark, sf))
+
+
+@register("section_filter")
+def q_section_filter(spark, sf):
+    s = CV.section_filter(CV.html_to_markdown(fx.classed_pages(spark, sf)))
+    return s.select("page_id", F.length("md").cast("bigint").alias("n_chars"), "md")
