@@ -392,3 +392,68 @@ def q_html_to_markdown(spark, sf):
 def q_section_filter(spark, sf):
     s = CV.section_filter(CV.html_to_markdown(fx.classed_pages(spark, sf)))
     return s.select("page_id", F.length("md").cast("bigint").alias("n_chars"), "md")
+
+
+# ---------------------------------------------------------------- prediction side
+
+from folio.operators import predict as PR  # noqa: E402
+
+PROMPT = "Transcribe this page image into clean Markdown."
+
+
+def _images_and_done(spark, sf):
+    refs, preds = _inputs(spark, sf)
+    images = refs.select("lang", "book", F.regexp_replace("page", r"\.md$", ".jpg").alias("page"))
+    done = preds.filter(F.col("model") == fx.MODEL_A).select("lang", "book", "page")
+    return images, done
+
+
+@register("pending_pages", lambda: _eval_sql(f"""SELECT r.lang, r.book, count(*) AS n_total,
+  CAST(count(p.page) AS BIGINT) AS n_done, CAST(count(*) - count(p.page) AS BIGINT) AS n_pending
+FROM refs r LEFT JOIN (SELECT * FROM preds WHERE model = '{fx.MODEL_A}') p USING (lang, book, page)
+GROUP BY r.lang, r.book"""))
+def q_pending_pages(spark, sf):
+    images, done = _images_and_done(spark, sf)
+    return PR.pending_counts(images, done)
+
+
+@register("predict_batches", lambda: _eval_sql(f"""SELECT lang, book, page, pos, CAST(floor((pos - 1) / 8) AS BIGINT) AS batch FROM (
+  SELECT r.lang, r.book, replace(r.page, '.md', '.jpg') AS page,
+         row_number() OVER (PARTITION BY r.lang, r.book ORDER BY replace(r.page, '.md', '.jpg')) AS pos
+  FROM refs r WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.model = '{fx.MODEL_A}'
+     AND p.lang = r.lang AND p.book = r.book AND p.page = r.page))"""))
+def q_predict_batches(spark, sf):
+    images, done = _images_and_done(spark, sf)
+    return PR.number_batches(PR.pending_pages(images, done)).select("lang", "book", "page", "pos", "batch")
+
+
+def echo_model(messages_json):
+    """Stand-in model used by the registered run: returns the prompt length per page."""
+    import json
+    return [f"  # page\n\n{len(json.loads(m)[0]['content'][1]['text'])} chars of prompt  " for m in messages_json]
+
+
+@register("model_predictions")
+def q_model_predictions(spark, sf):
+    images, done = _images_and_done(spark, sf)
+    batched = PR.number_batches(PR.pending_pages(images, done)).withColumn(
+        "messages", PR.chat_messages(F.lit("data:image/jpeg;base64,"), F.lit(PROMPT)))
+    return PR.predict_batches(batched, echo_model, fx.MODEL_A)
+
+
+@register("image_messages", lambda: f"""SELECT page_id, 'data:image/jpeg;base64,' || base64(encode(html)) AS data_url,
+  'user' AS role, 'image_url' AS first_part, '{PROMPT}' AS prompt FROM pages""")
+def q_image_messages(spark, sf):
+    p = fx.table(spark, sf, "pages").select("page_id", F.col("html").cast("binary").alias("content"))
+    m = p.select("page_id", PR.data_url("content").alias("data_url")).withColumn(
+        "messages", PR.chat_messages("data_url", F.lit(PROMPT)))
+    return m.select("page_id", "data_url", F.col("messages")[0]["role"].alias("role"),
+                    F.col("messages")[0]["content"][0]["type"].alias("first_part"),
+                    F.col("messages")[0]["content"][1]["text"].alias("prompt"))
+
+
+@register("model_slug", lambda: _eval_sql(
+    "SELECT DISTINCT model, string_split(model, '/')[-1] AS slug FROM preds"))
+def q_model_slug(spark, sf):
+    _, preds = _inputs(spark, sf)
+    return preds.select("model").distinct().select("model", T.model_slug("model").alias("slug"))
