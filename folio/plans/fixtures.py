@@ -159,3 +159,26 @@ def classed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.array_join(F.transform(parts, lambda s, i: F.when(i == 0, s).otherwise(
         F.concat(F.lit('<p class="'), F.element_at(classes, ((i - 1) % 6) + 1), F.lit('">'), s))), "")
     return p.select("page_id", "url", html.alias("html"))
+
+
+def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX7: catalog rows, one book per (lang, source); id = its first doc_id; formats by
+    id mod 3 (epub+zip / epub / html only); 8 books per API page in id order, and
+    every book with id mod 5 = 0 listed again on the following page."""
+    from pyspark.sql import Window
+
+    d = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(
+        F.min("doc_id").alias("id"), F.min_by("text", "doc_id").alias("t"))
+    url = F.concat(F.lit("https://books.example/"), F.col("id").cast("string"))
+    fmts = (F.when(F.col("id") % 3 == 0, F.create_map(F.lit("application/epub+zip"), F.concat(url, F.lit(".epub")),
+                                                       F.lit("text/html"), F.concat(url, F.lit(".html"))))
+            .when(F.col("id") % 3 == 1, F.create_map(F.lit("application/epub"), F.concat(url, F.lit(".epub3")),
+                                                      F.lit("text/html"), F.concat(url, F.lit(".html"))))
+            .otherwise(F.create_map(F.lit("text/html"), F.concat(url, F.lit(".html")))))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("id")) - 1
+    b = d.select("id", F.substring(F.split("t", "\n")[0], 1, 70).alias("title"),
+                 F.array(F.struct(F.concat(F.lit("Author "), F.col("source")).alias("name"))).alias("authors"),
+                 F.array("lang").alias("languages"), fmts.alias("formats"),
+                 (F.floor(rank / 8) + 1).cast("bigint").alias("page"), (rank % 8).cast("bigint").alias("pos"))
+    again = b.filter(F.col("id") % 5 == 0).withColumn("page", F.col("page") + 1).withColumn("pos", F.col("pos") + 100)
+    return b.unionByName(again)

@@ -457,3 +457,42 @@ def q_image_messages(spark, sf):
 def q_model_slug(spark, sf):
     _, preds = _inputs(spark, sf)
     return preds.select("model").distinct().select("model", T.model_slug("model").alias("slug"))
+
+
+# ---------------------------------------------------------------- sources
+
+from folio.sources import catalog as CAT  # noqa: E402
+
+
+@register("catalog_candidates", lambda: """SELECT lang, id AS book_id, title, array_to_string(['Author ' || source], '; ') AS authors,
+  CASE id % 3 WHEN 0 THEN 'https://books.example/' || id || '.epub' ELSE 'https://books.example/' || id || '.epub3' END AS epub_url,
+  row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || CAST(id AS VARCHAR)), id) AS cand_rank
+FROM (SELECT lang, source, min(doc_id) AS id, left(string_split(arg_min(text, doc_id), chr(10))[1], 70) AS title
+      FROM documents GROUP BY lang, source) WHERE id % 3 <> 2""")
+def q_catalog_candidates(spark, sf):
+    c = CAT.candidates(fx.catalog_raw(spark, sf))
+    return c.withColumn("authors", F.array_join("authors", "; "))
+
+
+@register("greedy_embedding_match", lambda: """WITH tv AS (
+  SELECT vec_id // 16 AS pair_id, CASE WHEN vec_id % 2 = 0 THEN 'ref' ELSE 'hyp' END AS side, vec_id,
+         CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sims AS (
+  SELECT h.pair_id, h.vec_id AS hid, r.vec_id AS rid,
+         list_dot_product(h.v, r.v) / (sqrt(list_dot_product(h.v, h.v)) * sqrt(list_dot_product(r.v, r.v))) AS s
+  FROM tv h JOIN tv r ON h.pair_id = r.pair_id AND h.side = 'hyp' AND r.side = 'ref'),
+pr AS (SELECT pair_id, avg(m) AS p FROM (SELECT pair_id, hid, max(s) AS m FROM sims GROUP BY ALL) GROUP BY pair_id),
+rc AS (SELECT pair_id, avg(m) AS r FROM (SELECT pair_id, rid, max(s) AS m FROM sims GROUP BY ALL) GROUP BY pair_id),
+cnt AS (SELECT pair_id, count(*) FILTER (WHERE side = 'ref') AS n_ref, count(*) FILTER (WHERE side = 'hyp') AS n_hyp FROM tv GROUP BY pair_id)
+SELECT c.pair_id, c.n_ref, c.n_hyp, round_even(coalesce(p, 0.0), 6) AS precision, round_even(coalesce(r, 0.0), 6) AS recall,
+  CASE WHEN n_ref = 0 AND n_hyp = 0 THEN 1.0 WHEN n_ref = 0 OR n_hyp = 0 THEN 0.0 WHEN p + r = 0 THEN 0.0
+       ELSE round_even(2 * p * r / (p + r), 6) END AS bert_f1
+FROM cnt c LEFT JOIN pr USING (pair_id) LEFT JOIN rc USING (pair_id)""")
+def q_greedy_embedding_match(spark, sf):
+    e = fx.table(spark, sf, "embeddings")
+    tv = e.select(F.floor(F.col("vec_id") / 16).cast("bigint").alias("pair_id"),
+                  F.when(F.col("vec_id") % 2 == 0, "ref").otherwise("hyp").alias("side"),
+                  F.col("embedding").alias("vec"))
+    m = M.greedy_embedding_match(tv, ["pair_id"])
+    return m.select("pair_id", "n_ref", "n_hyp", F.bround("precision", 6).alias("precision"),
+                    F.bround("recall", 6).alias("recall"), "bert_f1")
