@@ -182,3 +182,53 @@ def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (F.floor(rank / 8) + 1).cast("bigint").alias("page"), (rank % 8).cast("bigint").alias("pos"))
     again = b.filter(F.col("id") % 5 == 0).withColumn("page", F.col("page") + 1).withColumn("pos", F.col("pos") + 100)
     return b.unionByName(again)
+
+
+CONTAINER_XML = ('<?xml version="1.0"?><container version="1.0" '
+                 'xmlns="urn:oasis:names:tc:opendocument:xmlns:container"><rootfiles>'
+                 '<rootfile full-path="OEBPS/content.opf" media-type="application/oebps-package+xml"/>'
+                 '</rootfiles></container>')
+
+
+def epub_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX6: a book per 10 consecutive pages; manifest item ``i<page>`` (href ``.css`` when
+    page_id mod 7 = 0, none when mod 11 = 0), spine in descending page order, member
+    files for every page except page_id mod 13 = 0. Rows: book_id, entry_path, text."""
+    p = table(spark, sf_dir, "pages").withColumn("book_id", F.concat(F.lit("b"), F.floor(F.col("page_id") / 10).cast("string")))
+    pid = F.col("page_id").cast("string")
+    item = (F.when(F.col("page_id") % 11 == 0, F.concat(F.lit('<item id="i'), pid, F.lit('" media-type="text/html"/>')))
+            .otherwise(F.concat(F.lit('<item id="i'), pid, F.lit('" href="p'), pid,
+                                F.when(F.col("page_id") % 7 == 0, F.lit(".css")).otherwise(F.lit(".xhtml")),
+                                F.lit('" media-type="application/xhtml+xml"/>'))))
+    per_book = p.groupBy("book_id").agg(F.collect_list(F.struct("page_id", item.alias("item"))).alias("xs"))
+    asc = F.array_sort("xs")
+    opf = F.concat(
+        F.lit('<?xml version="1.0"?><package xmlns="http://www.idpf.org/2007/opf" version="3.0"><manifest>'),
+        F.array_join(F.transform(asc, lambda x: x["item"]), ""), F.lit("</manifest><spine>"),
+        F.array_join(F.transform(F.reverse(asc), lambda x: F.concat(F.lit('<itemref idref="i'),
+                                                                    x["page_id"].cast("string"), F.lit('"/>'))), ""),
+        F.lit("</spine></package>"))
+    books = per_book.select("book_id", opf.alias("opf"))
+    meta = books.select("book_id", F.lit("META-INF/container.xml").alias("entry_path"), F.lit(CONTAINER_XML).alias("text")) \
+        .unionByName(books.select("book_id", F.lit("OEBPS/content.opf").alias("entry_path"), F.col("opf").alias("text")))
+    members = p.filter(F.col("page_id") % 13 != 0).select(
+        "book_id", F.concat(F.lit("OEBPS/p"), pid, F.lit(".xhtml")).alias("entry_path"), F.col("html").alias("text"))
+    return meta.unionByName(members)
+
+
+def epub_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The FX6 parts zipped into one EPUB archive per book: (path, content)."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("mimetype", "application/epub+zip")
+            for name, text in sorted(zip(pdf["entry_path"], pdf["text"])):
+                zf.writestr(name, text)
+        return pd.DataFrame({"path": [pdf["book_id"].iloc[0]], "content": [buf.getvalue()]})
+
+    return epub_parts(spark, sf_dir).groupBy("book_id").applyInPandas(pack, "path string, content binary")

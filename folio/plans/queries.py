@@ -496,3 +496,34 @@ def q_greedy_embedding_match(spark, sf):
     m = M.greedy_embedding_match(tv, ["pair_id"])
     return m.select("pair_id", "n_ref", "n_hyp", F.bround("precision", 6).alias("precision"),
                     F.bround("recall", 6).alias("recall"), "bert_f1")
+
+
+from folio.sources import epub as EP  # noqa: E402
+
+
+def _opf_sql(select):
+    return f"""WITH p AS (SELECT *, 'b' || CAST(page_id // 10 AS VARCHAR) AS book_id FROM pages),
+man AS (SELECT book_id, 'i' || CAST(page_id AS VARCHAR) AS item_id,
+               'p' || CAST(page_id AS VARCHAR) || CASE WHEN page_id % 7 = 0 THEN '.css' ELSE '.xhtml' END AS href, page_id
+        FROM p WHERE page_id % 11 <> 0),
+spine AS (SELECT book_id, 'i' || CAST(page_id AS VARCHAR) AS idref,
+                 row_number() OVER (PARTITION BY book_id ORDER BY page_id DESC) - 1 AS spine_pos FROM p),
+members AS (SELECT book_id, 'OEBPS/p' || CAST(page_id AS VARCHAR) || '.xhtml' AS entry_path, html FROM p WHERE page_id % 13 <> 0)
+{select}"""
+
+
+@register("opf_spine", lambda: _opf_sql("""SELECT s.book_id, s.spine_pos, s.idref, 'OEBPS/' || m.href AS entry_path,
+  CAST(length(mb.html) AS BIGINT) AS html_chars
+FROM spine s JOIN man m ON m.book_id = s.book_id AND m.item_id = s.idref
+JOIN members mb ON mb.book_id = s.book_id AND mb.entry_path = 'OEBPS/' || m.href
+WHERE lower(m.href) SIMILAR TO '.*\\.(html|xhtml|htm)'"""))
+def q_opf_spine(spark, sf):
+    parts = fx.epub_parts(spark, sf).select("book_id", "entry_path", F.encode("text", "UTF-8").alias("content"))
+    s = EP.opf_spine(parts)
+    return s.select("book_id", "spine_pos", "idref", "entry_path", F.length("html").cast("bigint").alias("html_chars"))
+
+
+@register("epub_entries")
+def q_epub_entries(spark, sf):
+    e = EP.epub_entries(fx.epub_archives(spark, sf))
+    return e.select("book_id", "entry_path", F.length("content").cast("bigint").alias("n_bytes"), "error")
