@@ -24,15 +24,22 @@ def full_book_parts(sections: DataFrame, book_keys=("book_id",)) -> DataFrame:
     )
 
 
-def write_full_books(parts: DataFrame, path: str, book_keys=("book_id",), num_partitions: int | None = None) -> None:
-    """Write ``<path>/<book key>=.../part-*.txt``; reading a book folder's files in
-    name order and concatenating them yields the book. Range partitioning spreads one
-    large book over several tasks instead of one."""
+def write_full_books(sections: DataFrame, path: str, book_keys=("book_id",), num_partitions: int | None = None) -> None:
+    """Write ``<path>/<book key>=.../part-*.txt``; reading a book folder's files in name
+    order and concatenating them yields the book (sections joined by the separator).
+    The text writer ends every row with a newline, so each row carries the separator
+    minus that newline, and the last section drops its own final newline. Range
+    partitioning spreads one large book over several tasks instead of one."""
     keys = list(book_keys)
-    ordered = parts.repartitionByRange(num_partitions, *keys, "section_pos") if num_partitions \
-        else parts.repartitionByRange(*keys, "section_pos")
+    lasts = sections.groupBy(*keys).agg(F.max("section_pos").alias("_last"))
+    rows = sections.join(lasts, keys).select(
+        *keys, "section_pos",
+        F.when(F.col("section_pos") == F.col("_last"), F.regexp_replace("md", r"\n\z", ""))
+         .otherwise(F.concat("md", F.lit(BOOK_SEPARATOR[:-1]))).alias("part"))
+    ordered = rows.repartitionByRange(num_partitions, *keys, "section_pos") if num_partitions \
+        else rows.repartitionByRange(*keys, "section_pos")
     (ordered.sortWithinPartitions(*keys, "section_pos").select(*keys, "part")
-     .write.mode("overwrite").option("lineSep", "").partitionBy(*keys).text(path))
+     .write.mode("overwrite").partitionBy(*keys).text(path))
 
 
 def book_dir(book_id, title) -> F.Column:

@@ -527,3 +527,37 @@ def q_opf_spine(spark, sf):
 def q_epub_entries(spark, sf):
     e = EP.epub_entries(fx.epub_archives(spark, sf))
     return e.select("book_id", "entry_path", F.length("content").cast("bigint").alias("n_bytes"), "error")
+
+
+# ---------------------------------------------------------------- files and streaming
+
+from folio.session import shared_path  # noqa: E402
+from folio.sources import files as FS  # noqa: E402
+
+
+def _run_dir(spark, sf, name):
+    import hashlib
+    import time
+    tag = hashlib.md5(f"{sf}|{time.time_ns()}".encode()).hexdigest()[:10]
+    return shared_path(spark, f"folio-{name}-{tag}")
+
+
+@register("md_files", lambda: _eval_sql("SELECT lang, book, page, md FROM refs"))
+def q_md_files(spark, sf):
+    refs, _ = _inputs(spark, sf)
+    root = _run_dir(spark, sf, "pages")
+    FS.write_pages(refs, root)
+    return FS.read_md_files(spark, root)
+
+
+@register("incremental_scores", lambda: _eval_sql(
+    f"SELECT model, lang, book, page, ned, similarity, round_even(bleu, 6) AS bleu, struct_f1 FROM scores "
+    f"WHERE model = '{fx.MODEL_B}'"))
+def q_incremental_scores(spark, sf):
+    from folio.streaming.incremental import start_incremental_scores
+    refs, preds = _inputs(spark, sf)
+    base = _run_dir(spark, sf, "stream")
+    preds.filter(F.col("model") == fx.MODEL_B).write.mode("overwrite").parquet(f"{base}/pred")
+    q = start_incremental_scores(spark, refs, f"{base}/pred", f"{base}/scores", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/scores").withColumn("bleu", F.bround("bleu", 6))
