@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from folio.functions.text import col, py_rstrip, py_split
 
@@ -43,3 +45,30 @@ def ngrams(tokens, n: int) -> Column:
                   F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)),
                               lambda i: F.concat_ws(" ", *[F.element_at(t, i + k) for k in range(n)]))
                   ).otherwise(F.array().cast("array<string>"))
+
+
+def _clipped(ref_tokens, hyp_tokens) -> list[int]:
+    from collections import Counter
+
+    out = []
+    for n in range(1, MAX_ORDER + 1):
+        hc = Counter(tuple(hyp_tokens[i:i + n]) for i in range(len(hyp_tokens) - n + 1))
+        if not hc:
+            out.append(0)
+            continue
+        rc = Counter(tuple(ref_tokens[i:i + n]) for i in range(len(ref_tokens) - n + 1))
+        out.append(sum(min(c, rc[g]) for g, c in hc.items()))
+    return out
+
+
+def clipped_matches(ref_tokens, hyp_tokens) -> Column:
+    """Clipped n-gram matches, orders 1..4, as array<bigint> (Arrow-batched, per pair).
+
+    Same counts as exploding the n-grams of both sides and aggregating them on the
+    pair key, without materialising ~4 rows per token."""
+    return _clipped_udf(col(ref_tokens), col(hyp_tokens))
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _clipped_udf(r: pd.Series, h: pd.Series) -> pd.Series:
+    return pd.Series([_clipped(list(a), list(b)) for a, b in zip(r, h)])

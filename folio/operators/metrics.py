@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.distance import levenshtein_fast
-from folio.functions.bleu import MAX_ORDER, ngrams, tokenize_13a
+from folio.functions.bleu import MAX_ORDER, clipped_matches, ngrams, tokenize_13a
 from folio.functions.markdown import ELEMENT_TYPES, elements
 from folio.functions.text import col, normalise
 
@@ -101,27 +101,38 @@ def prepare_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp") ->
 
 
 def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
-                partitioned_by=None, detail: bool = False, with_counts: bool = False) -> DataFrame:
+                partitioned_by=None, detail: bool = False, with_counts: bool = False,
+                bleu_engine: str = "arrow") -> DataFrame:
     """Per pair: ned, similarity, bleu, struct_f1 (+ one F1 column per element type
     with ``detail``; + BLEU n-gram counts with ``with_counts``).
 
     ``partitioned_by``: columns (a subset of ``keys``) the input is already hash
     partitioned on, e.g. the keys of the join that built the pairs; otherwise the
     pairs are repartitioned on ``keys`` once so that all aggregations stay local.
+
+    ``bleu_engine``: "arrow" (default) counts clipped n-gram matches per pair in one
+    Arrow batch call; "explode" puts every n-gram into the item table and lets the
+    hash aggregation count them (same result, ~4 rows per token through the aggregation).
     """
     keys = list(keys)
     base = prepare_pairs(pairs, keys, ref, hyp)
     if not partitioned_by:
         base = base.repartition(*keys)
-    scal = ["ned", "ref_len", "hyp_len"]
+    arrow = bleu_engine == "arrow"
+    scal = ["ned", "ref_len", "hyp_len"] + ([f"_c{n}" for n in range(1, MAX_ORDER + 1)] if arrow else [])
     # Arrays are materialised first: lambdas below only see column references.
     base = base.select(*keys, ned("_rn", "_hn").alias("ned"),
                        tokenize_13a("_rn").alias("_rt"), tokenize_13a("_hn").alias("_ht"),
                        elements("_ref").alias("_er"), elements("_hyp").alias("_eh"))
+    if arrow:
+        base = base.withColumn("_cm", clipped_matches("_rt", "_ht")).select(
+            "*", *[F.col("_cm")[n - 1].alias(f"_c{n}") for n in range(1, MAX_ORDER + 1)])
+        grams = []
+    else:
+        grams = [_gram_items(F.col("_rt"), "r"), _gram_items(F.col("_ht"), "h")]
     base = base.select(
-        *keys, "ned", F.size("_rt").alias("ref_len"), F.size("_ht").alias("hyp_len"),
-        F.concat(F.array(_item("p", F.lit(""), F.lit(""), "-")),
-                 _gram_items(F.col("_rt"), "r"), _gram_items(F.col("_ht"), "h"),
+        *keys, "ned", F.size("_rt").alias("ref_len"), F.size("_ht").alias("hyp_len"), *scal[3:],
+        F.concat(F.array(_item("p", F.lit(""), F.lit(""), "-")), *grams,
                  _element_items(F.col("_er"), "r"), _element_items(F.col("_eh"), "h")).alias("items"),
     )
     # explode_outer: no inferred size(items) > 0 filter (items always holds the sentinel).
@@ -132,8 +143,11 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
     per_sub = (counts.groupBy(*keys, *scal, "kind", "sub")
                .agg(F.sum(F.least("rc", "hc")).alias("tp"), F.sum("rc").alias("rt"), F.sum("hc").alias("ht"))
                .withColumn("f1", F.when(F.col("kind") == "s", f1_of("tp", "rt", "ht"))))
-    aggs = [F.coalesce(F.sum(F.when((F.col("kind") == "b") & (F.col("sub") == str(n)), F.col("tp"))),
-                       F.lit(0)).cast("bigint").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
+    if arrow:
+        aggs = []
+    else:
+        aggs = [F.coalesce(F.sum(F.when((F.col("kind") == "b") & (F.col("sub") == str(n)), F.col("tp"))),
+                           F.lit(0)).cast("bigint").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
     # Per-type F1 (absent type -> NULL) and presence in the reference, so the macro
     # average adds the types in their fixed order, as the definition does.
     for t in ELEMENT_TYPES:
@@ -141,6 +155,9 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
         aggs.append(F.max(F.when(is_t, F.col("f1"))).alias(f"_f1_{t}"))
         aggs.append(F.max(F.when(is_t & (F.col("rt") > 0), F.lit(1)).otherwise(F.lit(0))).alias(f"_in_{t}"))
     per_pair = per_sub.groupBy(*keys, *scal).agg(*aggs)
+    if arrow:
+        per_pair = per_pair.select("*", *[F.col(f"_c{n}").cast("bigint").alias(f"correct_{n}")
+                                          for n in range(1, MAX_ORDER + 1)])
     correct = [F.col(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
 
     def total_of(n):
