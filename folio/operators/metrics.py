@@ -107,8 +107,10 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
     with ``detail``; + BLEU n-gram counts with ``with_counts``).
 
     ``partitioned_by``: columns (a subset of ``keys``) the input is already hash
-    partitioned on, e.g. the keys of the join that built the pairs; otherwise the
-    pairs are repartitioned on ``keys`` once so that all aggregations stay local.
+    partitioned on, e.g. the keys of the join that built the pairs. The texts are
+    never shuffled here: per-pair work runs in-row, then the compact per-pair rows
+    (scalars + element items) are placed on the pair key once, so all aggregations
+    stay local.
 
     ``bleu_engine``: "arrow" (default) counts clipped n-gram matches per pair in one
     Arrow batch call; "explode" puts every n-gram into the item table and lets the
@@ -116,8 +118,6 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
     """
     keys = list(keys)
     base = prepare_pairs(pairs, keys, ref, hyp)
-    if not partitioned_by:
-        base = base.repartition(*keys)
     arrow = bleu_engine == "arrow"
     scal = ["ned", "ref_len", "hyp_len"] + ([f"_c{n}" for n in range(1, MAX_ORDER + 1)] if arrow else [])
     # Arrays are materialised first: lambdas below only see column references.
@@ -135,6 +135,11 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
         F.concat(F.array(_item("p", F.lit(""), F.lit(""), "-")), *grams,
                  _element_items(F.col("_er"), "r"), _element_items(F.col("_eh"), "h")).alias("items"),
     )
+    # The texts are gone by now: only per-pair scalars and the item array move. Python
+    # evaluation nodes do not report the partitioning of their input, so the compact rows
+    # are placed on the pair key once here and every aggregation below stays local.
+    part = list(partitioned_by) if partitioned_by and not arrow else keys
+    base = base.repartition(*part)
     # explode_outer: no inferred size(items) > 0 filter (items always holds the sentinel).
     x = base.select(*keys, *scal, F.explode_outer("items").alias("it")).select(
         *keys, *scal, "it.kind", "it.sub", "it.tok", "it.r", "it.h")
