@@ -384,3 +384,68 @@ def clean_rules_sql(x: str) -> list[tuple[str, str]]:
         cur = fn(cur)
         steps.append((rid, cur))
     return steps
+
+
+# ---------------------------------------------------------------- HTML
+
+def html_ctes(html_source: str) -> str:
+    """CTEs hb (page_id, pos, tag, cls, text) and pm (+ promoted tag) from a (page_id, html) source."""
+    from folio.functions.html import BLOCK_TAGS, ENTITIES, HEADING_RULES
+    from folio.plans.fixtures import HEADING_CLASSES  # noqa: F401
+    x = "html"
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
+    for t in ("head", "script", "style"):
+        x = f"regexp_replace({x}, '(?is)<{t}\\b[^>]*>.*?</{t}\\s*>', '', 'g')"
+    for pat, rep in ((r'(?is)<(b|strong)\b[^>]*>(.*?)</(?:b|strong)\s*>', r'**\2**'),
+                     (r'(?is)<(i|em)\b[^>]*>(.*?)</(?:i|em)\s*>', r'*\2*'),
+                     (r'(?is)<sup\b[^>]*>(.*?)</sup\s*>', r'^\1^'),
+                     (r'(?is)<sub\b[^>]*>(.*?)</sub\s*>', r'~\1~'),
+                     (r'(?is)<(del|s)\b[^>]*>(.*?)</(?:del|s)\s*>', r'~~\2~~'),
+                     (r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', r'[\2](\1)'),
+                     (r'(?is)<img\b[^>]*?src\s*=\s*"([^"]*)"[^>]*?alt\s*=\s*"([^"]*)"[^>]*>', r'![\2](\1)'),
+                     (r'(?is)<img\b[^>]*?src\s*=\s*"([^"]*)"[^>]*>', r'![](\1)')):
+        x = f"regexp_replace({x}, '{pat}', '{rep}', 'g')"
+    x = f"regexp_replace({x}, '(?i)<br\\s*/?>', chr(10), 'g')"
+    x = f"regexp_replace({x}, '(?i)<({BLOCK_TAGS})\\b([^>]*)>', chr(1) || '\\1' || chr(2) || '\\2' || chr(2), 'g')"
+    x = f"regexp_replace({x}, '(?i)</({BLOCK_TAGS})\\s*>', chr(1), 'g')"
+    body = "regexp_replace(body, '<[^>]*>', '', 'g')"
+    for ent, ch in ENTITIES:
+        body = f"replace({body}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    text = strip(f"regexp_replace({body}, '{WS_RE}+', ' ', 'g')")
+    lvl = "CASE " + " ".join(f"WHEN regexp_matches(cls, '(?i){pat}') THEN {n}" for pat, n in HEADING_RULES) + " END"
+    words = f"len(list_filter(string_split_regex({strip('text')}, '{WS_RE}+'), lambda w: w <> ''))"
+    return f"""
+src AS ({html_source}),
+parts AS (
+  SELECT page_id, u.k - 1 AS pos, u.p FROM src,
+  LATERAL (SELECT unnest(string_split({x}, chr(1))) AS p, generate_subscripts(string_split({x}, chr(1)), 1) AS k) u
+),
+hraw AS (
+  SELECT page_id, pos,
+    CASE WHEN contains(p, chr(2)) THEN lower(string_split(p, chr(2))[1]) ELSE '' END AS tag,
+    CASE WHEN contains(p, chr(2)) THEN regexp_extract(string_split(p, chr(2))[2], '(?i)class\\s*=\\s*"([^"]*)"', 1) ELSE '' END AS cls,
+    CASE WHEN contains(p, chr(2)) THEN string_split(p, chr(2))[3] ELSE p END AS body
+  FROM parts
+),
+hb AS (SELECT page_id, pos, tag, cls, {text} AS text FROM hraw),
+pm AS (
+  SELECT page_id, pos, cls, text,
+    CASE WHEN tag IN ('p', 'div') AND cls <> '' AND ({lvl}) IS NOT NULL AND {words} <= 20
+         THEN 'h' || CAST({lvl} AS VARCHAR) ELSE tag END AS tag
+  FROM hb
+),
+pmd AS (
+  SELECT s.page_id, coalesce(string_agg(
+      CASE WHEN regexp_matches(tag, '^h[1-6]$') THEN repeat('#', CAST(substr(tag, 2) AS INTEGER)) || ' ' || text
+           WHEN tag = 'li' THEN '- ' || text WHEN tag = 'blockquote' THEN '> ' || text ELSE text END,
+      chr(10) || chr(10) ORDER BY pos), '') AS md
+  FROM src s LEFT JOIN (SELECT * FROM pm WHERE text <> '') b USING (page_id) GROUP BY s.page_id
+),
+pclean AS (SELECT page_id, {strip(clean_rules_sql('md')[-1][1])} || chr(10) AS md FROM pmd)"""
+
+
+def classed_pages_sql() -> str:
+    from folio.plans.fixtures import HEADING_CLASSES
+    arr = "[" + ", ".join(f"'{c}'" for c in HEADING_CLASSES) + "]"
+    return ("SELECT page_id, array_to_string(list_transform(string_split(html, '<p>'), lambda s, i: "
+            f"CASE WHEN i = 1 THEN s ELSE '<p class=\"' || {arr}[((i - 2) % 6) + 1] || '\">' || s END), '') AS html FROM pages")

@@ -180,7 +180,11 @@ def _eval_sql(select):
 
 
 def _inputs(spark, sf):
-    refs = fx.ref_pages(spark, sf)
+    # Both sides derive from the reference pages: cut the lineage once (reliable
+    # checkpoint in the shared folder) so the chunk pipeline runs once, not per branch.
+    from folio.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    refs = fx.ref_pages(spark, sf).checkpoint()
     return refs, fx.predictions(spark, sf, refs)
 
 
@@ -366,12 +370,12 @@ def flagship(spark, sf):
 from folio.operators import convert as CV  # noqa: E402
 
 
-@register("html_blocks")
+@register("html_blocks", lambda: f"WITH {O.html_ctes('SELECT page_id, html FROM pages')}\nSELECT page_id, CAST(pos AS BIGINT) AS pos, tag, cls, text FROM hb WHERE text <> ''")
 def q_html_blocks(spark, sf):
     return CV.html_blocks(fx.table(spark, sf, "pages"))
 
 
-@register("promote_headings")
+@register("promote_headings", lambda: f"WITH {O.html_ctes(O.classed_pages_sql())}\nSELECT page_id, CAST(pos AS BIGINT) AS pos, tag, cls, text FROM pm WHERE cls <> ''")
 def q_promote_headings(spark, sf):
     from folio.functions import html as H
     from folio.functions.text import posexplode_rows
@@ -383,12 +387,12 @@ def q_promote_headings(spark, sf):
                .filter("cls <> ''")
 
 
-@register("html_to_markdown")
+@register("html_to_markdown", lambda: f"WITH {O.html_ctes(O.classed_pages_sql())}\nSELECT page_id, md FROM pclean")
 def q_html_to_markdown(spark, sf):
     return CV.html_to_markdown(fx.classed_pages(spark, sf))
 
 
-@register("section_filter")
+@register("section_filter", lambda: f"WITH {O.html_ctes(O.classed_pages_sql())}\nSELECT page_id, CAST(length(md) AS BIGINT) AS n_chars, md FROM pclean WHERE length({O.strip('md')}) >= 50")
 def q_section_filter(spark, sf):
     s = CV.section_filter(CV.html_to_markdown(fx.classed_pages(spark, sf)))
     return s.select("page_id", F.length("md").cast("bigint").alias("n_chars"), "md")
