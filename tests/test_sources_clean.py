@@ -54,3 +54,23 @@ def test_page_tree_and_layout(spark):
         f.write(b"\xff\xd8jpg")
     lay = FS.dataset_layout(FS.read_page_files(spark, os.path.join(d, "ds"))).collect()
     assert [(r.lang, r.book, r.page) for r in lay] == [("it", "1_x", "page_0001.jpg")]
+
+
+def test_full_book_files_and_metadata_sink(spark):
+    from folio.operators import dataset as D
+    d = tempfile.mkdtemp(prefix="folio-books-")
+    secs = spark.createDataFrame([("b1", 2, "second\n"), ("b1", 1, "first\n"), ("b1", 3, "third\n"), ("b2", 5, "only\n")],
+                                 "book_id string, section_pos long, md string")
+    D.write_full_books(secs, os.path.join(d, "books"), num_partitions=3)
+    for book, want in (("b1", "first\n\n\n---\n\nsecond\n\n\n---\n\nthird\n"), ("b2", "only\n")):
+        folder = os.path.join(d, "books", f"book_id={book}")
+        text = "".join(open(os.path.join(folder, f)).read() for f in sorted(os.listdir(folder)) if f.endswith(".txt"))
+        assert text == want
+    parts = sorted((r.section_pos, r.part) for r in D.full_book_parts(secs).filter("book_id = 'b1'").collect())
+    assert "".join(p for _, p in parts) == "first\n\n\n---\n\nsecond\n\n\n---\n\nthird\n"
+    meta = spark.createDataFrame([("it", "b1", "T", ["A"], [(0, "mandatory", "x.jpg", "x.md")])],
+                                 "lang string, book_id string, title string, authors array<string>, "
+                                 "pages array<struct<page_idx:int,zone:string,img_path:string,md_path:string>>")
+    D.write_metadata(D.language_metadata(meta), os.path.join(d, "meta"))
+    back = spark.read.json(os.path.join(d, "meta")).collect()
+    assert back[0].lang == "it" and back[0].books[0].id == "b1"
