@@ -102,18 +102,26 @@ def split_sections(sections: DataFrame, params: Params = Params(), book_keys=("b
 
 
 def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("book_id",),
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Split sections and give every chunk its 0-based position in the book.
 
     Output: book keys, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md.
+
+    The counts branch only needs ``size(pieces)``, so column pruning gives it its own
+    copy of the split (the exchange is not reused). With ``materialize=True`` the
+    pieces are written once to the shared checkpoint folder and both branches read
+    them: use it when the split dominates the cost.
     """
     keys = list(book_keys)
     kept = with_pieces(sections.filter(F.length(py_strip("md")) >= params.min_md_chars)
                        .select(*keys, "section_pos", "section_id", "md"), "md", "pieces", params).drop("md")
-    # One shuffle of the section text on its unique key; both branches below read it
-    # (the exchange is reused), so the split runs once.
+    # One shuffle of the section text on its unique key (never on the book alone).
     part_cols = keys + ["section_pos"]
     kept = kept.repartition(num_partitions, *part_cols) if num_partitions else kept.repartition(*part_cols)
+    if materialize:
+        from folio.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(kept.sparkSession)
+        kept = kept.checkpoint()
     counts = kept.select(*keys, "section_pos", F.size("pieces").alias("n_pieces"))
     ordered = Window.partitionBy(*keys).orderBy("section_pos")
     offsets = counts.select(
