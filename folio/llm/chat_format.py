@@ -92,6 +92,7 @@ def format_turns(turns: DataFrame, conv_col="conv_id", turn_col="turn", role_col
                 ["conv_id", "turn", "tie", "input_ids", "loss_mask", "n_tokens"])
 
     out = rows.mapInArrow(run, "conv_id long, turn long, tie long, input_ids array<int>, loss_mask array<tinyint>, n_tokens long")
+    out = out.repartition("conv_id")            # also when the prefix sum is pruned away
     w = Window.partitionBy("conv_id").orderBy("turn", "tie").rowsBetween(Window.unboundedPreceding, -1)
     return out.withColumn("token_start", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)))
 
@@ -144,5 +145,5 @@ def digests(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         cols = list(zip(*rows)) if rows else [[]] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], [f.split()[0] for f in fields.split(", ")])
 
-    # format_turns() has left each conversation whole and in order in one partition
+    # format_turns() has left each conversation whole in one partition
     return formatted.sortWithinPartitions("conv_id", "turn", "tie").select("conv_id", "input_ids", "loss_mask").mapInArrow(run, fields)

@@ -33,11 +33,11 @@ SYMBOLS = b"#*$%&|<>"
 #: script -> (least and most characters per piece token, least per byte-BPE token,
 #:            most byte fallback, least share of the highest entropy)
 BANDS = {
-    "latin": (1.15, 7.0, 1.15, 0.20, 0.50),
-    "cyrillic": (0.9, 7.0, 0.5, 0.30, 0.50),
-    "greek": (0.5, 6.0, 0.4, 0.60, 0.50),
-    "cjk": (0.25, 3.0, 0.2, 0.90, 0.40),
-    "other": (0.2, 7.0, 0.2, 1.00, 0.40),
+    "latin": (1.4, 7.0, 1.6, 0.20, 0.30),
+    "cyrillic": (0.9, 7.0, 0.5, 0.30, 0.30),
+    "greek": (0.5, 6.0, 0.4, 0.60, 0.30),
+    "cjk": (0.25, 3.0, 0.2, 0.90, 0.25),
+    "other": (0.2, 7.0, 0.2, 1.00, 0.25),
 }
 SCRIPTS = list(BANDS)
 _LOADED: dict[tuple[str, str], tuple] = {}
