@@ -113,7 +113,7 @@ def token_measures(spans, n: int, pieces: str, ranks: str):
     begin = np.r_[0, np.cumsum(size)]
     run = np.r_[0, np.cumsum(fallback[tokens])]
     back = run[begin[1:]] - run[begin[:-1]]
-    byte_size = np.array([len(x) for x in enc.encode_ordinary_batch([" " + w for w in words], num_threads=1)], np.int64) if words else size
+    byte_size = np.array([len(enc.encode_ordinary(" " + w)) for w in words], np.int64) if words else size
     per = lambda x: np.bincount(doc, weights=x[inv], minlength=n).astype(np.int64)
     n_piece, n_byte, n_back = per(size), per(byte_size), per(back)
     entropy = np.zeros(n)
