@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folio.llm import chat_format, decontaminate, fertility, html_extract, line_dedup, mixing, quality, simhash
+from folio.llm import chat_format, decontaminate, fertility, html_extract, line_dedup, maxent_lm, mixing, quality, simhash
 
 LLM_REGISTRY: dict = {}
 
@@ -62,3 +62,8 @@ def op8(spark, sf):
 @register("op9_html_extract")
 def op9(spark, sf):
     return html_extract.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
+@register("op4_maxent_lm")
+def op4(spark, sf):
+    return maxent_lm.score(table(spark, sf, "documents"))
