@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folio.llm import chat_format, decontaminate, fertility, html_extract, line_dedup, maxent_lm, mixing, quality, simhash
+from folio.llm import chat_format, decontaminate, fertility, html_extract, line_dedup, maxent_lm, mixing, quality, simhash, suffix_dedup
 
 LLM_REGISTRY: dict = {}
 
@@ -67,3 +67,10 @@ def op9(spark, sf):
 @register("op4_maxent_lm")
 def op4(spark, sf):
     return maxent_lm.score(table(spark, sf, "documents"))
+
+
+@register("op2_suffix_dedup")
+def op2(spark, sf):
+    found = suffix_dedup.dedup_suffixes(table(spark, sf, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
