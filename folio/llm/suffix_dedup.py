@@ -209,8 +209,10 @@ def repeated_windows(docs: DataFrame, length: int = 100, cover: str = "content")
         place = F.struct("doc_id", "p")
         classes = level.groupBy("core", "full").agg(F.count("*").alias("n"), F.min(place).alias("first"))
         shared = classes.groupBy("core").agg(F.sum("n").alias("core_n"), F.count("*").alias("contexts")).filter("core_n > 1")
-        ruled = level.join(shared, "core").join(classes.select("core", "full", "first"), ["core", "full"])
-        ruled = written(ruled.withColumn("later", place > F.col("first")).filter("later or contexts > 1").drop("first", "core_n"), f"level{size}")
+        classes = classes.join(shared, "core").select("core", "full", "first", "contexts")
+        # the rows with their bytes move once; those that are decided leave their bytes behind
+        ruled = level.join(classes, ["core", "full"]).withColumn("later", place > F.col("first")).filter("later or contexts > 1")
+        ruled = written(ruled.withColumn("bytes", F.when(~F.col("later"), F.col("bytes"))).drop("core", "full", "first", "contexts"), f"level{size}")
         found.append(ruled.filter("later").select("doc_id", "key", "lo", "hi"))
         if size == 1:
             break
