@@ -6,9 +6,9 @@ input); expectation-maximisation on these counts estimates how often each labell
 is right, and gives each pattern a posterior. A linear scorer over hashed features
 (byte trigrams and binned text statistics) learns the posteriors and decides.
 
-The scorer is fitted on a bounded sample, ``sample_rows`` documents with the
-smallest hash of id and text (documented parameter); votes, counts and decisions
-cover all documents.
+The scorer is fitted on a bounded sample, about ``sample_rows`` documents with the
+smallest hashes of id and text (documented parameter; never more than twice as many,
+should rows of equal id and text crowd there); votes, counts and decisions cover all documents.
 
 Defined results: words are [^\\x20\\x09-\\x0D]+; null and empty texts have no words,
 all labellers abstain and they are kept; equal rows get equal scores; an empty table
@@ -160,6 +160,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tup
 
 def train(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-5) -> np.ndarray:
     """Logistic regression on soft labels by full-batch gradient steps with momentum."""
+    x = x.astype(np.float64)
     w, v = np.zeros(x.shape[1]), np.zeros(x.shape[1])
     w[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)) if len(y) else 3.0
     if not len(y):
@@ -195,8 +196,10 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", min_words: int = 5, s
             f = _features(t, s)[n >= min_words].astype("<f4")
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in f], pa.binary()), pa.array(np.array(y)[n >= min_words], pa.float64())], ["x", "y"])
 
-    pick = rows.select("text", F.xxhash64(F.coalesce("i", F.lit("")), digest_key("text")).alias("k")).orderBy("k").limit(sample_rows)
-    fitted = pick.select("text").mapInArrow(examples, "x binary, y double").collect()
+    # the documents whose hash lies in the lowest sample_rows / n of all hashes: chosen in the scan, without a sort
+    share = min(1.0, sample_rows / max(1, sum(r.n for r in got)))
+    pick = rows.filter(F.pmod(F.xxhash64(F.coalesce("i", F.lit("")), digest_key("text")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    fitted = pick.select("text").mapInArrow(examples, "x binary, y double").limit(2 * sample_rows).collect()
     x = np.array([np.frombuffer(r.x, "<f4") for r in fitted], np.float32).reshape(-1, DIMS)
     return train(x, np.array([r.y for r in fitted])), dict(zip(LABELLERS, right.tolist()))
 
