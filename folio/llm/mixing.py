@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import prepare
+from folio.llm.common import cut, prepare
 
 TERMS = 100          # terms of a Poisson distribution of mean 16 or less: what is left is below 1e-40
 
@@ -46,7 +46,7 @@ def rates(docs: DataFrame, weights: dict | None = None, budget: float | None = N
 
 
 def mix(docs: DataFrame, weights: dict | None = None, budget: float | None = None, seed: int = 17,
-        id_col="doc_id", source_col="source", text_col="text", part: float = 16.0) -> DataFrame:
+        id_col="doc_id", source_col="source", text_col="text", part: float = 16.0, broadcast_sources: int = 10_000) -> DataFrame:
     """docs repeated to the target weights, in a global random order."""
     prepare(docs.sparkSession)
     facts = F.array(*[F.lit(float(math.factorial(k))) for k in range(TERMS)])
@@ -54,6 +54,9 @@ def mix(docs: DataFrame, weights: dict | None = None, budget: float | None = Non
     r = r.withColumn("parts", F.greatest(F.ceil(F.col("mean") / part), F.lit(1)).cast("int")).withColumn("each", F.col("mean") / F.col("parts"))
     r = r.withColumn("pmf", F.transform(facts, lambda f, k: F.exp(-F.col("each")) * F.pow(F.col("each"), k) / f))
     r = r.withColumn("cdf", F.transform("pmf", lambda p, k: F.aggregate(F.slice("pmf", F.lit(1), k + 1), F.lit(0.0), lambda a, x: a + x))).select("_source", "parts", "cdf")
+    r = cut(r)                                   # one row a source
+    if r.count() <= broadcast_sources:           # else a join by source, whose hot keys Spark splits
+        r = F.broadcast(r)
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = docs.join(r, F.col(source_col).eqNullSafe(F.col("_source")))
     draw = lambda j: F.size(F.filter("cdf", lambda c: c <= _uniform(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), j.cast("string")))))
