@@ -53,6 +53,19 @@ def digest_key(col: str):
     return F.xxhash64(F.coalesce(F.col(col), F.lit("\0")))
 
 
+def pack(docs: DataFrame, **keys) -> DataFrame:
+    """The row as one struct ``row`` beside the keys, so that no column of docs can clash with a key."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[k.alias(n) for n, k in keys.items()])
+
+
+def unpack(rows: DataFrame, columns: list[str], **new) -> DataFrame:
+    """The columns of docs again; ``new`` replaces columns of the same name or is added."""
+    named = {n.lower(): (n, e) for n, e in new.items()}
+    here = [named[c.lower()][1].alias(c) if c.lower() in named else F.col("row").getField(c).alias(c) for c in columns]
+    rest = [e.alias(n) for low, (n, e) in named.items() if low not in {c.lower() for c in columns}]
+    return rows.select(*here, *rest)
+
+
 def union_min(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Join the sets of a[i] and b[i] in place; label[x] ends as the least member of x's set."""
     while len(a):

@@ -212,12 +212,15 @@ def extract(pages: DataFrame, id_col="page_id", html_col="html", window: int = 3
     """pages with the html replaced by text and n_chars (code points)."""
     prepare(pages.sparkSession)
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    rows = pages.select(*[f"`{c}`" for c in keep], F.col(html_col).cast("string").alias("_html"))
+    page = "_html"
+    while page in keep:
+        page += "_"
+    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html_col).cast("string").alias(page))
 
     def run(batches):
         for b in batches:
             t = [main_text(x, window, surge) for x in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(t, pa.string()), pa.array([len(x) for x in t], pa.int64())], [*keep, "text", "n_chars"])
 
-    schema = rows.drop("_html").schema.add("text", "string").add("n_chars", "long")
+    schema = rows.drop(page).schema.add("text", "string").add("n_chars", "long")
     return rows.mapInArrow(run, schema)

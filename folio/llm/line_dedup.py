@@ -11,7 +11,8 @@ hash that turns out to hold different texts is resolved by its bytes.
 
 Defined results: null text stays null; a text whose chunks all go becomes empty;
 null ids come last and count as one document, as do rows of equal doc_id (each of
-them keeps its own first copy); an empty table stays empty; further columns pass.
+them keeps its own first copy); an empty table stays empty; further columns pass
+(n_chars is brought up to date, n_removed is added or replaced).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import digest_key, prepare, written
+from folio.llm.common import digest_key, pack, prepare, unpack, written
 
 LAST = (1 << 63) - 1
 
@@ -72,14 +73,14 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", window: int =
         occurs = each.join(mixed, "h", "left_semi").groupBy("_id", "_key", "h", "chunk").agg(F.min("no").alias("no0"), F.collect_list("no").alias("nos"))
         gone = gone.unionByName(occurs.join(by_text, ["h", "chunk"]).select("_id", "_key", mine.alias("nos")))
     drop = gone.filter(F.size("nos") > 0).groupBy("_id", "_key").agg(F.flatten(F.collect_set("nos")).alias("_drop"))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), "_key": digest_key(text_col)})
-    cut = with_chunks(keyed.join(drop, ["_id", "_key"], "left").withColumn("_cut", F.when(F.col("_drop").isNotNull(), F.col(text_col))), "_cut", window, divisor)
+    keyed = pack(docs, _id=F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), _key=digest_key(text_col), _text=F.col(text_col))
+    cut = with_chunks(keyed.join(drop, ["_id", "_key"], "left").withColumn("_cut", F.when(F.col("_drop").isNotNull(), F.col("_text"))), "_cut", window, divisor)
     kept = F.array_join(F.transform(F.filter("_chunks", lambda c: ~F.array_contains("_drop", c["no"])), lambda c: c["chunk"]), "\n")
-    out = cut.withColumn("_text", F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept))
-    out = out.withColumn("_n", F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")))
-    cols = [F.col("_text").alias(c) if c == text_col else
-            F.length("_text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*cols, F.col("_n").cast("long").alias("n_removed"))
+    out = cut.withColumn("_text", F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept))
+    new = {text_col: F.col("_text"), "n_removed": F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("_text").cast("long")
+    return unpack(out, docs.columns, **new)
 
 
 def oracle_sql(window: int = 2, divisor: int = 3) -> str:

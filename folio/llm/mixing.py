@@ -10,7 +10,7 @@ several independent draws, so no rate is capped.
 Defined results: null source is a source of its own; sources without a
 target weight go (weight 0); null texts count one character; rows of equal doc_id
 get equal counts; null ids draw as one id; an empty table stays empty; further
-columns pass, ``copy`` (from 1) and ``shuffle_key`` are added.
+columns pass, ``copy`` (from 1) and ``shuffle_key`` are added or replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import cut, prepare
+from folio.llm.common import cut, pack, prepare, unpack
 
 TERMS = 100          # terms of a Poisson distribution of mean 16 or less: what is left is below 1e-40
 
@@ -57,17 +57,17 @@ def mix(docs: DataFrame, weights: dict | None = None, budget: float | None = Non
     r = cut(r)                                   # one row a source
     if r.count() <= broadcast_sources:           # else a join by source, whose hot keys Spark splits
         r = F.broadcast(r)
-    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = docs.join(r, F.col(source_col).eqNullSafe(F.col("_source")))
+    name = F.col("_name")
+    rows = pack(docs, _name=F.coalesce(F.col(id_col).cast("string"), F.lit("")), _from=F.col(source_col)).join(r, F.col("_from").eqNullSafe(F.col("_source")))
     draw = lambda j: F.size(F.filter("cdf", lambda c: c <= _uniform(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), j.cast("string")))))
     one = rows.withColumn("_u", _uniform(F.concat(F.lit(f"{seed}:"), name, F.lit(":1"))))
     first = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
     more = F.aggregate(F.when(F.col("parts") > 1, F.sequence(F.lit(2), F.col("parts"))).otherwise(F.array().cast("array<int>")), F.lit(0), lambda a, j: a + draw(j))
     n = one.withColumn("_times", first + more).filter("_times > 0")
-    copies = n.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times").cast("long"))))
-    copies = copies.withColumn("shuffle_key", F.md5(F.concat(F.lit(f"{seed}#"), name, F.lit("#"), F.col("copy").cast("string")).cast("binary")))
-    out = copies.select(*[f"`{c}`" for c in docs.columns], "copy", "shuffle_key")
-    return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = n.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times").cast("long"))))
+    copies = copies.withColumn("_order", F.md5(F.concat(F.lit(f"{seed}#"), name, F.lit("#"), F.col("_copy").cast("string")).cast("binary")))
+    out = copies.repartition("_order").sortWithinPartitions("_order")
+    return unpack(out, docs.columns, copy=F.col("_copy"), shuffle_key=F.col("_order"))
 
 
 def oracle_sql(seed: int = 17, table: str = "documents") -> str:

@@ -135,6 +135,8 @@ def _features(texts: list[bytes], stats: np.ndarray) -> np.ndarray:
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """EM over vote patterns: posterior of good for each, and P(right | voted) of each labeller."""
+    if not len(patterns):
+        return np.zeros(0), np.zeros(patterns.shape[1])
     w = counts.astype(np.float64)
     good, bad = (patterns == 1), (patterns == -1)
     score = good.sum(1) - 3.0 * bad.sum(1)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import components, digest_key, prepare, text_bytes, union_min, words_of, written
+from folio.llm.common import components, digest_key, pack, prepare, text_bytes, union_min, unpack, words_of, written
 
 PART = 1 << 16   # shingles or words of bit planes handled at once
 
@@ -211,6 +211,6 @@ def drop_near_copies(docs: DataFrame, id_col="doc_id", text_col="text", shingle:
     least = F.lit(-(1 << 63)).cast("long")          # stands for a null id; such rows still differ by their text
     keep = found.groupBy("root").agg(F.min(order).alias("o")).select(
         F.coalesce("o.doc_id", least).alias("_id"), F.col("o.text_key").alias("_key"))
-    rows = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), least), "_key": digest_key(text_col)})
+    rows = pack(docs, _id=F.coalesce(F.col(id_col).cast("long"), least), _key=digest_key(text_col))
     nth = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0)))
-    return rows.join(keep, ["_id", "_key"]).withColumn("_nth", nth).filter("_nth = 1").select(*[f"`{c}`" for c in docs.columns])
+    return unpack(rows.join(keep, ["_id", "_key"]).withColumn("_nth", nth).filter("_nth = 1"), docs.columns)
