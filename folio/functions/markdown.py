@@ -21,7 +21,7 @@ white space is collapsed, the text stripped and lower-cased.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import WS_CLASS, col, normalise_token
@@ -43,16 +43,17 @@ RE_BOLD_ITALIC = r"(?s)\*{3}(.+?)\*{3}"
 RE_BOLD = r"(?s)\*{2}(.+?)\*{2}"
 RE_ITALIC = r"\*([^*\n]+)\*"
 
-# Line-based block contract.
+# Line-based block contract. Repeated groups are possessive: nothing behind them could take
+# back a line, and the regex engine then loops over lines where it would else recurse.
 RE_FENCE = r"(?msd)^ {0,3}(```|~~~).*?(?:^ {0,3}\1[^\n]*(?:\n|\z)|\z)"
-RE_QUOTE_RUN = r"(?md)(?:^ {0,3}>[^\n]*(?:\n|\z))+"
-RE_QUOTE_MARK = r"(?md)^(?: {0,3}> ?)+"
-_DELIM = r"[ \t]*\|?(?:[ \t]*:?-+:?[ \t]*\|)+(?:[ \t]*:?-+:?[ \t]*)?"
-RE_TABLE = r"(?md)^([^\n|]*\|[^\n]*)\n(" + _DELIM + r")(?:\n|\z)((?:[^\n|]*\|[^\n]*(?:\n|\z))*)"
+RE_QUOTE_RUN = r"(?md)(?:^ {0,3}>[^\n]*+(?:\n|\z))++"
+RE_QUOTE_MARK = r"(?md)^(?: {0,3}> ?)++"
+_DELIM = r"[ \t]*\|?(?:[ \t]*+:?-++:?[ \t]*+\|)++(?:[ \t]*:?-+:?[ \t]*)?"
+RE_TABLE = r"(?md)^([^\n|]*\|[^\n]*)\n(" + _DELIM + r")(?:\n|\z)((?:[^\n|]*+\|[^\n]*+(?:\n|\z))*+)"
 RE_HEADING = r"(?md)^ {0,3}(#{1,6})(?:[ \t]+([^\n]*?))?(?:[ \t]+#+)?[ \t]*$"
 _MARK = r"(?:[-*+]|\d{1,9}[.)])"
-RE_ITEM = (r"(?md)^(?![ \t]*([-*_])(?:[ \t]*\1){2,}[ \t]*$)[ \t]*" + _MARK + r"[ \t]+"
-           r"([^\n]*(?:\n(?![ \t]*$)(?![ \t]*" + _MARK + r"[ \t])(?! {0,3}(?:#{1,6}(?:[ \t]|$)|>))[^\n]*)*)")
+RE_ITEM = (r"(?md)^(?![ \t]*([-*_])(?:[ \t]*+\1){2,}+[ \t]*$)[ \t]*" + _MARK + r"[ \t]+"
+           r"([^\n]*(?:\n(?![ \t]*$)(?![ \t]*" + _MARK + r"[ \t])(?! {0,3}(?:#{1,6}(?:[ \t]|$)|>))[^\n]*+)*+)")
 RE_IMAGE = r"!\[([^\]]*)\]\([^)]*\)"
 
 
@@ -87,16 +88,25 @@ def _table_cells(body_blocks: Column) -> Column:
 def elements(text) -> Column:
     """All 13 element types of one Markdown text as ``array<struct<type, token>>``."""
     t = col(text)
+    no_code = F.regexp_replace(t, RE_FENCE, "\n")
+    no_quote = F.regexp_replace(no_code, RE_QUOTE_RUN, "\n")
+    return _collect(t, no_code, no_quote, F.regexp_replace(no_quote, RE_TABLE, "\n"), F.regexp_replace(t, RE_BOLD_ITALIC, " "))
+
+
+def with_elements(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``elements(text)`` as column ``out``; the shared intermediate texts are columns, made once a row."""
+    names = [f"_{out}_{x}" for x in ("code", "quote", "rest", "bi")]
+    code, quote, rest, bi = names
+    staged = (df.withColumns({code: F.regexp_replace(text, RE_FENCE, "\n"), bi: F.regexp_replace(text, RE_BOLD_ITALIC, " ")})
+              .withColumn(quote, F.regexp_replace(code, RE_QUOTE_RUN, "\n")).withColumn(rest, F.regexp_replace(quote, RE_TABLE, "\n")))
+    return staged.withColumn(out, _collect(*map(F.col, (text, code, quote, rest, bi)))).drop(*names)
+
+
+def _collect(t: Column, no_code: Column, no_quote: Column, rest: Column, no_bi: Column) -> Column:
     no_block = F.regexp_replace(t, RE_MATH_BLOCK, "")
-    no_bi = F.regexp_replace(t, RE_BOLD_ITALIC, " ")
     no_bold = F.regexp_replace(no_bi, RE_BOLD, " ")
-
-    # block structure
-    no_code = F.regexp_replace(t, RE_FENCE, "\n")
     quotes = F.regexp_extract_all(no_code, F.lit(RE_QUOTE_RUN), 0)
-    no_quote = F.regexp_replace(no_code, RE_QUOTE_RUN, "\n")
     table_bodies = F.regexp_extract_all(no_quote, F.lit(RE_TABLE), 3)
-    rest = F.regexp_replace(no_quote, RE_TABLE, "\n")
     h_level = F.regexp_extract_all(rest, F.lit(RE_HEADING), 1)
     h_text = F.regexp_extract_all(rest, F.lit(RE_HEADING), 2)
     headings = F.zip_with(h_level, h_text, lambda lv, x: F.concat(

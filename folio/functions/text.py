@@ -42,7 +42,7 @@ def py_split(c) -> Column:
 
 @F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
-    """Unicode NFC (Arrow-batched). Spark has no built-in for it; apply once at ingest."""
+    """Unicode NFC (Arrow-batched); Spark has no built-in for it."""
 
     def one(x):
         if x is None or unicodedata.is_normalized("NFC", x):
@@ -52,11 +52,10 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-def normalise(c, nfc_done: bool = True) -> Column:
-    """Metric text normalisation: NFC, CR/CRLF to LF, tabs/space runs to one space,
-    3+ newlines to 2, strip. Pass ``nfc_done=False`` if the column was not NFC'd at ingest."""
-    x = col(c) if nfc_done else nfc(col(c))
-    x = F.regexp_replace(x, r"\r\n|\r", "\n")
+def normalise(c) -> Column:
+    """Metric text normalisation of an NFC text (see ``nfc``; the scorers compose their
+    texts first): CR/CRLF to LF, tabs/space runs to one space, 3+ newlines to 2, strip."""
+    x = F.regexp_replace(col(c), r"\r\n|\r", "\n")
     x = F.regexp_replace(x, r"[ \t]+", " ")
     x = F.regexp_replace(x, r"\n{3,}", "\n\n")
     return py_strip(x)
@@ -94,9 +93,3 @@ def posexplode_rows(df, keep, arr, pos: str, val: str):
     """
     return (df.select(*keep, F.posexplode_outer(arr).alias(pos, val))
               .filter(F.col(pos).isNotNull()))
-
-
-def explode_rows(df, keep, arr, val: str):
-    """Like ``posexplode_rows`` without the position."""
-    return (df.select(*keep, F.posexplode_outer(arr).alias("_pos", val))
-              .filter(F.col("_pos").isNotNull()).drop("_pos"))

@@ -1,8 +1,8 @@
 """Evaluation: match reference pages to predictions, score, report.
 
 Pages are keyed by (lang, book, page); predictions add ``model``. The
-reference/prediction join is a sort-merge join on the page key, and the pair
-scoring reuses that partitioning (no further exchange of the page texts).
+reference/prediction join is on the page key; the pairs are then spread once for
+the scoring, which works row by row.
 """
 
 from __future__ import annotations
@@ -22,6 +22,13 @@ def eval_pairs(refs: DataFrame, preds: DataFrame, page_key=PAGE_KEY) -> DataFram
         preds.select("model", *k, F.col("md").alias("hyp")), k).select("model", *k, "ref", "hyp")
 
 
+def spread(pairs: DataFrame, keys) -> DataFrame:
+    """Pairs over the session's number of shuffle partitions. Scoring is bound by CPU, not bytes;
+    partitions that adaptive execution has joined by size would leave cores idle."""
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(n, *keys)
+
+
 def missing_predictions(refs: DataFrame, preds: DataFrame, models, page_key=PAGE_KEY) -> DataFrame:
     """Reference pages a model has no prediction for (reported as skipped).
 
@@ -40,8 +47,7 @@ def missing_predictions(refs: DataFrame, preds: DataFrame, models, page_key=PAGE
 def eval_scores(refs: DataFrame, preds: DataFrame, page_key=PAGE_KEY, detail: bool = False) -> DataFrame:
     """Per (model, page): ned, similarity, bleu, struct_f1."""
     k = list(page_key)
-    pairs = eval_pairs(refs, preds, k)
-    return score_pairs(pairs, ["model", *k], partitioned_by=k, detail=detail)
+    return score_pairs(spread(eval_pairs(refs, preds, k), ["model", *k]), ["model", *k], detail=detail)
 
 
 def eval_summary(scores: DataFrame, group=("model", "lang", "book")) -> DataFrame:

@@ -1,21 +1,23 @@
 """Per-pair metrics: NED, sentence BLEU (13a, exp smoothing, effective order),
 Markdown structure F1 (13 types, macro average) and greedy embedding match.
 
-``score_pairs`` computes NED in-row, explodes BLEU n-grams and structure elements
-of both sides into ONE item table and aggregates it on the pair key. With the
-pairs partitioned by (a subset of) the pair key, every aggregation below runs
-without a further exchange: one shuffle of the pair texts in total.
+``score_pairs`` scores every pair in its row (edit distance, n-gram counts and element
+counts are Arrow-batched calls per pair), so it adds no exchange to the plan.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from folio.functions.distance import levenshtein_fast
-from folio.functions.bleu import MAX_ORDER, clipped_matches, ngrams, tokenize_13a
-from folio.functions.markdown import ELEMENT_TYPES, elements
-from folio.functions.text import col, normalise
+from folio.functions.bleu import MAX_ORDER, clipped_matches, tokenize_13a
+from folio.functions.markdown import ELEMENT_TYPES, with_elements
+from folio.functions.text import col, nfc, normalise
 
 # Score direction and range of each metric (used for ranking models).
 METRIC_META = (
@@ -77,137 +79,92 @@ def f1_of(tp, ref_cnt, hyp_cnt) -> Column:
             .otherwise(F.bround(F.lit(2.0) * p * r / (p + r), 6)))
 
 
-def _item(kind: str, sub, tok, side: str) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), sub.alias("sub"), tok.alias("tok"),
-                    F.lit(1 if side == "r" else 0).alias("r"), F.lit(1 if side == "h" else 0).alias("h"))
-
-
-def _gram_items(tokens: Column, side: str) -> Column:
-    def tag(n):
-        return lambda g: _item("b", F.lit(str(n)), g, side)
-
-    parts = [F.transform(ngrams(tokens, n), tag(n)) for n in range(1, MAX_ORDER + 1)]
-    return F.concat(*parts)
+def prepare_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
+    """Pair keys, NFC texts (null: empty) and their metric-normalised forms. One Arrow
+    call composes both sides."""
+    both = pairs.select(*keys, nfc(F.coalesce(ref, F.lit(""))).alias("_ref"), nfc(F.coalesce(hyp, F.lit(""))).alias("_hyp"))
+    return both.select("*", normalise("_ref").alias("_rn"), normalise("_hyp").alias("_hn"))
 
 
-def _element_items(elems: Column, side: str) -> Column:
-    return F.transform(elems, lambda e: _item("s", e["type"], e["token"], side))
+def _counts(ref, hyp) -> list[int]:
+    """Overlap, reference and prediction counts of every element type, in order."""
+    at = {t: i for i, t in enumerate(ELEMENT_TYPES)}
+    out = [0] * (3 * len(at))
+    r, h = (Counter((e["type"], e["token"]) for e in side) for side in (ref, hyp))
+    for (kind, tok), n in r.items():
+        out[3 * at[kind]] += min(n, h.get((kind, tok), 0))
+        out[3 * at[kind] + 1] += n
+    for (kind, _), n in h.items():
+        out[3 * at[kind] + 2] += n
+    return out
 
 
-def prepare_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
-    """Pair keys, raw texts and their metric-normalised forms (text assumed NFC)."""
-    return pairs.select(*keys, F.col(ref).alias("_ref"), F.col(hyp).alias("_hyp"),
-                        normalise(ref).alias("_rn"), normalise(hyp).alias("_hn"))
+@F.pandas_udf(ArrayType(LongType()))
+def type_counts(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+    """Multiset overlap of two element arrays, three counts a type (Arrow-batched, per pair)."""
+    return pd.Series([_counts(r, h) for r, h in zip(ref, hyp)])
 
 
 def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
-                partitioned_by=None, detail: bool = False, with_counts: bool = False,
-                bleu_engine: str = "arrow") -> DataFrame:
+                detail: bool = False, with_counts: bool = False) -> DataFrame:
     """Per pair: ned, similarity, bleu, struct_f1 (+ one F1 column per element type
     with ``detail``; + BLEU n-gram counts with ``with_counts``).
 
-    ``partitioned_by``: columns (a subset of ``keys``) the input is already hash
-    partitioned on, e.g. the keys of the join that built the pairs. The texts are
-    never shuffled here: per-pair work runs in-row, then the compact per-pair rows
-    (scalars + element items) are placed on the pair key once, so all aggregations
-    stay local.
-
-    ``bleu_engine``: "arrow" (default) counts clipped n-gram matches per pair in one
-    Arrow batch call; "explode" puts every n-gram into the item table and lets the
-    hash aggregation count them (same result, ~4 rows per token through the aggregation).
-    """
+    Every pair is scored in its row: no text, token or element leaves it, so there is
+    no exchange here. Callers spread the pairs before (see ``evaluate.eval_scores``)."""
     keys = list(keys)
     base = prepare_pairs(pairs, keys, ref, hyp)
-    arrow = bleu_engine == "arrow"
-    scal = ["ned", "ref_len", "hyp_len"] + ([f"_c{n}" for n in range(1, MAX_ORDER + 1)] if arrow else [])
-    # Arrays are materialised first: lambdas below only see column references.
-    base = base.select(*keys, ned("_rn", "_hn").alias("ned"),
-                       tokenize_13a("_rn").alias("_rt"), tokenize_13a("_hn").alias("_ht"),
-                       elements("_ref").alias("_er"), elements("_hyp").alias("_eh"))
-    if arrow:
-        base = base.withColumn("_cm", clipped_matches("_rt", "_ht")).select(
-            "*", *[F.col("_cm")[n - 1].alias(f"_c{n}") for n in range(1, MAX_ORDER + 1)])
-        grams = []
-    else:
-        grams = [_gram_items(F.col("_rt"), "r"), _gram_items(F.col("_ht"), "h")]
-    base = base.select(
-        *keys, "ned", F.size("_rt").alias("ref_len"), F.size("_ht").alias("hyp_len"), *scal[3:],
-        F.concat(F.array(_item("p", F.lit(""), F.lit(""), "-")), *grams,
-                 _element_items(F.col("_er"), "r"), _element_items(F.col("_eh"), "h")).alias("items"),
-    )
-    # The texts are gone by now: only per-pair scalars and the item array move. Python
-    # evaluation nodes do not report the partitioning of their input, so the compact rows
-    # are placed on the pair key once here and every aggregation below stays local.
-    part = list(partitioned_by) if partitioned_by and not arrow else keys
-    base = base.repartition(*part)
-    # explode_outer: no inferred size(items) > 0 filter (items always holds the sentinel).
-    x = base.select(*keys, *scal, F.explode_outer("items").alias("it")).select(
-        *keys, *scal, "it.kind", "it.sub", "it.tok", "it.r", "it.h")
-    counts = (x.groupBy(*keys, *scal, "kind", "sub", "tok")
-              .agg(F.sum("r").alias("rc"), F.sum("h").alias("hc")))
-    per_sub = (counts.groupBy(*keys, *scal, "kind", "sub")
-               .agg(F.sum(F.least("rc", "hc")).alias("tp"), F.sum("rc").alias("rt"), F.sum("hc").alias("ht"))
-               .withColumn("f1", F.when(F.col("kind") == "s", f1_of("tp", "rt", "ht"))))
-    if arrow:
-        aggs = []
-    else:
-        aggs = [F.coalesce(F.sum(F.when((F.col("kind") == "b") & (F.col("sub") == str(n)), F.col("tp"))),
-                           F.lit(0)).cast("bigint").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
-    # Per-type F1 (absent type -> NULL) and presence in the reference, so the macro
-    # average adds the types in their fixed order, as the definition does.
-    for t in ELEMENT_TYPES:
-        is_t = (F.col("kind") == "s") & (F.col("sub") == t)
-        aggs.append(F.max(F.when(is_t, F.col("f1"))).alias(f"_f1_{t}"))
-        aggs.append(F.max(F.when(is_t & (F.col("rt") > 0), F.lit(1)).otherwise(F.lit(0))).alias(f"_in_{t}"))
-    per_pair = per_sub.groupBy(*keys, *scal).agg(*aggs)
-    if arrow:
-        per_pair = per_pair.select("*", *[F.col(f"_c{n}").cast("bigint").alias(f"correct_{n}")
-                                          for n in range(1, MAX_ORDER + 1)])
-    correct = [F.col(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
+    base = base.withColumns({"ned": ned("_rn", "_hn"), "_rt": tokenize_13a("_rn"), "_ht": tokenize_13a("_hn")})
+    base = with_elements(with_elements(base, "_ref", "_er"), "_hyp", "_eh")
+    base = base.select(*keys, "ned", F.size("_rt").alias("ref_len"), F.size("_ht").alias("hyp_len"),
+                       clipped_matches("_rt", "_ht").alias("_cm"), type_counts("_er", "_eh").alias("_tc"))
+    correct = [F.col("_cm")[n] for n in range(MAX_ORDER)]
 
     def total_of(n):
         return F.greatest(F.col("hyp_len") - (n - 1), F.lit(0))
 
-    macro_sum = F.lit(0.0)
-    n_present = F.lit(0)
+    at = {t: [F.col("_tc")[3 * i + k] for k in range(3)] for i, t in enumerate(ELEMENT_TYPES)}
+    # the macro average adds the types present in the reference in their fixed order
+    macro_sum, n_present = F.lit(0.0), F.lit(0)
     for t in ELEMENT_TYPES:
-        macro_sum = macro_sum + F.when(F.col(f"_in_{t}") == 1, F.col(f"_f1_{t}")).otherwise(F.lit(0.0))
-        n_present = n_present + F.col(f"_in_{t}")
+        macro_sum = macro_sum + F.when(at[t][1] > 0, f1_of(*at[t])).otherwise(F.lit(0.0))
+        n_present = n_present + F.when(at[t][1] > 0, 1).otherwise(0)
     macro = F.when(n_present > 0, F.bround(macro_sum / F.greatest(n_present, F.lit(1)), 6)).otherwise(F.lit(1.0))
     out = [*keys, "ned", similarity("ned").alias("similarity"),
            bleu_from_counts(correct, total_of, "ref_len", "hyp_len").alias("bleu"),
            macro.alias("struct_f1")]
     if detail:
-        out += [F.coalesce(F.col(f"_f1_{t}"), F.lit(1.0)).alias(f"f1_{t}") for t in ELEMENT_TYPES]
+        out += [f1_of(*at[t]).alias(f"f1_{t}") for t in ELEMENT_TYPES]
     if with_counts:
         out += [F.col("ref_len").cast("bigint").alias("ref_len"), F.col("hyp_len").cast("bigint").alias("hyp_len")]
-        out += [F.col(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
+        out += [correct[n - 1].alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]
         out += [total_of(n).cast("bigint").alias(f"total_{n}") for n in range(1, MAX_ORDER + 1)]
-    return per_pair.select(*out)
+    return base.select(*out)
 
 
 def element_table(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
     """Long element multiset: keys, side, type, token, cnt."""
     keys = list(keys)
-    x = pairs.select(*keys, F.explode_outer(F.concat(
-        F.transform(elements(ref), lambda e: F.struct(F.lit("ref").alias("side"), e["type"].alias("type"),
+    both = pairs.select(*keys, nfc(F.coalesce(ref, F.lit(""))).alias("_ref"), nfc(F.coalesce(hyp, F.lit(""))).alias("_hyp"))
+    both = with_elements(with_elements(both, "_ref", "_er"), "_hyp", "_eh")
+    x = both.select(*keys, F.explode_outer(F.concat(
+        F.transform("_er", lambda e: F.struct(F.lit("ref").alias("side"), e["type"].alias("type"),
                                                       e["token"].alias("token"))),
-        F.transform(elements(hyp), lambda e: F.struct(F.lit("hyp").alias("side"), e["type"].alias("type"),
+        F.transform("_eh", lambda e: F.struct(F.lit("hyp").alias("side"), e["type"].alias("type"),
                                                       e["token"].alias("token"))),
     )).alias("e")).filter(F.col("e").isNotNull()).select(*keys, "e.side", "e.type", "e.token")
     return x.groupBy(*keys, "side", "type", "token").agg(F.count("*").alias("cnt"))
 
 
-def greedy_embedding_match(token_vec: DataFrame, pair_keys, side: str = "side", vec: str = "vec") -> DataFrame:
+def greedy_embedding_match(token_vec: DataFrame, pair_keys, side: str = "side", vec: str = "vec",
+                           pairs: DataFrame | None = None, block: int = 512) -> DataFrame:
     """Embedding-match F1 per pair from token vectors (``side`` is 'ref' or 'hyp').
 
-    Each pair is one page of tokens (an encoder's max length bounds it), scored in one
-    Arrow batch with a dense cosine matrix: precision = mean over hyp tokens of the best
-    ref match, recall the reverse, F1 = 2PR/(P+R) rounded to 6; both sides empty 1.0,
-    one side empty 0.0.
-    """
+    Precision = mean over hyp tokens of the best ref match, recall the reverse,
+    F1 = 2PR/(P+R) rounded to 6; both sides empty 1.0, one side empty 0.0. Similarities
+    are made in blocks of ``block`` x ``block`` tokens, so a long pair needs no token-by-token matrix.
+    With ``pairs`` (the pair keys) pairs without any token are scored too."""
     import numpy as np
-    import pandas as pd
 
     keys = list(pair_keys)
     schema = ", ".join(f"{k} {t}" for k, t in token_vec.select(*keys).dtypes) + \
@@ -216,24 +173,32 @@ def greedy_embedding_match(token_vec: DataFrame, pair_keys, side: str = "side",
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         out = {k: [pdf[k].iloc[0]] for k in keys}
         is_ref = (pdf[side] == "ref").to_numpy()
-        mats = [np.array(pdf[vec][m].tolist(), dtype=np.float64).reshape(int(m.sum()), -1)
-                for m in (is_ref, ~is_ref)]
-        nr, nh = mats[0].shape[0], mats[1].shape[0]
-        if nr == 0 and nh == 0:
-            p = r = f = 1.0
-        elif nr == 0 or nh == 0:
+        a, b = (np.array(pdf[vec][m].tolist(), dtype=np.float64) for m in (is_ref, ~is_ref))
+        if not len(a) or not len(b):
             p = r = f = 0.0
         else:
-            a, b = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) for m in mats)
-            sim = b @ a.T                      # hyp x ref
-            p = float(sim.max(axis=1).mean())
-            r = float(sim.max(axis=0).mean())
+            a, b = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) for m in (a, b))
+            best_r, best_h = np.full(len(a), -np.inf), np.full(len(b), -np.inf)
+            for i in range(0, len(b), block):
+                for j in range(0, len(a), block):
+                    sim = b[i:i + block] @ a[j:j + block].T
+                    np.maximum(best_h[i:i + block], sim.max(axis=1), out=best_h[i:i + block])
+                    np.maximum(best_r[j:j + block], sim.max(axis=0), out=best_r[j:j + block])
+            p, r = float(best_h.mean()), float(best_r.mean())
             f = 0.0 if p + r == 0 else round(2 * p * r / (p + r), 6)
-        out.update(n_ref=[nr], n_hyp=[nh], precision=[p], recall=[r], bert_f1=[f])
+        out.update(n_ref=[len(a)], n_hyp=[len(b)], precision=[p], recall=[r], bert_f1=[f])
         return pd.DataFrame(out)
 
-    return token_vec.groupBy(*keys).applyInPandas(score, schema)
+    found = token_vec.groupBy(*keys).applyInPandas(score, schema)
+    if pairs is None:
+        return found
+    found = pairs.select(*keys).join(found, keys, "left")
+    none = F.col("n_ref").isNull()
+    return found.select(*keys, *[F.when(none, 0).otherwise(F.col(c)).cast("bigint").alias(c) for c in ("n_ref", "n_hyp")],
+                        *[F.when(none, 1.0).otherwise(F.col(c)).alias(c) for c in ("precision", "recall", "bert_f1")])
 
 
-def metric_meta(spark) -> DataFrame:
-    return spark.createDataFrame(list(METRIC_META), "metric string, lo double, hi double, higher_is_better boolean")
+def corpus_embedding_score(scores: DataFrame, group=()) -> DataFrame:
+    """Corpus embedding score: mean pair F1 to 4 places; no pair -> 0."""
+    return scores.groupBy(*group).agg(F.count("*").alias("n_pairs"),
+                                      F.coalesce(F.bround(F.avg("bert_f1"), 4), F.lit(0.0)).alias("corpus_bert_f1"))

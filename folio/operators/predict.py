@@ -62,26 +62,46 @@ def chat_messages(url, prompt) -> F.Column:
     return F.array(F.struct(F.lit("user").alias("role"), F.array(image_part, text_part).alias("content")))
 
 
-def predict_batches(batched: DataFrame, model_fn: Callable, model_id: str,
-                    book_key=("lang", "book")) -> DataFrame:
-    """Run ``model_fn(list[messages_json]) -> list[str]`` once per batch of 8 pages.
-
-    Rows arrive grouped by (book, batch) in page order; the output text is stripped
-    and keyed like the input page (``.md`` name)."""
+def predict_batches(batched: DataFrame, model_fn: Callable | None = None, model_id: str | None = None,
+                    book_key=("lang", "book"), setup: Callable | None = None) -> DataFrame:
+    """Run ``model_fn(list[messages_json]) -> list[str]`` once per batch of pages.
+
+    Batches are dealt out by (model, book, batch) and arrive in page order; a task holds one
+    batch at a time. ``setup()`` makes the model function once per task (a loaded model).
+    The output text is stripped and keyed like the input page (``.md`` name). Rows carry
+    their ``model``, or all get ``model_id``."""
     import pandas as pd
 
-    k = list(book_key)
+    k = ["model", *book_key]
+    rows = batched if model_id is None else batched.withColumn("model", F.lit(model_id))
     schema = ", ".join(f"{c} string" for c in k) + ", page string, batch bigint, md string"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        outs = list(model_fn(pdf["messages"].tolist()))
-        res = pdf[k + ["page", "batch"]].copy()
-        res["page"] = res["page"].str.replace(r"\.jpg$", ".md", regex=True)
-        res["md"] = [o if o is not None else "" for o in outs]
-        return res
-
-    msgs = batched.select(*k, "page", "pos", "batch", F.to_json("messages").alias("messages"))
-    out = msgs.groupBy(*k, "batch").applyInPandas(run, schema)
-    return out.withColumn("md", py_strip("md")).withColumn("model", F.lit(model_id)) \
-              .withColumn("model_slug", model_slug(F.lit(model_id)))
+    def run(frames):
+        model = setup() if setup else model_fn
+
+        def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+            res = pdf[[*k, "page", "batch"]].copy()
+            res["page"] = res["page"].str.replace(r"\.jpg$", ".md", regex=True)
+            res["md"] = [o if o is not None else "" for o in model(pdf["messages"].tolist())]
+            return res
+
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            groups = [g for _, g in pdf.groupby([*k, "batch"], sort=False, dropna=False)]
+            for g in groups[:-1]:
+                yield answer(g)
+            rest = groups[-1]
+        if rest is not None:
+            yield answer(rest)
+
+    msgs = rows.select(*k, "page", "pos", "batch", F.to_json("messages").alias("messages"))
+    out = msgs.repartition(*k, "batch").sortWithinPartitions(*k, "batch", "pos").mapInPandas(run, schema)
+    return out.withColumn("md", py_strip("md")).withColumn("model_slug", model_slug("model"))
+
+
+def write_predictions(preds: DataFrame, path: str) -> None:
+    """Prediction sink: a table of (lang, book, page, md) partitioned by model, for any number of pages."""
+    preds.write.mode("overwrite").partitionBy("model_slug").parquet(path)

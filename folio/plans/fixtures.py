@@ -6,8 +6,12 @@ DuckDB check builds the same input independently.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from folio.functions.text import nfc
 
@@ -81,6 +85,16 @@ def predict_b(md) -> F.Column:
     return F.replace(md, F.lit("an"), F.lit("en"))
 
 
+def nfd(md) -> F.Column:
+    """Accents as separate code points (Arrow-batched)."""
+    return _nfd(F.col(md))
+
+
+@F.pandas_udf(StringType())
+def _nfd(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None else unicodedata.normalize("NFD", x))
+
+
 def books(spark: SparkSession, sf_dir: str, seed: str = "42") -> DataFrame:
     """Candidate books: one per (lang, source); candidate order is a seeded random rank (FX12)."""
     from pyspark.sql import Window

@@ -179,12 +179,14 @@ def _eval_sql(select):
 {select}"""
 
 
-def _inputs(spark, sf):
+def _inputs(spark, sf, texts=True):
     # Both sides derive from the reference pages: cut the lineage once (reliable
     # checkpoint in the shared folder) so the chunk pipeline runs once, not per branch.
+    # Queries on page keys drop the texts before the cut.
     from folio.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    refs = fx.ref_pages(spark, sf).checkpoint()
+    refs = fx.ref_pages(spark, sf)
+    refs = (refs if texts else refs.withColumn("md", F.lit(""))).checkpoint()
     return refs, fx.predictions(spark, sf, refs)
 
 
@@ -206,7 +208,7 @@ def q_eval_pairs(spark, sf):
 FROM refs r, (VALUES ('{fx.MODEL_A}'), ('{fx.MODEL_B}')) m(model)
 WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.model = m.model AND p.lang = r.lang AND p.book = r.book AND p.page = r.page)"""))
 def q_missing_predictions(spark, sf):
-    refs, preds = _inputs(spark, sf)
+    refs, preds = _inputs(spark, sf, texts=False)
     return E.missing_predictions(refs, preds, MODELS).select(*PAIR)
 
 
@@ -229,7 +231,7 @@ def q_tokenize_13a(spark, sf):
 @register("ned", lambda: _eval_sql("SELECT model, lang, book, page, ned, similarity FROM scores"))
 def q_ned(spark, sf):
     refs, preds = _inputs(spark, sf)
-    p = M.prepare_pairs(E.eval_pairs(refs, preds), PAIR)
+    p = M.prepare_pairs(E.spread(E.eval_pairs(refs, preds), PAIR), PAIR)
     return p.select(*PAIR, M.ned("_rn", "_hn").alias("ned")).withColumn("similarity", M.similarity("ned"))
 
 
@@ -238,12 +240,20 @@ def q_bleu(spark, sf):
     return _scores(spark, sf).select(*PAIR, F.bround("bleu", 6).alias("bleu"))
 
 
+@register("eval_decomposed", lambda: _eval_sql(
+    "SELECT model, lang, book, page, ned, similarity, round_even(bleu, 6) AS bleu, struct_f1 FROM scores"))
+def q_eval_decomposed(spark, sf):
+    """The same scores from predictions whose accents are separate code points (NFD)."""
+    refs, preds = _inputs(spark, sf)
+    return E.eval_scores(refs, preds.withColumn("md", fx.nfd("md"))).withColumn("bleu", F.bround("bleu", 6))
+
+
 @register("bleu_counts", lambda: _eval_sql(
     "SELECT model, lang, book, page, ref_len, hyp_len, correct_1, correct_2, correct_3, correct_4, "
     "t1 AS total_1, t2 AS total_2, t3 AS total_3, t4 AS total_4 FROM bz"))
 def q_bleu_counts(spark, sf):
     refs, preds = _inputs(spark, sf)
-    s = M.score_pairs(E.eval_pairs(refs, preds), PAIR, partitioned_by=["lang", "book", "page"], with_counts=True)
+    s = M.score_pairs(E.spread(E.eval_pairs(refs, preds), PAIR), PAIR, with_counts=True)
     return s.select(*PAIR, "ref_len", "hyp_len", *[f"correct_{n}" for n in range(1, 5)],
                     *[f"total_{n}" for n in range(1, 5)])
 
@@ -312,11 +322,6 @@ def q_model_ranking(spark, sf):
     return E.model_ranking(_scores(spark, sf))
 
 
-def _flagship_unused(spark, sf):
-    """Flagship: the evaluation report per model, language and book."""
-    return q_eval_summary(spark, sf)
-
-
 # ---------------------------------------------------------------- cleaning
 
 from folio.functions import clean as CL  # noqa: E402
@@ -405,44 +410,60 @@ from folio.operators import predict as PR  # noqa: E402
 PROMPT = "Transcribe this page image into clean Markdown."
 
 
-def _images_and_done(spark, sf):
-    refs, preds = _inputs(spark, sf)
-    images = refs.select("lang", "book", F.regexp_replace("page", r"\.md$", ".jpg").alias("page"))
-    done = preds.filter(F.col("model") == fx.MODEL_A).select("lang", "book", "page")
-    return images, done
+MODEL_BOOK = ("model", "lang", "book")
 
 
-@register("pending_pages", lambda: _eval_sql(f"""SELECT r.lang, r.book, count(*) AS n_total,
+def _images_and_done(spark, sf, texts=False):
+    refs, preds = _inputs(spark, sf, texts)
+    images = refs.select(F.explode_outer(F.array(*map(F.lit, MODELS))).alias("model"), "lang", "book",
+                         F.regexp_replace("page", r"\.md$", ".jpg").alias("page"),
+                         *([F.encode("md", "UTF-8").alias("content")] if texts else []))
+    return images, preds.select("model", "lang", "book", "page")
+
+
+_WANTED = f"(SELECT m.model, r.* FROM refs r, (VALUES ('{fx.MODEL_A}'), ('{fx.MODEL_B}')) m(model))"
+_PENDING = f"""SELECT model, lang, book, page, pos, CAST(floor((pos - 1) / 8) AS BIGINT) AS batch, md FROM (
+  SELECT r.model, r.lang, r.book, replace(r.page, '.md', '.jpg') AS page, r.md,
+         row_number() OVER (PARTITION BY r.model, r.lang, r.book ORDER BY replace(r.page, '.md', '.jpg')) AS pos
+  FROM {_WANTED} r WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.model = r.model
+     AND p.lang = r.lang AND p.book = r.book AND p.page = r.page))"""
+
+
+@register("pending_pages", lambda: _eval_sql(f"""SELECT r.model, r.lang, r.book, count(*) AS n_total,
   CAST(count(p.page) AS BIGINT) AS n_done, CAST(count(*) - count(p.page) AS BIGINT) AS n_pending
-FROM refs r LEFT JOIN (SELECT * FROM preds WHERE model = '{fx.MODEL_A}') p USING (lang, book, page)
-GROUP BY r.lang, r.book"""))
+FROM {_WANTED} r LEFT JOIN preds p USING (model, lang, book, page)
+GROUP BY r.model, r.lang, r.book"""))
 def q_pending_pages(spark, sf):
     images, done = _images_and_done(spark, sf)
-    return PR.pending_counts(images, done)
+    return PR.pending_counts(images, done, MODEL_BOOK)
 
 
-@register("predict_batches", lambda: _eval_sql(f"""SELECT lang, book, page, pos, CAST(floor((pos - 1) / 8) AS BIGINT) AS batch FROM (
-  SELECT r.lang, r.book, replace(r.page, '.md', '.jpg') AS page,
-         row_number() OVER (PARTITION BY r.lang, r.book ORDER BY replace(r.page, '.md', '.jpg')) AS pos
-  FROM refs r WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.model = '{fx.MODEL_A}'
-     AND p.lang = r.lang AND p.book = r.book AND p.page = r.page))"""))
+@register("predict_batches", lambda: _eval_sql(f"SELECT model, lang, book, page, pos, batch FROM ({_PENDING})"))
 def q_predict_batches(spark, sf):
     images, done = _images_and_done(spark, sf)
-    return PR.number_batches(PR.pending_pages(images, done)).select("lang", "book", "page", "pos", "batch")
+    return PR.number_batches(PR.pending_pages(images, done, MODEL_BOOK), book_key=MODEL_BOOK).select(*MODEL_BOOK, "page", "pos", "batch")
 
 
-def echo_model(messages_json):
-    """Stand-in model used by the registered run: returns the prompt length per page."""
+def size_model():
+    """Stand-in for a loaded model: tells the sizes of the image URL and the prompt of every page."""
     import json
-    return [f"  # page\n\n{len(json.loads(m)[0]['content'][1]['text'])} chars of prompt  " for m in messages_json]
 
+    def answer(messages):
+        parts = [json.loads(m)[0]["content"] for m in messages]
+        return [f"  # page\n\n{len(p[0]['image_url']['url'])} of image, {len(p[1]['text'])} of prompt  " for p in parts]
+
+    return answer
 
-@register("model_predictions")
+
+@register("model_predictions", lambda: _eval_sql(f"""SELECT model, lang, book, replace(page, '.jpg', '.md') AS page, batch,
+  '# page' || chr(10) || chr(10) || CAST(23 + 4 * ((strlen(md) + 2) // 3) AS VARCHAR) || ' of image, {len(PROMPT)} of prompt' AS md,
+  string_split(model, '/')[-1] AS model_slug FROM ({_PENDING})"""))
 def q_model_predictions(spark, sf):
-    images, done = _images_and_done(spark, sf)
-    batched = PR.number_batches(PR.pending_pages(images, done)).withColumn(
-        "messages", PR.chat_messages(F.lit("data:image/jpeg;base64,"), F.lit(PROMPT)))
-    return PR.predict_batches(batched, echo_model, fx.MODEL_A)
+    images, done = _images_and_done(spark, sf, texts=True)
+    # batch numbers from the keys alone; the bytes join afterwards
+    numbered = PR.number_batches(PR.pending_pages(images.drop("content"), done, MODEL_BOOK), book_key=MODEL_BOOK)
+    batched = numbered.join(images, [*MODEL_BOOK, "page"]).withColumn("messages", PR.chat_messages(PR.data_url("content"), F.lit(PROMPT)))
+    return PR.predict_batches(batched, setup=size_model)
 
 
 @register("image_messages", lambda: f"""SELECT page_id, 'data:image/jpeg;base64,' || base64(encode(html)) AS data_url,
@@ -502,6 +523,12 @@ def q_greedy_embedding_match(spark, sf):
                     F.bround("recall", 6).alias("recall"), "bert_f1")
 
 
+@register("corpus_embedding", lambda: f"""SELECT count(*) AS n_pairs, coalesce(round_even(avg(bert_f1), 4), 0.0) AS corpus_bert_f1
+FROM ({REGISTRY["greedy_embedding_match"][1]()})""")
+def q_corpus_embedding(spark, sf):
+    return M.corpus_embedding_score(q_greedy_embedding_match(spark, sf))
+
+
 from folio.sources import epub as EP  # noqa: E402
 
 
@@ -574,12 +601,12 @@ def q_md_files(spark, sf):
 
 @register("incremental_scores", lambda: _eval_sql(
     f"SELECT model, lang, book, page, ned, similarity, round_even(bleu, 6) AS bleu, struct_f1 FROM scores "
-    f"WHERE model = '{fx.MODEL_B}'"))
+    ""))
 def q_incremental_scores(spark, sf):
     from folio.streaming.incremental import start_incremental_scores
     refs, preds = _inputs(spark, sf)
     base = _run_dir(spark, sf, "stream")
-    preds.filter(F.col("model") == fx.MODEL_B).write.mode("overwrite").parquet(f"{base}/pred")
+    preds.write.mode("overwrite").partitionBy("model").parquet(f"{base}/pred")
     q = start_incremental_scores(spark, refs, f"{base}/pred", f"{base}/scores", f"{base}/ckpt")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/scores").withColumn("bleu", F.bround("bleu", 6))
+    return spark.read.parquet(f"{base}/scores").drop("batch_id").withColumn("bleu", F.bround("bleu", 6))

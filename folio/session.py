@@ -31,18 +31,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting names a shared folder and is used as is. Only when
-    it is unset (tests, local runs) a fresh scratch folder is taken.
-    """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="folio-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf)
-    return conf
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, else the folder the context
+    already has. Only a local session without either gets a scratch folder of its own; on a cluster
+    executors could not see it, so there this is an error."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="folio-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
+    return path
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,7 @@
 
 A file stream over the prediction folder (``Trigger.AvailableNow`` by default),
 joined to the static reference pages per micro-batch; each micro-batch is
-scored with the batch scorer and appended to the score table. The checkpoint
+scored with the batch scorer into its own ``batch_id`` partition of the score table. The checkpoint
 (in the shared folder) records which files were done, so a restarted job only
 scores new predictions, like skipping pages whose output exists.
 """
@@ -22,7 +22,8 @@ def start_incremental_scores(spark: SparkSession, refs: DataFrame, pred_dir: str
     stream = spark.readStream.schema(PRED_SCHEMA).parquet(pred_dir)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        eval_scores(refs, batch, PAGE_KEY).write.mode("append").parquet(out_dir)
+        # a replayed batch overwrites its own folder, so it is never scored twice
+        eval_scores(refs, batch, PAGE_KEY).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")

@@ -1,4 +1,5 @@
-import pyref
+import re
+
 from pyspark.sql import functions as F
 
 from folio.operators.chunk import index_chunks
@@ -9,41 +10,61 @@ from folio.plans import fixtures as fx
 SF = "/root/testdata/sf0.001"
 
 
-def test_chunks_match_python(spark):
+def paragraphs(md):
+    return [p.strip() for p in md.split("\n\n") if p.strip()]
+
+
+def test_chunks_keep_paragraphs_and_limits(spark):
+    """Joined blocks give the paragraphs back; a block but the last of its section reaches the
+    limit, and would not without its last paragraph; blocks are numbered through the book."""
     p = Params(page_chars=800)
-    secs = fx.sections(spark, SF)
-    got = sorted((r.book_id, r.chunk_idx, r.md) for r in index_chunks(secs, p).collect())
-    exp = []
-    for b, g in secs.toPandas().groupby("book_id"):
-        idx = 0
-        for _, r in g.sort_values("section_pos").iterrows():
-            for c in pyref.split_section(r.md, p.page_chars, p.min_md_chars):
-                exp.append((b, idx, c))
-                idx += 1
-    assert got == sorted(exp)
-
-
-def test_pack_properties(spark):
-    p = Params(page_chars=500)
-    for r in index_chunks(fx.sections(spark, SF), p).collect():
-        assert r.md.endswith("\n") and len(r.md.strip()) >= p.min_md_chars
-
-
-def test_zone_formula():
-    for n in range(0, 300):
-        z = pyref.zones(n)
-        cover = sorted(i for r in z.values() for i in r)
-        assert cover == list(range(n))
-        pages = min(3, len(z["mandatory"])) + min(2, len(z["front"])) + min(10, len(z["body"])) + min(5, len(z["back"]))
-        assert (pages >= 20) == (n >= 53)
-
-
-def test_zones_and_sample_spark(spark):
-    df = spark.range(0, 60).select(F.lit("b").alias("book_id"), F.col("id").alias("chunk_idx"), F.lit(60).alias("n_chunks"))
-    z = {r.chunk_idx: r.zone for r in assign_zones(df).collect()}
-    exp = pyref.zones(60)
-    for name, rng in exp.items():
-        assert all(z[i] == name for i in rng)
-    s1 = sorted((r.chunk_idx, r.zone) for r in stratified_sample(assign_zones(df)).collect())
-    s2 = sorted((r.chunk_idx, r.zone) for r in stratified_sample(assign_zones(df.repartition(7))).collect())
-    assert s1 == s2 and len(s1) == 20
+    secs = {(r.book_id, r.section_pos): r.md for r in fx.sections(spark, SF).collect()}
+    rows = index_chunks(fx.sections(spark, SF), p).collect()
+    by_section, by_book = {}, {}
+    for r in rows:
+        by_section.setdefault((r.book_id, r.section_pos), []).append((r.piece_pos, r.md))
+        by_book.setdefault(r.book_id, []).append((r.chunk_idx, r.section_pos, r.n_chunks))
+    for key, blocks in by_section.items():
+        blocks = [md for _, md in sorted(blocks)]
+        parts = [paragraphs(b) for b in blocks]
+        flat, whole = [x for b in parts for x in b], paragraphs(secs[key])
+        assert flat == whole[:len(flat)]
+        left = whole[len(flat):]
+        assert len("\n\n".join(left)) < p.min_md_chars
+        for b in parts[:-1]:
+            assert sum(map(len, b)) >= p.page_chars > sum(map(len, b[:-1]))
+        assert all(b.endswith("\n") and len(b.strip()) >= p.min_md_chars for b in blocks)
+    for key, md in secs.items():
+        assert (key in by_section) == (len(md.strip()) >= p.min_md_chars)
+    for chunks in by_book.values():
+        chunks.sort()
+        assert [c for c, _, _ in chunks] == list(range(len(chunks))) and {n for _, _, n in chunks} == {len(chunks)}
+        assert [s for _, s, _ in chunks] == sorted(s for _, s, _ in chunks)
+
+
+def test_page_markers_start_pieces(spark):
+    long = "w" * 200
+    df = spark.createDataFrame([("b", 0, "s", f"{long}\n\n[p. 2] {long}\n\nshort [p. 3] tiny [p. 4] {long} tail")],
+                               "book_id string, section_pos long, section_id string, md string")
+    got = [r.md for r in index_chunks(df, Params()).orderBy("chunk_idx").collect()]
+    assert got == [long + "\n", f"[p. 2] {long}\n\nshort\n", f"[p. 4] {long} tail\n"]
+
+
+def zones_of(spark, n):
+    df = spark.range(0, n).select(F.lit("b").alias("book_id"), F.col("id").alias("chunk_idx"), F.lit(n).alias("n_chunks"))
+    return assign_zones(df)
+
+
+def test_zones_are_runs_in_order(spark):
+    for n, sizes in ((10, (3, 2, 3, 2)), (60, (3, 5, 47, 5)), (200, (3, 19, 159, 19))):
+        z = [r.zone for r in zones_of(spark, n).orderBy("chunk_idx").collect()]
+        runs = re.findall(r"(m+)(f*)(b*)(k*)", "".join({"mandatory": "m", "front": "f", "body": "b", "back": "k"}[x] for x in z))
+        assert tuple(map(len, runs[0])) == sizes and sum(sizes) == n
+
+
+def test_sample_is_stable_and_stratified(spark):
+    z = zones_of(spark, 60)
+    s1 = sorted((r.chunk_idx, r.zone) for r in stratified_sample(z).collect())
+    s2 = sorted((r.chunk_idx, r.zone) for r in stratified_sample(z.repartition(7)).collect())
+    assert s1 == s2
+    assert [sum(x == k for _, x in s1) for k in ("mandatory", "front", "body", "back")] == [3, 2, 10, 5]
