@@ -390,8 +390,11 @@ def clean_rules_sql(x: str) -> list[tuple[str, str]]:
 
 def html_ctes(html_source: str) -> str:
     """CTEs hb (page_id, pos, tag, cls, text) and pm (+ promoted tag) from a (page_id, html) source."""
-    from folio.functions.html import BLOCK_TAGS, ENTITIES, HEADING_RULES
-    from folio.plans.fixtures import HEADING_CLASSES  # noqa: F401
+    # written out here, apart from the code under test; the pages hold no other tags and references
+    block_tags = "p|div|h[1-6]|li|article|nav|footer|ul|body|html"
+    entities = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+    heading_rules = ((r"title|book.?head|tit(o(lo)?)?|titel", 1), (r"h1|chap|chapter|parte|part[^i]|capit|kapitel", 2),
+                     (r"h2|section|sezione|subchap|abschnitt|überschrift", 3), (r"h3|subsect|paragraph|paragrafo|absatz|unterab", 4), (r"h[45]", 5))
     x = "html"
     x = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
     for t in ("head", "script", "style"):
@@ -406,13 +409,13 @@ def html_ctes(html_source: str) -> str:
                      (r'(?is)<img\b[^>]*?src\s*=\s*"([^"]*)"[^>]*>', r'![](\1)')):
         x = f"regexp_replace({x}, '{pat}', '{rep}', 'g')"
     x = f"regexp_replace({x}, '(?i)<br\\s*/?>', chr(10), 'g')"
-    x = f"regexp_replace({x}, '(?i)<({BLOCK_TAGS})\\b([^>]*)>', chr(1) || '\\1' || chr(2) || '\\2' || chr(2), 'g')"
-    x = f"regexp_replace({x}, '(?i)</({BLOCK_TAGS})\\s*>', chr(1), 'g')"
+    x = f"regexp_replace({x}, '(?i)<({block_tags})\\b([^>]*)>', chr(1) || '\\1' || chr(2) || '\\2' || chr(2), 'g')"
+    x = f"regexp_replace({x}, '(?i)</({block_tags})\\s*>', chr(1), 'g')"
     body = "regexp_replace(body, '<[^>]*>', '', 'g')"
-    for ent, ch in ENTITIES:
+    for ent, ch in entities:
         body = f"replace({body}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     text = strip(f"regexp_replace({body}, '{WS_RE}+', ' ', 'g')")
-    lvl = "CASE " + " ".join(f"WHEN regexp_matches(cls, '(?i){pat}') THEN {n}" for pat, n in HEADING_RULES) + " END"
+    lvl = "CASE " + " ".join(f"WHEN regexp_matches(cls, '(?i){pat}') THEN {n}" for pat, n in heading_rules) + " END"
     words = f"len(list_filter(string_split_regex({strip('text')}, '{WS_RE}+'), lambda w: w <> ''))"
     return f"""
 src AS ({html_source}),
@@ -435,11 +438,11 @@ pm AS (
   FROM hb
 ),
 pmd AS (
-  SELECT s.page_id, coalesce(string_agg(
+  SELECT s.page_id, coalesce(string_agg(CASE WHEN prev IS NULL THEN '' WHEN tag = 'li' AND prev = 'li' THEN chr(10) ELSE chr(10) || chr(10) END ||
       CASE WHEN regexp_matches(tag, '^h[1-6]$') THEN repeat('#', CAST(substr(tag, 2) AS INTEGER)) || ' ' || text
-           WHEN tag = 'li' THEN '- ' || text WHEN tag = 'blockquote' THEN '> ' || text ELSE text END,
-      chr(10) || chr(10) ORDER BY pos), '') AS md
-  FROM src s LEFT JOIN (SELECT * FROM pm WHERE text <> '') b USING (page_id) GROUP BY s.page_id
+           WHEN tag = 'li' THEN '- ' || text ELSE text END,
+      '' ORDER BY pos), '') AS md
+  FROM src s LEFT JOIN (SELECT *, lag(tag) OVER (PARTITION BY page_id ORDER BY pos) AS prev FROM pm WHERE text <> '') b USING (page_id) GROUP BY s.page_id
 ),
 pclean AS (SELECT page_id, {strip(clean_rules_sql('md')[-1][1])} || chr(10) AS md FROM pmd)"""
 
