@@ -8,11 +8,15 @@ unique (book, section) key, so a very large book never lands in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import col, posexplode_rows, py_strip
+from folio.operators.prefix import running_sum
 from folio.params import Params
+from folio.session import shared_path
 
 # A page marker "[p. N]" starts a new piece; the marker stays with its piece.
 MARKER_SPLIT = r"(?U)(?=\[p\. \d+\])"
@@ -101,36 +105,25 @@ def split_sections(sections: DataFrame, params: Params = Params(), book_keys=("b
     return posexplode_rows(pieces, [*keys, "section_pos", "section_id"], "pieces", "piece_pos", "md")
 
 
-def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("book_id",),
-                 num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
+def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("book_id",), stride: int = 256) -> DataFrame:
     """Split sections and give every chunk its 0-based position in the book.
 
     Output: book keys, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md.
 
-    The counts branch only needs ``size(pieces)``, so column pruning gives it its own
-    copy of the split (the exchange is not reused). With ``materialize=True`` the
-    pieces are written once to the shared checkpoint folder and both branches read
-    them: use it when the split dominates the cost.
+    Sections are split once, into a table in the shared checkpoint folder. The positions come
+    from its piece counts alone: sums run over ``stride`` section numbers at a time, so
+    a long book is many tasks; the texts move once, to meet their offsets.
     """
     keys = list(book_keys)
+    spark = sections.sparkSession
     kept = with_pieces(sections.filter(F.length(py_strip("md")) >= params.min_md_chars)
                        .select(*keys, "section_pos", "section_id", "md"), "md", "pieces", params).drop("md")
-    # One shuffle of the section text on its unique key (never on the book alone).
-    part_cols = keys + ["section_pos"]
-    kept = kept.repartition(num_partitions, *part_cols) if num_partitions else kept.repartition(*part_cols)
-    if materialize:
-        from folio.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(kept.sparkSession)
-        kept = kept.checkpoint()
-    counts = kept.select(*keys, "section_pos", F.size("pieces").alias("n_pieces"))
-    ordered = Window.partitionBy(*keys).orderBy("section_pos")
-    offsets = counts.select(
-        *keys, "section_pos",
-        F.coalesce(F.sum("n_pieces").over(ordered.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("offset"),
-        F.sum("n_pieces").over(Window.partitionBy(*keys)).alias("n_chunks"),
-    )
-    joined = kept.join(offsets, part_cols)
+    path = shared_path(spark, f"folio-pieces-{uuid.uuid4().hex}")
+    kept.withColumn("n_pieces", F.size("pieces")).write.parquet(path)
+    kept = spark.read.parquet(path)
+    counts = kept.select(*keys, "section_pos", "n_pieces")
+    offsets = running_sum(counts, keys, F.floor(F.col("section_pos") / stride), ["section_pos"], F.col("n_pieces"), "offset", "n_chunks")
+    joined = kept.drop("n_pieces").join(offsets.drop("n_pieces"), [*keys, "section_pos"])
     return posexplode_rows(joined, [*keys, "section_pos", "section_id", "offset", "n_chunks"],
                            "pieces", "piece_pos", "md").select(
         *keys, "section_pos", "piece_pos",

@@ -100,11 +100,11 @@ def books(spark: SparkSession, sf_dir: str, seed: str = "42") -> DataFrame:
     from pyspark.sql import Window
 
     d = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(
-        F.min_by("text", "doc_id").alias("first_text"))
+        F.min_by(F.split("text", "\n")[0], F.col("doc_id")).alias("title"))
     rank = F.md5(F.concat_ws("|", F.lit(seed), book_id_col()))
     return d.select(
         "lang", book_id_col().alias("book_id"),
-        F.substring(F.split("first_text", "\n")[0], 1, 70).alias("title"),
+        "title",
         F.array(F.concat(F.lit("Author "), F.col("source"))).alias("authors"),
         F.row_number().over(Window.partitionBy("lang").orderBy(rank)).cast("bigint").alias("cand_rank"),
     )
@@ -182,7 +182,7 @@ def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     d = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(
-        F.min("doc_id").alias("id"), F.min_by("text", "doc_id").alias("t"))
+        F.min("doc_id").alias("id"), F.min_by(F.split("text", "\n")[0], F.col("doc_id")).alias("t"))
     url = F.concat(F.lit("https://books.example/"), F.col("id").cast("string"))
     fmts = (F.when(F.col("id") % 3 == 0, F.create_map(F.lit("application/epub+zip"), F.concat(url, F.lit(".epub")),
                                                        F.lit("text/html"), F.concat(url, F.lit(".html"))))
@@ -190,7 +190,7 @@ def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                       F.lit("text/html"), F.concat(url, F.lit(".html"))))
             .otherwise(F.create_map(F.lit("text/html"), F.concat(url, F.lit(".html")))))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("id")) - 1
-    b = d.select("id", F.substring(F.split("t", "\n")[0], 1, 70).alias("title"),
+    b = d.select("id", F.col("t").alias("title"),
                  F.array(F.struct(F.concat(F.lit("Author "), F.col("source")).alias("name"))).alias("authors"),
                  F.array("lang").alias("languages"), fmts.alias("formats"),
                  (F.floor(rank / 8) + 1).cast("bigint").alias("page"), (rank % 8).cast("bigint").alias("pos"))

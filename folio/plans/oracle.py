@@ -146,7 +146,7 @@ def books_sql(seed: str = "42") -> str:
        row_number() OVER (PARTITION BY lang ORDER BY md5('{seed}|' || book_id)) AS cand_rank
 FROM (
   SELECT lang, lang || '_' || source AS book_id,
-         left(string_split(arg_min(text, doc_id), chr(10))[1], 70) AS title,
+         string_split(arg_min(text, doc_id), chr(10))[1] AS title,
          ['Author ' || source] AS authors
   FROM documents GROUP BY lang, source
 )"""

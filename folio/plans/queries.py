@@ -81,6 +81,12 @@ def _sql_chunk_index():
 SELECT book_id, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md FROM chunks"""
 
 
+@register("chunk_index_default", lambda: f"""WITH RECURSIVE {O.chunks_ctes(O.sections_sql(), Params())}
+SELECT book_id, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md FROM chunks""")
+def q_chunk_index_default(spark, sf):
+    return C.index_chunks(fx.sections(spark, sf)).withColumn("piece_pos", F.col("piece_pos").cast("bigint"))
+
+
 @register("chunk_index", _sql_chunk_index)
 def q_chunk_index(spark, sf):
     return C.index_chunks(fx.sections(spark, sf), GATE_PARAMS) \
@@ -492,7 +498,7 @@ from folio.sources import catalog as CAT  # noqa: E402
 @register("catalog_candidates", lambda: """SELECT lang, id AS book_id, title, array_to_string(['Author ' || source], '; ') AS authors,
   CASE id % 3 WHEN 0 THEN 'https://books.example/' || id || '.epub' ELSE 'https://books.example/' || id || '.epub3' END AS epub_url,
   row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || CAST(id AS VARCHAR)), id) AS cand_rank
-FROM (SELECT lang, source, min(doc_id) AS id, left(string_split(arg_min(text, doc_id), chr(10))[1], 70) AS title
+FROM (SELECT lang, source, min(doc_id) AS id, string_split(arg_min(text, doc_id), chr(10))[1] AS title
       FROM documents GROUP BY lang, source) WHERE id % 3 <> 2""")
 def q_catalog_candidates(spark, sf):
     c = CAT.candidates(fx.catalog_raw(spark, sf))
@@ -554,6 +560,12 @@ def q_opf_spine(spark, sf):
     return s.select("book_id", "spine_pos", "idref", "entry_path", F.length("html").cast("bigint").alias("html_chars"))
 
 
+@register("archive_spine", lambda: REGISTRY["opf_spine"][1]())
+def q_archive_spine(spark, sf):
+    s = EP.archive_spine(fx.epub_archives(spark, sf)).filter("error is null")
+    return s.select("book_id", "spine_pos", "idref", "entry_path", F.length("html").cast("bigint").alias("html_chars"))
+
+
 def _epub_entries_sql():
     c = fx.CONTAINER_XML.replace("'", "''")
     return f"""WITH p AS (SELECT *, 'b' || CAST(page_id // 10 AS VARCHAR) AS book_id FROM pages),
@@ -591,12 +603,28 @@ def _run_dir(spark, sf, name):
     return shared_path(spark, f"folio-{name}-{tag}")
 
 
+CATALOG_LANGUAGES = ("fr", "de")
+
+
+@register("catalog_files", lambda: f"SELECT * FROM ({REGISTRY['catalog_candidates'][1]()}) WHERE lang IN {CATALOG_LANGUAGES}")
+def q_catalog_files(spark, sf):
+    """The catalog as landed API pages (JSON lines), read back and filtered by language."""
+    root = _run_dir(spark, sf, "catalog")
+    raw = fx.catalog_raw(spark, sf)
+    book = F.struct("id", "title", "authors", "languages", "formats")
+    books = raw.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("pos", F.to_json(book).alias("b")))).alias("bs"))
+    page = F.concat(F.lit('{"page": '), F.col("page").cast("string"), F.lit(', "results": ['), F.array_join(F.transform("bs", lambda x: x["b"]), ", "), F.lit("]}"))
+    books.select(page.alias("value")).write.text(root)
+    c = CAT.candidates(CAT.read_catalog(spark, root), languages=CATALOG_LANGUAGES)
+    return c.withColumn("authors", F.array_join("authors", "; "))
+
+
 @register("md_files", lambda: _eval_sql("SELECT lang, book, page, md FROM refs"))
 def q_md_files(spark, sf):
     refs, _ = _inputs(spark, sf)
     root = _run_dir(spark, sf, "pages")
     FS.write_pages(refs, root)
-    return FS.read_md_files(spark, root)
+    return FS.read_pages(spark, root)
 
 
 @register("incremental_scores", lambda: _eval_sql(

@@ -45,7 +45,7 @@ def test_page_tree_and_layout(spark):
     d = tempfile.mkdtemp(prefix="folio-pages-")
     pages = spark.createDataFrame([("it", "1_x", "page_0001.md", "# a\n"), ("de", "2_y", "page_0002.md", "b")],
                                   "lang string, book string, page string, md string")
-    FS.write_pages(pages, d)
+    FS.export_pages(pages, d)
     back = sorted(tuple(r) for r in FS.read_md_files(spark, d).collect())
     assert back == sorted(tuple(r) for r in pages.collect())
     img = os.path.join(d, "ds", "it", "1_x", "pages")
@@ -74,3 +74,51 @@ def test_full_book_files_and_metadata_sink(spark):
     D.write_metadata(D.language_metadata(meta), os.path.join(d, "meta"))
     back = spark.read.json(os.path.join(d, "meta")).collect()
     assert back[0].lang == "it" and back[0].books[0].id == "b1"
+
+
+def test_page_table_and_tree(spark, tmp_path):
+    pages = spark.createDataFrame([("it", "b_1", "page_0001.md", "a\n\nb"), ("de", "b 2", "page_0002.md", "")], "lang string, book string, page string, md string")
+    FS.write_pages(pages, str(tmp_path / "t"))
+    assert sorted(map(tuple, FS.read_pages(spark, str(tmp_path / "t")).collect())) == sorted(map(tuple, pages.collect()))
+    for where, text in (("refs/it/b 1+x/pages/page_0001.md", "one\n"), ("refs/it/b 1+x/book.md", "no"), ("preds/de/b/page_0003.md", "two")):
+        f = tmp_path / where
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_text(text)
+    assert list(map(tuple, FS.read_page_tree(spark, str(tmp_path / "refs")).collect())) == [("it", "b 1+x", "page_0001.md", "one\n")]
+    assert list(map(tuple, FS.read_page_tree(spark, str(tmp_path / "preds")).collect())) == [("de", "b", "page_0003.md", "two")]
+
+
+def test_broken_books_do_not_fail_the_job(spark):
+    import io
+    import zipfile
+
+    box = '<container><rootfiles><rootfile full-path="c.opf"/></rootfiles></container>'
+    opf = '<package><manifest><item id="a" href="a.html"/></manifest><spine><itemref idref="a"/><itemref idref="x"/></spine></package>'
+
+    def book(**files):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as z:
+            for name, text in files.items():
+                z.writestr({"box": "META-INF/container.xml", "opf": "c.opf", "a": "a.html"}[name], text)
+        return buf.getvalue()
+
+    books = [("good", book(box=box, opf=opf, a="<p>x")), ("cut opf", book(box=box, opf=opf[:60], a="<p>x")), ("cut box", book(box=box[:20], opf=opf)),
+             ("no zip", b"nothing"), ("no opf", book(box=box)), ("no member", book(box=box, opf=opf))]
+    df = spark.createDataFrame(books, "path string, content binary")
+    rows = EP.archive_spine(df).collect()
+    assert [(r.book_id, r.spine_pos, r.html) for r in rows if r.error is None] == [("good", 0, "<p>x")]
+    assert {r.book_id for r in rows if r.error} == {"cut opf", "cut box", "no zip", "no opf"}
+    assert [r.book_id for r in EP.opf_spine(EP.epub_entries(df)).collect()] == ["good"]
+
+
+def test_running_sum_over_buckets(spark):
+    from folio.operators.prefix import running_sum
+
+    df = spark.range(0, 1000).select((F.col("id") % 2).alias("k"), "id", (F.col("id") % 7).alias("v"))
+    got = {(r.k, r.id): (r.before, r.total) for r in running_sum(df, ["k"], F.floor(F.col("id") / 10), ["id"], F.col("v"), "before", "total").collect()}
+    for k in (0, 1):
+        ids = range(k, 1000, 2)
+        run, total = 0, sum(i % 7 for i in ids)
+        for i in ids:
+            assert got[k, i] == (run, total)
+            run += i % 7
