@@ -52,17 +52,13 @@ def _clipped(ref_tokens, hyp_tokens) -> list[int]:
 
     out = []
     for n in range(1, MAX_ORDER + 1):
-        hc = Counter(tuple(hyp_tokens[i:i + n]) for i in range(len(hyp_tokens) - n + 1))
-        if not hc:
-            out.append(0)
-            continue
-        rc = Counter(tuple(ref_tokens[i:i + n]) for i in range(len(ref_tokens) - n + 1))
-        out.append(sum(min(c, rc[g]) for g, c in hc.items()))
+        ref, hyp = (Counter(zip(*[side[k:] for k in range(n)])) for side in (ref_tokens, hyp_tokens))
+        out.append(sum(min(c, ref[g]) for g, c in hyp.items() if g in ref))
     return out
 
 
 def clipped_matches(ref_tokens, hyp_tokens) -> Column:
-    """Clipped n-gram matches, orders 1..4, as array<bigint> (Arrow-batched, per pair).
+    """Clipped n-gram matches, orders 1..4, then both lengths, as array<bigint> (Arrow-batched, per pair).
 
     Same counts as exploding the n-grams of both sides and aggregating them on the
     pair key, without materialising ~4 rows per token."""
@@ -71,4 +67,4 @@ def clipped_matches(ref_tokens, hyp_tokens) -> Column:
 
 @F.pandas_udf(ArrayType(LongType()))
 def _clipped_udf(r: pd.Series, h: pd.Series) -> pd.Series:
-    return pd.Series([_clipped(list(a), list(b)) for a, b in zip(r, h)])
+    return pd.Series([[*_clipped(list(a), list(b)), len(a), len(b)] for a, b in zip(r, h)])

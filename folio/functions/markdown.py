@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.text import WS_CLASS, col, normalise_token
+from folio.functions.text import WS_CLASS, col, normalise_token, stage
 
 # The 13 element types, in report order.
 ELEMENT_TYPES = (
@@ -94,12 +94,13 @@ def elements(text) -> Column:
 
 
 def with_elements(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``elements(text)`` as column ``out``; the shared intermediate texts are columns, made once a row."""
-    names = [f"_{out}_{x}" for x in ("code", "quote", "rest", "bi")]
-    code, quote, rest, bi = names
-    staged = (df.withColumns({code: F.regexp_replace(text, RE_FENCE, "\n"), bi: F.regexp_replace(text, RE_BOLD_ITALIC, " ")})
-              .withColumn(quote, F.regexp_replace(code, RE_QUOTE_RUN, "\n")).withColumn(rest, F.regexp_replace(quote, RE_TABLE, "\n")))
-    return staged.withColumn(out, _collect(*map(F.col, (text, code, quote, rest, bi)))).drop(*names)
+    """``elements(text)`` as column ``out``; the intermediate texts that it reads several times
+    are staged, so each is made once a row."""
+    code, quote, rest, bi = names = [f"_{out}_{x}" for x in ("code", "quote", "rest", "bi")]
+    made = stage(df, df.columns, **{code: F.regexp_replace(text, RE_FENCE, "\n"), bi: F.regexp_replace(text, RE_BOLD_ITALIC, " ")})
+    made = stage(made, made.columns, **{quote: F.regexp_replace(code, RE_QUOTE_RUN, "\n")})
+    made = stage(made, made.columns, **{rest: F.regexp_replace(quote, RE_TABLE, "\n")})
+    return made.withColumn(out, _collect(*map(F.col, (text, code, quote, rest, bi)))).drop(*names)
 
 
 def _collect(t: Column, no_code: Column, no_quote: Column, rest: Column, no_bi: Column) -> Column:

@@ -93,3 +93,9 @@ def posexplode_rows(df, keep, arr, pos: str, val: str):
     """
     return (df.select(*keep, F.posexplode_outer(arr).alias(pos, val))
               .filter(F.col(pos).isNotNull()))
+
+
+def stage(df, keep, **made):
+    """``keep`` and the ``made`` columns, worked out once a row. The one-row generator is a barrier:
+    the optimizer would else copy each expression to every place that reads its column."""
+    return df.select(*keep, F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))

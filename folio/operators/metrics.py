@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from folio.functions.distance import levenshtein_fast
+from folio.functions.distance import distance_and_lengths
 from folio.functions.bleu import MAX_ORDER, clipped_matches, tokenize_13a
 from folio.functions.markdown import ELEMENT_TYPES, with_elements
-from folio.functions.text import col, nfc, normalise
+from folio.functions.text import col, nfc, normalise, stage
 
 # Score direction and range of each metric (used for ranking models).
 METRIC_META = (
@@ -35,9 +35,13 @@ def ned(ref_n, hyp_n, engine: str = "bitparallel") -> Column:
     ``"jvm"`` Spark's built-in ``levenshtein``; both are exact.
     """
     r, h = col(ref_n), col(hyp_n)
-    lr, lh = F.length(r), F.length(h)
-    dist = levenshtein_fast(r, h) if engine == "bitparallel" else \
-        F.when(r == h, F.lit(0)).otherwise(F.levenshtein(r, h))
+    if engine == "bitparallel":
+        d = distance_and_lengths(r, h)
+        return ned_of(d[0], d[1], d[2])
+    return ned_of(F.when(r == h, F.lit(0)).otherwise(F.levenshtein(r, h)), F.length(r), F.length(h))
+
+
+def ned_of(dist: Column, lr: Column, lh: Column) -> Column:
     return (F.when((lr == 0) & (lh == 0), F.lit(0.0))
             .when((lr == 0) | (lh == 0), F.lit(1.0))
             .otherwise(F.bround(dist / F.greatest(lr, lh, F.lit(1)), 6)))
@@ -83,25 +87,30 @@ def prepare_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp") ->
     """Pair keys, NFC texts (null: empty) and their metric-normalised forms. One Arrow
     call composes both sides."""
     both = pairs.select(*keys, nfc(F.coalesce(ref, F.lit(""))).alias("_ref"), nfc(F.coalesce(hyp, F.lit(""))).alias("_hyp"))
-    return both.select("*", normalise("_ref").alias("_rn"), normalise("_hyp").alias("_hn"))
+    return stage(both, [*keys, "_ref", "_hyp"], _rn=normalise("_ref"), _hn=normalise("_hyp"))
 
 
 def _counts(ref, hyp) -> list[int]:
     """Overlap, reference and prediction counts of every element type, in order."""
-    at = {t: i for i, t in enumerate(ELEMENT_TYPES)}
+    at = {t: 3 * i for i, t in enumerate(ELEMENT_TYPES)}
     out = [0] * (3 * len(at))
-    r, h = (Counter((e["type"], e["token"]) for e in side) for side in (ref, hyp))
-    for (kind, tok), n in r.items():
-        out[3 * at[kind]] += min(n, h.get((kind, tok), 0))
-        out[3 * at[kind] + 1] += n
-    for (kind, _), n in h.items():
-        out[3 * at[kind] + 2] += n
+    r, h = Counter(ref), Counter(hyp)
+    for e, n in r.items():
+        i = at[e.partition("\t")[0]]
+        out[i] += min(n, h.get(e, 0))
+        out[i + 1] += n
+    for e, n in h.items():
+        out[at[e.partition("\t")[0]] + 2] += n
     return out
 
 
+def _flat(elems: str) -> Column:
+    return F.transform(elems, lambda e: F.concat(e["type"], F.lit("\t"), e["token"]))
+
+
 @F.pandas_udf(ArrayType(LongType()))
 def type_counts(ref: pd.Series, hyp: pd.Series) -> pd.Series:
-    """Multiset overlap of two element arrays, three counts a type (Arrow-batched, per pair)."""
+    """Multiset overlap of two arrays of type-tab-token, three counts a type (Arrow-batched, per pair)."""
     return pd.Series([_counts(r, h) for r, h in zip(ref, hyp)])
 
 
@@ -114,10 +123,10 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
     no exchange here. Callers spread the pairs before (see ``evaluate.eval_scores``)."""
     keys = list(keys)
     base = prepare_pairs(pairs, keys, ref, hyp)
-    base = base.withColumns({"ned": ned("_rn", "_hn"), "_rt": tokenize_13a("_rn"), "_ht": tokenize_13a("_hn")})
     base = with_elements(with_elements(base, "_ref", "_er"), "_hyp", "_eh")
-    base = base.select(*keys, "ned", F.size("_rt").alias("ref_len"), F.size("_ht").alias("hyp_len"),
-                       clipped_matches("_rt", "_ht").alias("_cm"), type_counts("_er", "_eh").alias("_tc"))
+    base = base.select(*keys, ned("_rn", "_hn").alias("ned"), clipped_matches(tokenize_13a("_rn"), tokenize_13a("_hn")).alias("_cm"),
+                       type_counts(_flat("_er"), _flat("_eh")).alias("_tc"))
+    base = base.withColumns({"ref_len": F.col("_cm")[MAX_ORDER], "hyp_len": F.col("_cm")[MAX_ORDER + 1]})
     correct = [F.col("_cm")[n] for n in range(MAX_ORDER)]
 
     def total_of(n):
