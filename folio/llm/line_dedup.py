@@ -73,10 +73,11 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", window: int =
         occurs = each.join(mixed, "h", "left_semi").groupBy("_id", "_key", "h", "chunk").agg(F.min("no").alias("no0"), F.collect_list("no").alias("nos"))
         gone = gone.unionByName(occurs.join(by_text, ["h", "chunk"]).select("_id", "_key", mine.alias("nos")))
     drop = gone.filter(F.size("nos") > 0).groupBy("_id", "_key").agg(F.flatten(F.collect_set("nos")).alias("_drop"))
-    keyed = pack(docs, _id=F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), _key=digest_key(text_col), _text=F.col(text_col))
-    cut = with_chunks(keyed.join(drop, ["_id", "_key"], "left").withColumn("_cut", F.when(F.col("_drop").isNotNull(), F.col("_text"))), "_cut", window, divisor)
+    keyed = pack(docs, _id=F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), _key=digest_key(text_col))
+    text = F.col("row").getField(text_col)       # the text moves once, inside of its row
+    cut = with_chunks(keyed.join(drop, ["_id", "_key"], "left").withColumn("_cut", F.when(F.col("_drop").isNotNull(), text)), "_cut", window, divisor)
     kept = F.array_join(F.transform(F.filter("_chunks", lambda c: ~F.array_contains("_drop", c["no"])), lambda c: c["chunk"]), "\n")
-    out = cut.withColumn("_text", F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept))
+    out = cut.withColumn("_text", F.when(F.col("_drop").isNull(), text).otherwise(kept))
     new = {text_col: F.col("_text"), "n_removed": F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("_text").cast("long")
