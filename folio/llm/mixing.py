@@ -39,10 +39,11 @@ def rates(docs: DataFrame, weights: dict | None = None, budget: float | None = N
     else:
         given = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()], "_name string, weight double")
         stats = stats.join(given, F.col("_source").eqNullSafe(F.col("_name")), "left").drop("_name").fillna(0.0, ["weight"])
-    total = stats.agg(F.sum("mass").alias("total"), F.sum("weight").alias("weights"))
-    goal = F.lit(float(budget)) if budget is not None else F.col("total")
-    share = F.when(F.col("weights") > 0, F.col("weight") / F.col("weights")).otherwise(0.0)
-    return stats.join(F.broadcast(total)).select("_source", (share * goal / F.col("mass")).alias("mean"))
+    stats = cut(stats)                           # one row a source
+    all_of = stats.agg(F.sum("mass").alias("mass"), F.sum("weight").alias("weight")).first()
+    goal = float(budget) if budget is not None else float(all_of.mass or 0)
+    share = F.col("weight") / F.lit(float(all_of.weight)) if all_of.weight else F.lit(0.0)
+    return stats.select("_source", (share * F.lit(goal) / F.col("mass")).alias("mean"))
 
 
 def mix(docs: DataFrame, weights: dict | None = None, budget: float | None = None, seed: int = 17,
