@@ -13,6 +13,15 @@ Defined results: null text stays null; a text whose chunks all go becomes empty;
 null ids come last and count as one document, as do rows of equal doc_id (each of
 them keeps its own first copy); an empty table stays empty; further columns pass
 (n_chars is brought up to date, n_removed is added or replaced).
+
+``dedup_passages`` takes what such chunks can't hold: passages of ``words`` or more
+words, of one line or many. Its candidates are carried by the passage itself: from
+every line on (and up to every line) the fewest whole lines that hold so many words;
+lines without a word don't count and go with the lines around them. A line goes if it
+lies in a candidate whose bytes stand earlier (smaller doc_id, or the same document,
+further up and not overlapping). So of a repeated run of whole lines with ``words`` or more
+words every line goes, and a removed line always has an earlier copy that stays. n_removed
+counts lines there. Copies that start or end inside of a line are no candidates.
 """
 
 from __future__ import annotations
@@ -30,7 +39,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def with_chunks(docs: DataFrame, text_col="text", window: int = 2, divisor: int = 3) -> DataFrame:
-    """docs with ``_chunks``: array of (no, n_lines, chunk) over the whole text."""
+    """docs with ``_chunks``: array of (no, last, n_lines, chunk) over the whole text."""
     at = F.col("_hash")
 
     def ends_here(i):
@@ -41,23 +50,22 @@ def with_chunks(docs: DataFrame, text_col="text", window: int = 2, divisor: int
             .withColumn("_hash", F.transform("_lines", _line_hash))
             .withColumn("_ends", F.filter(F.sequence(F.lit(1), F.size("_lines")), ends_here))
             .withColumn("_chunks", F.transform("_ends", lambda e, j: F.struct(
-                j.alias("no"),
+                j.alias("no"), e.alias("last"),
                 (e - F.when(j > 0, F.element_at("_ends", F.greatest(j, F.lit(1)))).otherwise(0)).alias("n_lines"),
                 F.array_join(F.slice("_lines", F.when(j > 0, F.element_at("_ends", F.greatest(j, F.lit(1)))).otherwise(0) + 1,
                                      e - F.when(j > 0, F.element_at("_ends", F.greatest(j, F.lit(1)))).otherwise(0)), "\n").alias("chunk"))))
             .drop("_lines", "_hash", "_ends"))
 
 
-def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", window: int = 2, divisor: int = 3,
-                min_lines: int = 2, hash_bits: int = 64) -> DataFrame:
-    """docs with globally repeated multi-line chunks removed from the text, and n_removed (chunks)."""
-    spark = docs.sparkSession
-    prepare(spark)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_id"), F.col(text_col).alias("text"))
-    rows = with_chunks(rows.withColumn("_key", digest_key("text")), "text", window, divisor)
+def repeated_chunks(rows: DataFrame, window: int, divisor: int, min_lines: int, hash_bits: int, spans: bool = False) -> DataFrame:
+    """_id, _key, nos: the later copies of multi-line chunks, by number or as lines (a, b)."""
+    rows = with_chunks(rows, "text", window, divisor)
     each = rows.select("_id", "_key", F.explode_outer("_chunks").alias("c")).select("_id", "_key", "c.*")
     # explode_outer: a plain explode would push size(_chunks) > 0, with all of its expression, into the scan
     each = each.filter((F.col("n_lines") >= min_lines) & F.col("chunk").rlike(r"[^\x20\x09-\x0D]"))
+    if spans:
+        each = each.withColumn("no", F.struct((F.col("last") - F.col("n_lines") + 1).alias("a"), F.col("last").alias("b")))
+    each = each.drop("last")
     code = F.xxhash64("chunk")
     each = each.withColumn("h", code if hash_bits == 64 else F.pmod(code, F.lit(1 << hash_bits)))
     texts = each.groupBy("h", "chunk").agg(F.count("*").alias("n"), F.min("_id").alias("first_id"))
@@ -72,7 +80,15 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", window: int =
         by_text = texts.join(mixed, "h").filter("n > 1").select("h", "chunk", "first_id")
         occurs = each.join(mixed, "h", "left_semi").groupBy("_id", "_key", "h", "chunk").agg(F.min("no").alias("no0"), F.collect_list("no").alias("nos"))
         gone = gone.unionByName(occurs.join(by_text, ["h", "chunk"]).select("_id", "_key", mine.alias("nos")))
-    drop = gone.filter(F.size("nos") > 0).groupBy("_id", "_key").agg(F.flatten(F.collect_set("nos")).alias("_drop"))
+    return gone.filter(F.size("nos") > 0)
+
+
+def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", window: int = 2, divisor: int = 3,
+                min_lines: int = 2, hash_bits: int = 64) -> DataFrame:
+    """docs with globally repeated multi-line chunks removed from the text, and n_removed (chunks)."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_id"), digest_key(text_col).alias("_key"), F.col(text_col).alias("text"))
+    drop = repeated_chunks(rows, window, divisor, min_lines, hash_bits).groupBy("_id", "_key").agg(F.flatten(F.collect_set("nos")).alias("_drop"))
     keyed = pack(docs, _id=F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), _key=digest_key(text_col))
     text = F.col("row").getField(text_col)       # the text moves once, inside of its row
     cut = with_chunks(keyed.join(drop, ["_id", "_key"], "left").withColumn("_cut", F.when(F.col("_drop").isNotNull(), text)), "_cut", window, divisor)
@@ -84,6 +100,82 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", window: int =
     return unpack(out, docs.columns, **new)
 
 
+def with_passages(rows: DataFrame, words: int) -> DataFrame:
+    """_id, _key, and a row for each candidate: first line a, last line b (from 1), hash h."""
+    def staged(df, **new):       # behind a generator, so that lambdas read values and not expressions
+        return df.select(*[c for c in df.columns if c != "s"], F.explode_outer(F.array(F.struct(*([F.col("s.*")] if "s" in df.columns else []), *[e.alias(n) for n, e in new.items()]))).alias("s"))
+
+    def fewest(weights):         # how many of the weights, from the first on, reach ``words``; null if all don't
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"))
+        more = lambda a, x: F.when(a["n"] >= words, a).otherwise(F.struct((a["n"] + x).alias("n"), (a["k"] + 1).alias("k")))
+        return F.aggregate(weights, start, more, lambda a: F.when(a["n"] >= words, a["k"]))
+
+    s = lambda name: F.col("s").getField(name)
+    df = staged(rows.filter("text IS NOT NULL").select("_id", "_key", "text"), lines=F.split("text", "\n", -1)).drop("text")
+    df = staged(df, words=F.transform(s("lines"), lambda x: F.size(F.filter(F.split(x, r"[\x20\x09-\x0D]+"), lambda w: w != ""))))
+    df = staged(df, at=F.filter(F.sequence(F.lit(1), F.size(s("lines"))), lambda i: F.element_at(s("words"), i) > 0))
+    df = staged(df, w=F.transform(s("at"), lambda i: F.element_at(s("words"), i)), h=F.transform(s("at"), lambda i: F.xxhash64(F.element_at(s("lines"), i))))
+    df = df.filter(F.size(s("at")) > 0)
+    # every line here holds a word, so ``words`` lines always suffice
+    each = F.sequence(F.lit(1), F.size(s("at")))
+    down = F.transform(each, lambda i: F.struct(i.alias("i"), (i + fewest(F.slice(s("w"), i, F.lit(words))) - 1).alias("j")))
+    up = F.transform(each, lambda j: F.struct((j - fewest(F.reverse(F.slice(s("w"), F.greatest(j - words + 1, F.lit(1)), F.least(j, F.lit(words))))) + 1).alias("i"), j.alias("j")))
+    both = F.array_distinct(F.filter(F.concat(down, up), lambda x: x["i"].isNotNull() & x["j"].isNotNull()))
+    df = staged(df, both=both)
+    spots = F.transform(s("both"), lambda x: F.struct(F.element_at(s("at"), x["i"]).alias("a"), F.element_at(s("at"), x["j"]).alias("b"),
+                                                      F.xxhash64(F.slice(s("h"), x["i"], x["j"] - x["i"] + 1)).alias("h")))
+    return df.select("_id", "_key", F.explode_outer(spots).alias("c")).select("_id", "_key", "c.*").filter("a IS NOT NULL")
+
+
+def repeated_passages(rows: DataFrame, words: int, hash_bits: int) -> DataFrame:
+    """_id, _key, spans: lines (a, b) of the candidates that stand earlier."""
+    each = with_passages(rows, words)
+    if hash_bits < 64:
+        each = each.withColumn("h", F.pmod("h", F.lit(1 << hash_bits)))
+    each = written(each, "candidates")
+    again = each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    hits = each.join(again, "h").groupBy("_id", "_key").agg(F.collect_set(F.struct("a", "b", "h")).alias("_hits"))
+    # only documents with a hash seen twice give bytes, and only those of such candidates
+    mine = rows.join(hits, ["_id", "_key"]).select("_id", "_key", F.explode_outer(F.array(F.struct(F.split("text", "\n", -1).alias("lines"), F.col("_hits").alias("hits")))).alias("s"))
+    held = lambda x: F.array_join(F.filter(F.slice(F.col("s.lines"), x["a"], x["b"] - x["a"] + 1), lambda y: y.rlike(r"[^\x20\x09-\x0D]")), "\n")
+    mine = mine.select("_id", "_key", F.explode_outer(F.transform("s.hits", lambda x: F.struct(x["h"].alias("h"), x["a"].alias("a"), x["b"].alias("b"), held(x).alias("chunk")))).alias("c"))
+    mine = written(mine.select("_id", "_key", "c.*"), "passages")
+    texts = mine.groupBy("h", "chunk").agg(F.min("_id").alias("first_id"))
+    classes = written(texts.groupBy("h").agg(F.count("*").alias("n_texts"), F.min("first_id").alias("first_id")), "classes")
+    spans = F.collect_set(F.struct("a", "b")).alias("spans")
+    later = F.when(F.col("_id") == F.col("first_id"), F.filter("spans", lambda x: x["a"] > F.array_min("spans")["b"])).otherwise(F.col("spans"))
+    gone = mine.groupBy("_id", "_key", "h").agg(spans).join(classes.filter("n_texts = 1"), "h").select("_id", "_key", later.alias("spans"))
+    mixed = classes.filter("n_texts > 1").select("h")
+    if not mixed.isEmpty():          # hashes shared by different texts: decide by the bytes
+        occurs = mine.join(mixed, "h", "left_semi").groupBy("_id", "_key", "h", "chunk").agg(spans)
+        gone = gone.unionByName(occurs.join(texts.join(mixed, "h", "left_semi"), ["h", "chunk"]).select("_id", "_key", later.alias("spans")))
+    return gone.filter(F.size("spans") > 0)
+
+
+def dedup_passages(docs: DataFrame, id_col="doc_id", text_col="text", words: int = 50, hash_bits: int = 64,
+                   chunks: bool = False, window: int = 2, divisor: int = 3, min_lines: int = 2) -> DataFrame:
+    """docs without the lines of passages of ``words`` or more words that stand earlier (``chunks``: and without
+    what dedup_lines removes), and n_removed (lines)."""
+    prepare(docs.sparkSession)
+    ident = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
+    rows = docs.select(ident.alias("_id"), digest_key(text_col).alias("_key"), F.col(text_col).alias("text"))
+    gone = repeated_passages(rows, words, hash_bits)
+    if chunks:
+        gone = gone.unionByName(repeated_chunks(rows, window, divisor, min_lines, hash_bits, spans=True).withColumnRenamed("nos", "spans"))
+    gone = gone.groupBy("_id", "_key").agg(F.flatten(F.collect_list("spans")).alias("_spans"))
+    keyed = pack(docs, _id=ident, _key=digest_key(text_col)).join(gone, ["_id", "_key"], "left")
+    text = F.col("row").getField(text_col)
+    cut = keyed.withColumn("_s", F.explode_outer(F.array(F.struct(F.when(F.col("_spans").isNotNull(), F.split(text, "\n", -1)).alias("lines")))))
+    stay = F.array_except(F.sequence(F.lit(1), F.size("_s.lines")), F.flatten(F.transform("_spans", lambda x: F.sequence(x["a"], x["b"]))))
+    cut = cut.withColumn("_p", F.explode_outer(F.array(F.struct(F.when(F.col("_spans").isNotNull(), stay).alias("stay")))))
+    kept = F.array_join(F.transform("_p.stay", lambda i: F.element_at("_s.lines", i)), "\n")
+    out = cut.withColumn("_text", F.when(F.col("_spans").isNull(), text).otherwise(kept))
+    new = {text_col: F.col("_text"), "n_removed": F.when(F.col("_spans").isNull(), 0).otherwise(F.size("_s.lines") - F.size("_p.stay")).cast("long")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("_text").cast("long")
+    return unpack(out, docs.columns, **new)
+
+
 def oracle_sql(window: int = 2, divisor: int = 3) -> str:
     """DuckDB twin over documents."""
     roll = " + ".join(f"coalesce(lag(h, {k}) OVER w, 0) * {31 ** k}" for k in range(window))

@@ -235,6 +235,57 @@ def test_lines_odd_rows(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def slow_passages(docs, words=50):
+    """docs: (id, text), by id. A line goes if it lies in a run that starts or ends at a line, is as short
+    as its words allow, and stands in an earlier document or above."""
+    seen, out = {}, []
+    for d, t in docs:
+        lines = t.split("\n")
+        n = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
+        at = [i for i, k in enumerate(n) if k]
+        runs = set()
+        for x in range(len(at)):
+            runs |= set([(x, y) for y in range(x, len(at)) if sum(n[i] for i in at[x:y + 1]) >= words][:1])
+            runs |= set([(y, x) for y in range(x, -1, -1) if sum(n[i] for i in at[y:x + 1]) >= words][:1])
+        gone = set()
+        for x, y in sorted(runs):
+            e, b = seen.setdefault("\n".join(lines[i] for i in at[x:y + 1]), (d, at[y]))
+            if e < d or at[x] > b:
+                gone |= set(range(at[x], at[y] + 1))
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+@pytest.mark.parametrize("bits", [64, 3])
+def test_passages_match_brute_force(spark, bits):
+    r = random.Random(2)
+    pool = [[prose(70 * k + i, r.choice([0, 4, 12, 30, 60])) for i in range(9)] for k in range(4)]
+    texts = ["\n".join([prose(999 + i, 3)] + r.choice(pool)[r.randrange(6):] + [prose(5000 + i, 2)] + r.choice(pool)[:r.randrange(1, 9)]) for i in range(20)]
+    texts += ["", "\n\n", "\n".join(["five words in this line"] * 40), "\n".join([prose(1, 5), prose(2, 6)] * 15), texts[0]]
+    got = {x.doc_id: x.text for x in line_dedup.dedup_passages(docs_of(spark, texts), hash_bits=bits).collect()}
+    assert [got[i] for i in range(len(texts))] == slow_passages(enumerate(texts))
+
+
+def test_planted_passages_go(spark):
+    plant = {n: "\n".join(prose(100 * n + i, 55 // n + 1) for i in range(n)) for n in range(1, 11)}
+    texts = list(plant.values()) + ["\n".join([prose(7000 + 10 * n + k, 9), p, prose(8000 + 10 * n + k, 9)]) for n, p in plant.items() for k in range(3)]
+    got = {x.doc_id: x.text for x in line_dedup.dedup_passages(docs_of(spark, texts), chunks=True).collect()}
+    assert [got[i] for i in range(10)] == texts[:10]
+    assert [got[10 + i] for i in range(30)] == ["\n".join([prose(7000 + 10 * n + k, 9), prose(8000 + 10 * n + k, 9)]) for n in plant for k in range(3)]
+    stage = {x.doc_id: x.text for x in corpus_pipeline.unique_lines(spark, docs_of(spark, texts), SF).collect()}
+    assert stage == got
+
+
+def test_passages_odd_rows(spark):
+    d = odd_docs(spark)
+    out = line_dedup.dedup_passages(d)
+    assert out.columns == d.columns and out.count() == d.count()
+    assert out.filter("_id <> 'mine' or row <> 'mine'").count() == 0 and out.filter("doc_id = 2 and text is null").count() == 1
+    # rows of equal id keep their copies, but for those seen in a smaller id
+    assert out.filter(F.col("text") == prose(1, 60)).count() == 1 and out.filter(F.col("text") == prose(2, 60)).count() == 1
+    assert line_dedup.dedup_passages(empty(spark)).count() == 0
+
+
 # ------------------------------------------------------------------ 4 language model
 
 def test_language_model(spark):
