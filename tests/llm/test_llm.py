@@ -452,6 +452,36 @@ def test_html_main_text(page, want):
     assert html_extract.main_text(page) == want
 
 
+BODY = "This is the body of the page and it goes on for some time. " * 8
+SAID = "The patient lives alone and has worked as a baker for thirty years. " * 4
+MASS = [
+    (f"<main><p>{BODY}</p></main><article><p>teaser</p></article>", BODY),
+    (f"<main><h1>T</h1><p>{BODY}</p><article><p>teaser</p></article></main>", f"T\n{BODY}\nteaser"),
+    (f"<main><p>{BODY}</p></main><div class=related><article><p>teaser</p></article></div><div class=sidebar><article><p>t2</p></article>x</div>", BODY),
+    (f"<main><p>{BODY}</p></main><nav><article><p>teaser</p></article>more</nav>", BODY),
+    (f"<form><article><p>{BODY}</p></article><p>Send</p></form>", BODY),
+]
+NAMED = [
+    *[(f"<article><p>{BODY}</p><section {a}><h2>Part</h2><p>{SAID}</p></section><p>End.</p></article>", f"{BODY}\nPart\n{SAID}\nEnd.")
+      for a in ("class=social-history", "class=legal-analysis", "id=search-results", "class=patient-survey", "id=comment")],
+    (f"<article><section class=social-history><p>Lives alone.</p></section><h2 id=ratings>Ratings</h2><p>{BODY}</p><h2 id=notice>Notice</h2></article>", f"Lives alone.\nRatings\n{BODY}\nNotice"),
+    (f"<article class=legal-analysis><p>{BODY}</p></article>", BODY),
+    (f"<p>{BODY}</p><p><a href=x>See the linked page</a></p><p>{BODY}</p>", f"{BODY}\nSee the linked page\n{BODY}"),
+    (f"<article><p>{BODY}</p><div class=share-links><a href=1>One</a> <a href=2>Two</a></div><div class=comments>" + f"<div class=comment><p>{SAID}</p></div>" * 3 + "</div></article>", BODY),
+    (f"<article><p>A <span class=notice>short</span> <span class=legal-term>tort</span> x. {BODY}</p></article>", f"A tort x. {BODY}"),
+]
+
+
+@pytest.mark.parametrize("page,want", MASS)
+def test_html_main_text_by_mass(page, want):
+    assert html_extract.main_text(page) == "\n".join(x.strip() for x in want.split("\n"))
+
+
+@pytest.mark.parametrize("page,want", NAMED)
+def test_html_names_look_at_text(page, want):
+    assert html_extract.main_text(page) == "\n".join(x.strip() for x in want.split("\n"))
+
+
 def test_html_pages(spark):
     p = spark.read.parquet(f"{SF}/pages.parquet")
     rows = html_extract.extract(p).collect()
