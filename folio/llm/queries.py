@@ -31,11 +31,6 @@ def op3(spark, sf):
     return line_dedup.dedup_lines(table(spark, sf, "documents"))
 
 
-@register("op3_passage_dedup")
-def op3_passages(spark, sf):
-    return line_dedup.dedup_passages(table(spark, sf, "documents"), chunks=True)
-
-
 @register("op5_quality_classifier")
 def op5(spark, sf):
     return quality.classify(table(spark, sf, "documents"))

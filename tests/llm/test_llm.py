@@ -272,8 +272,6 @@ def test_planted_passages_go(spark):
     got = {x.doc_id: x.text for x in line_dedup.dedup_passages(docs_of(spark, texts), chunks=True).collect()}
     assert [got[i] for i in range(10)] == texts[:10]
     assert [got[10 + i] for i in range(30)] == ["\n".join([prose(7000 + 10 * n + k, 9), prose(8000 + 10 * n + k, 9)]) for n in plant for k in range(3)]
-    stage = {x.doc_id: x.text for x in corpus_pipeline.unique_lines(spark, docs_of(spark, texts), SF).collect()}
-    assert stage == got
 
 
 def test_passages_odd_rows(spark):
