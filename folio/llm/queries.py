@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folio.llm import chat_format, decontaminate, fertility, html_extract, line_dedup, maxent_lm, mixing, quality, simhash, suffix_dedup
+from folio.llm import (chat_format, decontaminate, fertility, html_extract, licenses, line_dedup, maxent_lm, mixing, quality, runs, simhash, spelling,
+                       suffix_dedup)
 
 LLM_REGISTRY: dict = {}
 
@@ -74,3 +75,40 @@ def op2(spark, sf):
     found = suffix_dedup.dedup_suffixes(table(spark, sf, "documents"), length=100)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_spelling_variants")
+def op11(spark, sf):
+    words = spelling.word_counts(table(spark, sf, "documents"), min_letters=7, min_count=2, noise=31)
+    return spelling.variants(words, ratio=10, min_letters=7)
+
+
+@register("op12_license_scan", licenses.oracle_sql)
+def op12(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+def planted_periods(docs):
+    """doc_id and text: in one of ten documents the words from a on repeat the p words there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", (F.pmod(h, F.lit(10)) == 0).alias("hit"), F.floor(h / 10).alias("g"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), "")
+    rows = licenses.staged(rows, w=F.when(F.col("hit"), words))
+    n = F.size("w")
+    rows = licenses.staged(rows, a=F.when(n > 0, F.pmod("g", n)))
+    rows = licenses.staged(rows, p=F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + F.pmod("g", F.lit(8))))))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
+    again = F.array_join(F.transform("w", lambda _, i: F.element_at("w", (place(i) + 1).cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("hit") & (n > 0), again).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf):
+    found = runs.find_runs(planted_periods(table(spark, sf, "documents")), min_length=12)
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("neg"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    length = -top["neg"]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), length.alias("length"), top["period"].alias("period"),
+                        F.floor(1000 * length / top["period"]).cast("long").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
