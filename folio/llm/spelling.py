@@ -177,7 +177,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows["last"], pa.int32()), pa.array(rows["held"], pa.list_(pa.string())),
                                               pa.array(rows["asked"], pa.list_(pa.string()))], ["word", "n", "last", "held", "asked"])
 
-    signed = written(words.select("word", "n").mapInArrow(run, "word string, n long, last int, held array<string>, asked array<string>"), "signatures")
+    # signing is bound by CPU, not bytes: spread beyond what adaptive execution would deal by size
+    spread = words.select("word", "n").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    signed = written(spread.mapInArrow(run, "word string, n long, last int, held array<string>, asked array<string>"), "signatures")
     keyed = lambda col: signed.select(F.explode_outer(F.transform(col, lambda k: F.xxhash64(k))).alias("key"), "word", "n", "last")
     a, b = keyed("asked").alias("a"), keyed("held").alias("b")
     close = (F.abs(F.length("a.word") - F.length("b.word")) <= 1) & (F.col("a.word") != F.col("b.word")) & (F.col("a.last") <= F.col("b.last"))
