@@ -2,8 +2,8 @@
 
 All splitting happens in-row with higher-order functions (no shuffle). Chunk
 numbering needs the chunk count of every earlier section of the book; that is
-computed on a narrow (book, section, count) table and joined back on the
-unique (book, section) key, so a very large book never lands in one task.
+computed on a narrow (book, section, count) table and joined back on a row
+number, so a very large book never lands in one task.
 """
 
 from __future__ import annotations
@@ -110,20 +110,22 @@ def index_chunks(sections: DataFrame, params: Params = Params(), book_keys=("boo
 
     Output: book keys, section_pos, piece_pos, chunk_idx, n_chunks, section_id, md.
 
-    Sections are split once, into a table in the shared checkpoint folder. The positions come
-    from its piece counts alone: sums run over ``stride`` section numbers at a time, so
-    a long book is many tasks; the texts move once, to meet their offsets.
+    Sections are split once, into a table in the shared checkpoint folder, where each gets a row number
+    of its own. The positions come from its piece counts alone: sums run over ``stride`` section numbers at a
+    time, so a long book is many tasks; the texts move once, to meet their offsets by row number.
+    Sections of one position follow each other by id and text; a null book or position is a value like any other.
     """
     keys = list(book_keys)
     spark = sections.sparkSession
     kept = with_pieces(sections.filter(F.length(py_strip("md")) >= params.min_md_chars)
                        .select(*keys, "section_pos", "section_id", "md"), "md", "pieces", params).drop("md")
     path = shared_path(spark, f"folio-pieces-{uuid.uuid4().hex}")
-    kept.withColumn("n_pieces", F.size("pieces")).write.parquet(path)
+    kept.withColumns({"n_pieces": F.size("pieces"), "_text": F.xxhash64("pieces"), "_row": F.monotonically_increasing_id()}).write.parquet(path)
     kept = spark.read.parquet(path)
-    counts = kept.select(*keys, "section_pos", "n_pieces")
-    offsets = running_sum(counts, keys, F.floor(F.col("section_pos") / stride), ["section_pos"], F.col("n_pieces"), "offset", "n_chunks")
-    joined = kept.drop("n_pieces").join(offsets.drop("n_pieces"), [*keys, "section_pos"])
+    counts = kept.select(*keys, "section_pos", "section_id", "_text", "_row", "n_pieces")
+    offsets = running_sum(counts, keys, F.floor(F.col("section_pos") / stride), ["section_pos", "section_id", "_text", "_row"],
+                          F.col("n_pieces"), "offset", "n_chunks")
+    joined = kept.drop("n_pieces", "_text").join(offsets.select("_row", "offset", "n_chunks"), "_row")
     return posexplode_rows(joined, [*keys, "section_pos", "section_id", "offset", "n_chunks"],
                            "pieces", "piece_pos", "md").select(
         *keys, "section_pos", "piece_pos",

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def running_sum(df: DataFrame, keys, bucket: Column, order, value: Column, out: str, total: str) -> DataFrame:
     """df with ``out`` = sum of ``value`` over the rows before this one in its key, and
-    ``total`` = its sum over the key. ``bucket`` must not decrease along ``order``."""
+    ``total`` = its sum over the key. ``bucket`` must not decrease along ``order``.
+    A null in a key or bucket is a value like any other (nulls come first in the order)."""
     k = list(keys)
     rows = df.withColumns({"_bucket": bucket, "_value": value})
     sums = rows.groupBy(*k, "_bucket").agg(F.sum("_value").alias("_sum"))
@@ -21,4 +22,7 @@ def running_sum(df: DataFrame, keys, bucket: Column, order, value: Column, out:
                        F.sum("_sum").over(Window.partitionBy(*k)).alias(total))
     inside = Window.partitionBy(*k, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    return rows.join(sums, [*k, "_bucket"]).withColumn(out, F.col("_earlier_buckets") + F.col("_inside")).drop("_bucket", "_value", "_inside", "_earlier_buckets")
+    at = [*k, "_bucket"]
+    same = [F.col(f"r.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in at]
+    found = rows.alias("r").join(sums.alias("s"), same).select("r.*", F.col("s._earlier_buckets"), F.col(f"s.`{total}`"))
+    return found.withColumn(out, F.col("_earlier_buckets") + F.col("_inside")).drop("_bucket", "_value", "_inside", "_earlier_buckets")

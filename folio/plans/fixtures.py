@@ -110,10 +110,10 @@ def books(spark: SparkSession, sf_dir: str, seed: str = "42") -> DataFrame:
     )
 
 
-def rendered(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
+def rendered(spark: SparkSession, sf_dir: str, chunks: DataFrame, keys=("book_id",)) -> DataFrame:
     """Pages whose image exists: every chunk except those of documents labelled toxic and low quality."""
     toxic = table(spark, sf_dir, "labels").filter("toxic = 1 AND quality = 0").select(F.col("doc_id").alias("section_pos"))
-    return chunks.join(toxic, "section_pos", "left_anti").select("book_id", "chunk_idx")
+    return chunks.join(toxic, "section_pos", "left_anti").select(*keys, "chunk_idx")
 
 
 def ref_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

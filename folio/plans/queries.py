@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folio.operators import accept as A
 from folio.operators import chunk as C
 from folio.operators import dataset as D
 from folio.operators import sample as S
@@ -137,6 +138,35 @@ def q_accepted_books(spark, sf):
         "lang", "book_id", "cand_rank", "n_chunks", "n_pages", "accept_pos")
 
 
+UNTIL_PARAMS = Params(page_chars=400, n_books=2)
+UNTIL_BLOCK, UNTIL_GROWTH = 3, 4      # blocks end at rank 3, 15, 63, ...
+
+
+@register("accept_until", lambda: f"""WITH RECURSIVE {O.chunks_ctes(O.sections_sql(), UNTIL_PARAMS)}{O.sample_ctes(UNTIL_PARAMS)},
+cand AS ({O.books_sql()}),
+standing AS (SELECT c.lang, g.*, c.cand_rank, row_number() OVER (PARTITION BY c.lang ORDER BY c.cand_rank, g.book_id) AS accept_pos
+           FROM gate g JOIN cand c USING (book_id) WHERE g.accepted),
+ends AS (SELECT lang, min(4 ** k - 1) AS high FROM standing, range(1, 30) r(k)
+         WHERE accept_pos = {UNTIL_PARAMS.n_books} AND 4 ** k - 1 >= cand_rank GROUP BY lang),
+opened AS (SELECT lang, count(*) AS n_judged FROM cand LEFT JOIN ends USING (lang) WHERE cand_rank <= coalesce(high, 1e9) GROUP BY lang)
+SELECT lang, book_id, cand_rank, n_chunks, n_pages, accept_pos, n_judged FROM standing JOIN opened USING (lang) WHERE accept_pos <= {UNTIL_PARAMS.n_books}""")
+def q_accept_until(spark, sf):
+    """The first accepted books, judged in growing blocks of candidates over landed sections; n_judged
+    counts the books of the language that were opened at all."""
+    path = _run_dir(spark, sf, "sections")
+    rows = fx.sections(spark, sf)
+    A.land_sections(rows, path)
+
+    def judge(keys):
+        chunks = C.index_chunks(A.sections_of(spark, path, rows.schema, keys), UNTIL_PARAMS, ("lang", "book_id"))
+        books, pages = S.book_gate(chunks, fx.rendered(spark, sf, chunks, ("lang", "book_id")), UNTIL_PARAMS, ("lang", "book_id"))
+        return books, pages
+
+    books, _, rounds = A.accept_until(fx.books(spark, sf), judge, UNTIL_PARAMS, UNTIL_BLOCK, UNTIL_GROWTH)
+    opened = rounds.groupBy("lang").agg(F.sum("n_judged").alias("n_judged"))
+    return books.join(opened, "lang").select("lang", "book_id", "cand_rank", "n_chunks", "n_pages", "accept_pos", "n_judged")
+
+
 @register("dataset_metadata", lambda: _sample_sql(f"""SELECT lang, book_id, title, to_json(authors) AS authors_json,
   to_json(list(struct_pack(page_idx := CAST(chunk_idx AS INTEGER), zone := zone,
       img_path := lang || '/' || book_id || '_' || {O.slug_sql('title')} || '/pages/' || printf('page_%04d.jpg', chunk_idx),

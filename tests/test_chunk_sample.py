@@ -68,3 +68,27 @@ def test_sample_is_stable_and_stratified(spark):
     s2 = sorted((r.chunk_idx, r.zone) for r in stratified_sample(z.repartition(7)).collect())
     assert s1 == s2
     assert [sum(x == k for _, x in s1) for k in ("mandatory", "front", "body", "back")] == [3, 2, 10, 5]
+
+
+def test_repeated_positions_and_null_keys_keep_one_row_each(spark):
+    long = ["x" * 200, "y" * 200, "z" * 200, "w" * 200]
+    rows = [("b", 0, "s", long[0]), ("b", 0, "s", long[1]), ("b", 0, "s", long[1]), ("b", 1, "t", long[2]), (None, 0, "s", long[3]), (None, None, None, long[0]), ("c", None, "u", long[1])]
+    df = spark.createDataFrame(rows, "book_id string, section_pos long, section_id string, md string")
+    got = index_chunks(df, Params()).collect()
+    by_book = {}
+    for r in got:
+        by_book.setdefault(r.book_id, []).append((r.chunk_idx, r.md.strip()))
+        assert r.n_chunks == {"b": 4, "c": 1, None: 2}[r.book_id]
+    assert len(got) == len(rows)
+    assert {k: [i for i, _ in sorted(v)] for k, v in by_book.items()} == {"b": [0, 1, 2, 3], "c": [0], None: [0, 1]}
+    assert sorted(md for _, md in by_book["b"]) == sorted([long[0], long[1], long[1], long[2]]) and max(by_book["b"])[1] == long[2]
+    assert sorted(by_book[None]) == [(0, long[0]), (1, long[3])]
+
+
+def test_running_sum_keeps_null_keys(spark):
+    from folio.operators.prefix import running_sum
+
+    df = spark.createDataFrame([(None, i, 1) for i in range(600)] + [("a", 5, 7), ("a", None, 2)], "k string, i long, v long")
+    got = running_sum(df, ["k"], F.floor(F.col("i") / 256), ["i"], F.col("v"), "before", "total").collect()
+    assert sorted((r.i, r.before, r.total) for r in got if r.k is None) == [(i, i, 600) for i in range(600)]
+    assert {(r.i, r.before, r.total) for r in got if r.k == "a"} == {(None, 0, 9), (5, 2, 9)}
