@@ -132,18 +132,20 @@ def score_pairs(pairs: DataFrame, keys, ref: str = "ref", hyp: str = "hyp",
     def total_of(n):
         return F.greatest(F.col("hyp_len") - (n - 1), F.lit(0))
 
-    at = {t: [F.col("_tc")[3 * i + k] for k in range(3)] for i, t in enumerate(ELEMENT_TYPES)}
+    # one expression for all types, folded over the array: 13 copies of it would be too large to compile
+    per_type = F.transform(F.sequence(F.lit(0), F.lit(len(ELEMENT_TYPES) - 1)), lambda i: F.struct(
+        f1_of(*[F.get("_tc", 3 * i + k) for k in range(3)]).alias("f1"), (F.get("_tc", 3 * i + 1) > 0).alias("present")))
+    base = stage(base, base.columns, _f1=per_type)
     # the macro average adds the types present in the reference in their fixed order
-    macro_sum, n_present = F.lit(0.0), F.lit(0)
-    for t in ELEMENT_TYPES:
-        macro_sum = macro_sum + F.when(at[t][1] > 0, f1_of(*at[t])).otherwise(F.lit(0.0))
-        n_present = n_present + F.when(at[t][1] > 0, 1).otherwise(0)
-    macro = F.when(n_present > 0, F.bround(macro_sum / F.greatest(n_present, F.lit(1)), 6)).otherwise(F.lit(1.0))
+    total = F.aggregate("_f1", F.struct(F.lit(0.0).alias("f1"), F.lit(0).alias("n")), lambda acc, x: F.when(
+        x["present"], F.struct((acc["f1"] + x["f1"]).alias("f1"), (acc["n"] + 1).alias("n"))).otherwise(acc))
+    base = stage(base, base.columns, _macro=total)
+    macro = F.when(F.col("_macro.n") > 0, F.bround(F.col("_macro.f1") / F.greatest("_macro.n", F.lit(1)), 6)).otherwise(F.lit(1.0))
     out = [*keys, "ned", similarity("ned").alias("similarity"),
            bleu_from_counts(correct, total_of, "ref_len", "hyp_len").alias("bleu"),
            macro.alias("struct_f1")]
     if detail:
-        out += [f1_of(*at[t]).alias(f"f1_{t}") for t in ELEMENT_TYPES]
+        out += [F.col("_f1")[i]["f1"].alias(f"f1_{t}") for i, t in enumerate(ELEMENT_TYPES)]
     if with_counts:
         out += [F.col("ref_len").cast("bigint").alias("ref_len"), F.col("hyp_len").cast("bigint").alias("hyp_len")]
         out += [correct[n - 1].alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)]

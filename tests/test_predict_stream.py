@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from folio import session
 from folio.operators import predict as P
-from folio.streaming.incremental import start_incremental_scores
+from folio.operators.evaluate import eval_scores
+from folio.streaming.incremental import read_scores, start_incremental_scores, start_scores
 
 REF = "lang string, book string, page string, md string"
 PRED = "model string, lang string, book string, page string, md string"
@@ -81,3 +82,98 @@ def test_checkpoint_folder(spark, monkeypatch):
         session.ensure_checkpoint_dir(Cluster())
     Cluster.sparkContext.folder = "hdfs://x/ckpt"
     assert session.ensure_checkpoint_dir(Cluster()) == "hdfs://x/ckpt"
+
+
+def pair_texts(n):
+    refs = [("it", "b", f"p{i}", f"# Title {i}\n\ntext {i} a b c d") for i in range(n)]
+    preds = [(m, "it", "b", f"p{i}", f"# Title {i}\n\ntext {i} a {m} c d") for m in ("m1", "m2") for i in range(n)]
+    return refs, preds
+
+
+def stands(spark, out):
+    return sorted(map(tuple, read_scores(spark, out).select("model", "lang", "book", "page", "ned", "similarity", "bleu", "struct_f1").collect()), key=str)
+
+
+def batch(spark, refs, preds):
+    rows = eval_scores(spark.createDataFrame(refs, REF), spark.createDataFrame(preds, PRED))
+    return sorted(map(tuple, rows.select("model", "lang", "book", "page", "ned", "similarity", "bleu", "struct_f1").collect()), key=str)
+
+
+@pytest.mark.parametrize("order", ["rrpp", "pprr", "prpr", "both"])
+def test_any_order_of_arrival_gives_the_batch_result(spark, tmp_path, order):
+    """The job is stopped and started again after each landing."""
+    refs, preds = pair_texts(4)
+    ref_dir, pred_dir, out, ckpt = (str(tmp_path / x) for x in ("ref", "pred", "out", "ckpt"))
+    spark.createDataFrame([], REF).write.parquet(ref_dir)
+    spark.createDataFrame([], PRED).write.parquet(pred_dir)
+    halves = {"r": [refs[:2], refs[2:]], "p": [preds[::2], preds[1::2]]}
+    for step in ["rp"] if order == "both" else order:
+        for side in step:
+            rows = sum(halves[side], []) if order == "both" else halves[side].pop(0)
+            spark.createDataFrame(rows, REF if side == "r" else PRED).write.mode("append").parquet(ref_dir if side == "r" else pred_dir)
+        start_scores(spark, ref_dir, pred_dir, out, ckpt).awaitTermination()
+    assert stands(spark, out) == batch(spark, refs, preds)
+    assert spark.read.parquet(out).count() == len(preds)       # each pair was scored once
+
+
+def test_amended_and_repeated_halves(spark, tmp_path):
+    refs, preds = pair_texts(3)
+    ref_dir, pred_dir, out, ckpt = (str(tmp_path / x) for x in ("ref", "pred", "out", "ckpt"))
+    spark.createDataFrame(refs[:2], REF).write.parquet(ref_dir)
+    wrong = [(m, lang, b, p, "nothing like it") for m, lang, b, p, _ in preds[:2]]
+    spark.createDataFrame(wrong + [(None, "it", "b", "p0", "x"), ("m1", "it", None, "p0", "x"), ("m1", "it", "b", "p0b", None)], PRED).write.parquet(pred_dir)
+
+    def run():
+        start_scores(spark, ref_dir, pred_dir, out, ckpt).awaitTermination()
+
+    run()
+    spark.createDataFrame(preds, PRED).write.mode("append").parquet(pred_dir)         # amends two, and p2 has no reference yet
+    run()
+    spark.createDataFrame(preds[:1], PRED).write.mode("append").parquet(pred_dir)     # the same again
+    spark.createDataFrame(refs[2:], REF).write.mode("append").parquet(ref_dir)
+    run()
+    assert [r for r in stands(spark, out) if r[0]] == batch(spark, refs, preds)
+    better = [("it", "b", "p1", preds[1][4])]                                          # an amended reference
+    spark.createDataFrame(better, REF).write.mode("append").parquet(ref_dir)
+    run()
+    run()                                                                              # nothing new
+    assert [r for r in stands(spark, out) if r[0]] == batch(spark, [refs[0], better[0], refs[2]], preds)
+
+
+def test_reference_table_that_grows(spark, tmp_path):
+    refs, preds = pair_texts(2)
+    pred_dir, out, ckpt = (str(tmp_path / x) for x in ("pred", "out", "ckpt"))
+    spark.createDataFrame(preds, PRED).write.parquet(pred_dir)
+    for upto in (1, 2, 2):
+        start_incremental_scores(spark, spark.createDataFrame(refs[:upto], REF), pred_dir, out, ckpt).awaitTermination()
+        assert stands(spark, out) == batch(spark, refs[:upto], preds)
+    assert spark.read.parquet(out).count() == len(preds)
+
+
+def test_state_is_given_up_after_the_wait(spark, tmp_path):
+    """Landing times of the rows' own: what waited longer than ``wait`` is dropped, what came in time is scored."""
+    import datetime as dt
+
+    refs, preds = pair_texts(4)
+    ref_dir, pred_dir, out, ckpt = (str(tmp_path / x) for x in ("ref", "pred", "out", "ckpt"))
+    t0 = dt.datetime(2024, 1, 1)
+
+    def land(rows, schema, path, hours):
+        spark.createDataFrame([(*r, t0 + dt.timedelta(hours=hours)) for r in rows], f"{schema}, landed timestamp").write.mode("append").parquet(path)
+
+    def run():
+        q = start_scores(spark, ref_dir, pred_dir, out, ckpt, at="landed", wait="2 hours")
+        q.awaitTermination()
+        return q
+
+    land(preds[:1], PRED, pred_dir, 0)
+    land(refs[1:2], REF, ref_dir, 0)
+    run()
+    land(refs[:1], REF, ref_dir, 1)                  # in time
+    land(preds[2:3], PRED, pred_dir, 10)             # the watermark moves on ...
+    land(refs[3:4], REF, ref_dir, 10)
+    run()
+    land(preds[1:2], PRED, pred_dir, 11)             # ... so the reference of 0 o'clock is gone for it
+    land(refs[2:3], REF, ref_dir, 11)
+    run()
+    assert stands(spark, out) == batch(spark, [refs[0], refs[2]], [preds[0], preds[2]])
