@@ -1,17 +1,12 @@
 """Markdown structure elements of a text, as ``array<struct<type, token>>`` (in-row).
 
 Eight element types come from targeted regular expressions (as in the metric's
-definition); the five block types come from a line-based contract instead of a
-full CommonMark parser:
-
-* fenced code (```/~~~, unclosed fence runs to the end) holds no block elements;
-* blockquote = a run of lines starting with ``>`` (up to 3 spaces first); markers
-  removed, the run is one token; its lines hold no other block element;
-* table = a line with ``|``, a delimiter row with ``|`` and dashes, then the
-  following lines with ``|``; one token per body cell (header cells are not counted);
-* heading = ATX ``#``..``######`` line; token ``<level>:<text>``;
-* list item = a marker line (``-``, ``*``, ``+``, ``1.``, ``1)``) plus its following
-  non-blank lines that start no other block; a nested item keeps only its own lines;
+definition); the five block types come from lines:
+
+* fenced code (```/~~~, unclosed fence runs to the end) holds no block elements and parts the lines around it;
+* headings (ATX and setext), block quotes with their lazy lines, list items with their nested items, and tables come
+  from a line-state machine (``folio.functions.blocks``): a quote is one token and its lines hold no other block,
+  a table gives one token per body cell (header cells are not counted), a heading is ``<level>:<text>``;
 * image = alt text of ``![alt](src)`` outside quotes and tables.
 
 Token text drops inline markup the way text-node extraction does: images and
@@ -24,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions import blocks as B
 from folio.functions.text import WS_CLASS, col, normalise_token, stage
 
 # The 13 element types, in report order.
@@ -43,17 +39,8 @@ RE_BOLD_ITALIC = r"(?s)\*{3}(.+?)\*{3}"
 RE_BOLD = r"(?s)\*{2}(.+?)\*{2}"
 RE_ITALIC = r"\*([^*\n]+)\*"
 
-# Line-based block contract. Repeated groups are possessive: nothing behind them could take
-# back a line, and the regex engine then loops over lines where it would else recurse.
-RE_FENCE = r"(?msd)^ {0,3}(```|~~~).*?(?:^ {0,3}\1[^\n]*(?:\n|\z)|\z)"
-RE_QUOTE_RUN = r"(?md)(?:^ {0,3}>[^\n]*+(?:\n|\z))++"
-RE_QUOTE_MARK = r"(?md)^(?: {0,3}> ?)++"
-_DELIM = r"[ \t]*\|?(?:[ \t]*+:?-++:?[ \t]*+\|)++(?:[ \t]*:?-+:?[ \t]*)?"
-RE_TABLE = r"(?md)^([^\n|]*\|[^\n]*)\n(" + _DELIM + r")(?:\n|\z)((?:[^\n|]*+\|[^\n]*+(?:\n|\z))*+)"
-RE_HEADING = r"(?md)^ {0,3}(#{1,6})(?:[ \t]+([^\n]*?))?(?:[ \t]+#+)?[ \t]*$"
-_MARK = r"(?:[-*+]|\d{1,9}[.)])"
-RE_ITEM = (r"(?md)^(?![ \t]*([-*_])(?:[ \t]*+\1){2,}+[ \t]*$)[ \t]*" + _MARK + r"[ \t]+"
-           r"([^\n]*(?:\n(?![ \t]*$)(?![ \t]*" + _MARK + r"[ \t])(?! {0,3}(?:#{1,6}(?:[ \t]|$)|>))[^\n]*+)*+)")
+# Fenced code. Java dialect; an unclosed fence runs to the end.
+RE_FENCE = r"(?msd)^[ \t]*(```|~~~).*?(?:^[ \t]*\1[^\n]*(?:\n|\z)|\z)"
 RE_IMAGE = r"!\[([^\]]*)\]\([^)]*\)"
 
 
@@ -74,9 +61,8 @@ def _norm_all(arr: Column, inline: bool = False) -> Column:
     return F.transform(arr, lambda t: normalise_token(inline_text(t) if inline else t))
 
 
-def _table_cells(body_blocks: Column) -> Column:
-    rows = F.flatten(F.transform(body_blocks, lambda b: F.split(b, "\n")))
-    rows = F.filter(rows, lambda r: F.trim(r) != "")
+def _table_cells(bodies: Column) -> Column:
+    rows = F.filter(F.flatten(F.transform(bodies, lambda b: F.split(b, "\n"))), lambda r: F.trim(r) != "")
 
     def cells(r):
         r = F.regexp_replace(F.regexp_replace(r, r"^[ \t]*\|", ""), r"\|[ \t]*$", "")
@@ -85,49 +71,35 @@ def _table_cells(body_blocks: Column) -> Column:
     return F.flatten(F.transform(rows, cells))
 
 
-def elements(text) -> Column:
-    """All 13 element types of one Markdown text as ``array<struct<type, token>>``."""
-    t = col(text)
-    no_code = F.regexp_replace(t, RE_FENCE, "\n")
-    no_quote = F.regexp_replace(no_code, RE_QUOTE_RUN, "\n")
-    return _collect(t, no_code, no_quote, F.regexp_replace(no_quote, RE_TABLE, "\n"), F.regexp_replace(t, RE_BOLD_ITALIC, " "))
-
-
 def with_elements(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``elements(text)`` as column ``out``; the intermediate texts that it reads several times
-    are staged, so each is made once a row."""
-    code, quote, rest, bi = names = [f"_{out}_{x}" for x in ("code", "quote", "rest", "bi")]
-    made = stage(df, df.columns, **{code: F.regexp_replace(text, RE_FENCE, "\n"), bi: F.regexp_replace(text, RE_BOLD_ITALIC, " ")})
-    made = stage(made, made.columns, **{quote: F.regexp_replace(code, RE_QUOTE_RUN, "\n")})
-    made = stage(made, made.columns, **{rest: F.regexp_replace(quote, RE_TABLE, "\n")})
-    return made.withColumn(out, _collect(*map(F.col, (text, code, quote, rest, bi)))).drop(*names)
-
-
-def _collect(t: Column, no_code: Column, no_quote: Column, rest: Column, no_bi: Column) -> Column:
+    """df with column ``out``: all 13 element types of one Markdown text as ``array<struct<type, token>>``.
+    What is read several times is staged, so each is made once a row."""
+    lines, info, blocks, rest, bi = names = [f"_{out}_{x}" for x in ("lines", "info", "blocks", "rest", "bi")]
+    code_free = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), RE_FENCE, "\n")
+    made = stage(df, df.columns, **{lines: F.split(code_free, "\n", -1), bi: F.regexp_replace(text, RE_BOLD_ITALIC, " ")})
+    made = stage(made, made.columns, **{info: B.line_info(F.col(lines))})
+    made = stage(made, made.columns, **{blocks: B.found_blocks(info)})
+    made = stage(made, made.columns, **{rest: F.array_join(B.outside(F.col(blocks), F.col(lines)), "\n")})
+    return made.withColumn(out, _collect(*map(F.col, (text, blocks, lines, info, rest, bi)))).drop(*names)
+
+
+def _collect(t: Column, blocks: Column, lines: Column, info: Column, rest: Column, no_bi: Column) -> Column:
     no_block = F.regexp_replace(t, RE_MATH_BLOCK, "")
     no_bold = F.regexp_replace(no_bi, RE_BOLD, " ")
-    quotes = F.regexp_extract_all(no_code, F.lit(RE_QUOTE_RUN), 0)
-    table_bodies = F.regexp_extract_all(no_quote, F.lit(RE_TABLE), 3)
-    h_level = F.regexp_extract_all(rest, F.lit(RE_HEADING), 1)
-    h_text = F.regexp_extract_all(rest, F.lit(RE_HEADING), 2)
-    headings = F.zip_with(h_level, h_text, lambda lv, x: F.concat(
-        F.length(lv).cast("string"), F.lit(":"), normalise_token(inline_text(x))))
-    items = F.regexp_extract_all(rest, F.lit(RE_ITEM), 2)
-    images = F.regexp_extract_all(rest, F.lit(RE_IMAGE), 1)
+    headings = F.transform(B.headings_of(blocks, lines), lambda h: F.concat(h["lv"].cast("string"), F.lit(":"), normalise_token(inline_text(h["text"]))))
 
     return F.concat(
         _typed(headings, "headings"),
-        _typed(_norm_all(_table_cells(table_bodies), inline=True), "tables"),
+        _typed(_norm_all(_table_cells(B.texts_of(blocks, lines, info, B.TABLE_BODY)), inline=True), "tables"),
         _typed(_norm_all(F.regexp_extract_all(t, F.lit(RE_MATH_BLOCK), 1)), "math_block"),
         _typed(_norm_all(F.regexp_extract_all(no_block, F.lit(RE_MATH_INLINE), 1)), "math_inline"),
         _typed(F.regexp_extract_all(t, F.lit(RE_PAGE_NUM), 1), "page_nums"),
         _typed(F.regexp_extract_all(t, F.lit(RE_FOOTNOTE_REF), 1), "footnotes"),
         _typed(_norm_all(F.regexp_extract_all(t, F.lit(RE_FOOTNOTE_DEF), 2)), "footnote_defs"),
-        _typed(_norm_all(images, inline=True), "images"),
-        _typed(_norm_all(items, inline=True), "list_items"),
+        _typed(_norm_all(F.regexp_extract_all(rest, F.lit(RE_IMAGE), 1), inline=True), "images"),
+        _typed(_norm_all(B.texts_of(blocks, lines, info, B.LIST_ITEM), inline=True), "list_items"),
         _typed(_norm_all(F.regexp_extract_all(no_bi, F.lit(RE_BOLD), 1)), "bold"),
         _typed(_norm_all(F.regexp_extract_all(no_bold, F.lit(RE_ITALIC), 1)), "italic"),
         _typed(_norm_all(F.regexp_extract_all(t, F.lit(RE_BOLD_ITALIC), 1)), "bold_italic"),
-        _typed(_norm_all(F.transform(quotes, lambda q: F.regexp_replace(q, RE_QUOTE_MARK, "")), inline=True),
-               "blockquotes"),
+        _typed(_norm_all(B.texts_of(blocks, lines, info, B.BLOCKQUOTE), inline=True), "blockquotes"),
     )

@@ -70,6 +70,26 @@ def rich_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# FX13: how line i (its letters and spaces, x) is written, by i mod 17.
+BLOCK_FORMS = ("{x}\n===", "> {x}", "{x}", "> {x}", "", "- {x}", "  - {x}", "  {x}", "", "  {x}", "1. {x}", "{x}", "", "{x}", "{x}\n---", "> {x}", "# {x}")
+
+
+def block_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX13: every document as lines with setext headings, quotes with lazy lines and nested items."""
+    d = table(spark, sf_dir, "documents")
+
+    def written(line, i):
+        x = F.concat(F.lit("w "), F.btrim(F.regexp_replace(line, "[^A-Za-z ]", "")))
+        out = None
+        for k, form in enumerate(BLOCK_FORMS):
+            head, mark, tail = form.partition("{x}")
+            v = F.concat(F.lit(head), x, F.lit(tail)) if mark else F.lit(form)
+            out = F.when(i % len(BLOCK_FORMS) == k, v) if out is None else out.when(i % len(BLOCK_FORMS) == k, v)
+        return out
+
+    return d.select("doc_id", F.array_join(F.transform(F.split("text", "\n"), written), "\n").alias("md"))
+
+
 MODEL_A = "acme-lab/pager-1"
 MODEL_B = "north/pager-2"
 

@@ -197,14 +197,12 @@ def inline_sql(x: str) -> str:
 
 
 def elements_sql(t: str) -> str:
-    """list<struct(type, token)> of a text, RE2 forms of the element contract."""
+    """list<struct(type, token)> of a text, RE2 forms of the element contract (all but the types of ``block_ctes``)."""
     fence = ("(?ms)^ {0,3}```.*?(?:^ {0,3}```[^\\n]*(?:\\n|\\z)|\\z)|"
              "^ {0,3}~~~.*?(?:^ {0,3}~~~[^\\n]*(?:\\n|\\z)|\\z)")
     quote = "(?m)(?:^ {0,3}>[^\\n]*(?:\\n|\\z))+"
     delim = "[ \\t]*\\|?(?:[ \\t]*:?-+:?[ \\t]*\\|)+(?:[ \\t]*:?-+:?[ \\t]*)?"
     table = "(?m)^([^\\n|]*\\|[^\\n]*)\\n(" + delim + ")(?:\\n|\\z)((?:[^\\n|]*\\|[^\\n]*(?:\\n|\\z))*)"
-    heading = "(?m)^ {0,3}(#{1,6})(?:[ \\t]+([^\\n]*?))?(?:[ \\t]+#+)?[ \\t]*$"
-    item = "(?m)^[ \\t]*(?:[-*+]|[0-9]{1,9}[.)])[ \\t]+([^\\n]*)"
     image = "!\\[([^\\]]*)\\]\\([^)]*\\)"
     no_code = f"regexp_replace({t}, '{fence}', chr(10), 'g')"
     no_quote = f"regexp_replace({no_code}, '{quote}', chr(10), 'g')"
@@ -224,16 +222,11 @@ def elements_sql(t: str) -> str:
     cells = (f"flatten(list_transform(list_filter(flatten(list_transform(regexp_extract_all({no_quote}, '{table}', 3), "
              f"lambda b: string_split(b, chr(10)))), lambda r: trim(r) <> ''), "
              f"lambda r: string_split(regexp_replace(regexp_replace(r, '^[ \\t]*\\|', ''), '\\|[ \\t]*$', ''), '|')))")
-    heads = (f"list_transform(regexp_extract_all({rest}, '{heading}', 0), lambda h: "
-             f"CAST(length(regexp_extract(h, '{heading}', 1)) AS VARCHAR) || ':' || "
-             f"{ntok_sql(inline_sql(f'regexp_extract(h, {chr(39)}{heading}{chr(39)}, 2)'))})")
     fref = (f"list_transform(list_filter(regexp_extract_all({t}, '\\[\\^\\w+\\]:?', 0), lambda m: NOT suffix(m, ':')), "
             f"lambda m: regexp_extract(m, '\\[\\^(\\w+)\\]', 1))")
-    qtok = f"list_transform(regexp_extract_all({no_code}, '{quote}', 0), lambda q: regexp_replace(q, '(?m)^(?: {{0,3}}> ?)+', '', 'g'))"
     no_bi = f"regexp_replace({t}, '{bi}', ' ', 'g')"
     no_bo = f"regexp_replace({no_bi}, '{bo}', ' ', 'g')"
     parts = [
-        typed(heads, "headings"),
         typed(cells, "tables", True, True),
         typed(f"regexp_extract_all({t}, '{mb}', 1)", "math_block", True),
         typed(f"regexp_extract_all(regexp_replace({t}, '{mb}', '', 'g'), '\\$([^\\$\\n]+?)\\$', 1)", "math_inline", True),
@@ -241,15 +234,58 @@ def elements_sql(t: str) -> str:
         typed(fref, "footnotes"),
         typed(f"regexp_extract_all({t}, '(?m)^\\[\\^\\w+\\]:\\s*(.+)', 1)", "footnote_defs", True),
         typed(f"regexp_extract_all({rest}, '{image}', 1)", "images", True, True),
-        typed(f"regexp_extract_all({rest}, '{item}', 1)", "list_items", True, True),
         typed(f"regexp_extract_all({no_bi}, '{bo}', 1)", "bold", True),
         typed(f"regexp_extract_all({no_bo}, '\\*([^*\\n]+)\\*', 1)", "italic", True),
         typed(f"regexp_extract_all({t}, '{bi}', 1)", "bold_italic", True),
-        typed(qtok, "blockquotes", True, True),
     ]
     return "list_concat(" + ", ".join(parts) + ")"
 
 
+def block_markdown_sql() -> str:
+    from folio.plans.fixtures import BLOCK_FORMS
+
+    x = "'w ' || trim(regexp_replace(line, '[^A-Za-z ]', '', 'g'))"
+    cases = []
+    for k, form in enumerate(BLOCK_FORMS):
+        head, mark, tail = (y.replace("\n", "' || chr(10) || '") for y in form.partition("{x}"))
+        cases.append(f"WHEN {k} THEN '{head}' || {x} || '{tail}'" if mark else f"WHEN {k} THEN ''")
+    return (f"SELECT doc_id, string_agg(CASE (i - 1) % {len(BLOCK_FORMS)} {' '.join(cases)} END, chr(10) ORDER BY i) AS md "
+            "FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) GROUP BY doc_id")
+
+
+def block_ctes(src: str) -> str:
+    """After ``src(rid, body)``, numbered Markdown texts: ``block_rows(rid, type, token)`` of headings, quotes and items, by
+    gaps and islands over numbered lines. A line is lazy if it is text behind a line that leaves a paragraph open; islands of
+    lazy lines hang on their first line, whose kind says what they belong to."""
+    tok = ntok_sql(inline_sql("txt"))
+    mark = "(?:[-*+]|[0-9]{1,9}[.)])"
+    return f"""line AS (SELECT rid, unnest(string_split(body, chr(10))) AS x, generate_subscripts(string_split(body, chr(10)), 1) AS i FROM {src}),
+kind AS (SELECT *, length(x) - length(ltrim(x, ' ')) AS ind, length(regexp_extract(x, '^ *{mark} +')) AS off,
+  CASE WHEN trim(x, ' ' || chr(9)) = '' THEN 'blank' WHEN regexp_matches(x, '^ *>') THEN 'quote' WHEN regexp_matches(x, '^ *#{{1,6}}(?: |$)') THEN 'atx' WHEN regexp_matches(x, '^ *=+ *$') THEN 'eq'
+       WHEN regexp_matches(x, '^ *-+ *$') THEN 'dash' WHEN regexp_matches(x, '^ *(?:(?:- *){{3,}}|(?:\\* *){{3,}}|(?:_ *){{3,}})$') THEN 'rule' WHEN regexp_matches(x, '^ *{mark} ') THEN 'item' ELSE 'text' END AS k FROM line),
+seen AS (SELECT *, coalesce(k = 'text' AND lag(k) OVER w IN ('text', 'item', 'quote'), false) AS lazy FROM kind WINDOW w AS (PARTITION BY rid ORDER BY i)),
+island AS (SELECT *, sum((NOT lazy)::INT) OVER (PARTITION BY rid ORDER BY i) AS para FROM seen),
+led AS (SELECT *, first_value(k) OVER (PARTITION BY rid, para ORDER BY i) AS lead_k FROM island),
+under AS (SELECT *, lag(para) OVER w AS para_above, lag(lead_k) OVER w AS above FROM led WINDOW w AS (PARTITION BY rid ORDER BY i)),
+run AS (SELECT *, sum((lead_k = 'quote' AND above IS DISTINCT FROM 'quote')::INT) OVER (PARTITION BY rid ORDER BY i) AS quote_no FROM under),
+quotes AS (SELECT rid, 'blockquotes' AS type, '' AS level, string_agg(regexp_replace(x, '^(?: *> ?)+', ''), chr(10) ORDER BY i) AS txt FROM run WHERE lead_k = 'quote' GROUP BY rid, quote_no),
+heads AS (SELECT u.rid, 'headings' AS type, CASE u.k WHEN 'eq' THEN '1:' ELSE '2:' END AS level, string_agg(p.x, chr(10) ORDER BY p.i) AS txt
+  FROM under u JOIN under p ON p.rid = u.rid AND p.para = u.para_above WHERE u.k IN ('eq', 'dash') AND u.above = 'text' GROUP BY u.rid, u.i, u.k
+  UNION ALL SELECT rid, 'headings', length(regexp_extract(ltrim(x, ' '), '^#+')) || ':', regexp_replace(regexp_replace(x, '^ *#+ *', ''), '(?: +#+)? *$', '') FROM kind WHERE k = 'atx'),
+ends AS (SELECT a.rid, a.i, coalesce(min(b.i), 1000000000) AS stop FROM seen a LEFT JOIN seen b ON b.rid = a.rid AND b.i > a.i AND b.k <> 'blank' AND NOT b.lazy AND b.ind < a.off
+  WHERE a.k = 'item' GROUP BY a.rid, a.i),
+items AS (SELECT e.rid, 'list_items' AS type, '' AS level, string_agg(regexp_replace(l.x, '^ *{mark} +', ''), chr(10) ORDER BY l.i) AS txt
+  FROM ends e JOIN line l ON l.rid = e.rid AND l.i >= e.i AND l.i < e.stop GROUP BY e.rid, e.i),
+block_rows AS (SELECT rid, type, level || {tok} AS token FROM (SELECT * FROM quotes UNION ALL SELECT * FROM heads UNION ALL SELECT * FROM items))"""
+
+
+def block_elements_sql() -> str:
+    """doc_id, type, token, cnt of headings, quotes and items of the FX13 texts."""
+    return f"""WITH md AS ({block_markdown_sql()}), src AS (SELECT doc_id AS rid, md AS body FROM md),
+{block_ctes('src')}
+SELECT rid AS doc_id, type, token, count(*) AS cnt FROM block_rows GROUP BY ALL"""
+
+
 def eval_ctes(model_a: str, model_b: str) -> str:
     """After chunks_ctes on the rich sections: refs, preds, pairs, normed, scores."""
     na, ct = NON_ASCII, CTRL
@@ -303,10 +339,13 @@ bleus AS (
     ELSE 0.0 END AS bleu
   FROM bz
 ),
+sided AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM (
+  SELECT model, lang, book, page, 'ref' AS side, ref AS body FROM pairs UNION ALL SELECT model, lang, book, page, 'hyp', hyp FROM pairs)),
+{block_ctes('sided')},
 elems AS (
-  SELECT model, lang, book, page, 'ref' AS side, unnest({elements_sql('ref')}, recursive := true) FROM pairs
+  SELECT model, lang, book, page, side, unnest({elements_sql('body')}, recursive := true) FROM sided
   UNION ALL
-  SELECT model, lang, book, page, 'hyp' AS side, unnest({elements_sql('hyp')}, recursive := true) FROM pairs
+  SELECT model, lang, book, page, side, type, token FROM block_rows JOIN sided USING (rid)
 ),
 ecount AS (SELECT model, lang, book, page, side, type, token, count(*) AS cnt FROM elems GROUP BY ALL),
 etype AS (

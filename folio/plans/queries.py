@@ -14,6 +14,7 @@ from folio.operators import dataset as D
 from folio.operators import sample as S
 from folio.functions import text as T
 from folio.functions.bleu import tokenize_13a
+from folio.functions import markdown as MD
 from folio.functions.markdown import ELEMENT_TYPES
 from folio.operators import evaluate as E
 from folio.operators import metrics as M
@@ -305,6 +306,13 @@ def q_md_elements(spark, sf):
     return M.element_table(E.eval_pairs(refs, preds), PAIR)
 
 
+@register("md_blocks", lambda: O.block_elements_sql())
+def q_md_blocks(spark, sf):
+    """Headings, quotes and items of documents written with setext headings, lazy lines and nested items."""
+    found = MD.with_elements(fx.block_markdown(spark, sf), "md", "es").select("doc_id", F.explode_outer("es").alias("e")).select("doc_id", "e.*")
+    return found.filter(F.col("type").isin("headings", "blockquotes", "list_items")).groupBy("doc_id", "type", "token").agg(F.count("*").alias("cnt"))
+
+
 @register("multiset_overlap", lambda: _eval_sql(
     "SELECT model, lang, book, page, type, rt AS ref_total, ht AS hyp_total, tp AS overlap FROM etype"))
 def q_multiset_overlap(spark, sf):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import pyref
 from folio.functions.distance import edit_distance
-from folio.functions.markdown import elements
+from folio.functions.markdown import with_elements
 from folio.functions.text import normalise
 from folio.operators.metrics import corpus_embedding_score, element_table, greedy_embedding_match, score_pairs
 from folio.plans import fixtures as fx
@@ -42,7 +42,7 @@ def test_ned_bleu_literals(spark):
 
 
 def _elems(spark, text):
-    r = spark.createDataFrame([(text,)], "t string").select(elements("t").alias("e")).first()
+    r = with_elements(spark.createDataFrame([(text,)], "t string"), "t", "e").first()
     return sorted((x.type, x.token) for x in r.e)
 
 
@@ -103,7 +103,7 @@ def test_long_runs_of_lines(spark):
     texts = [("quote", "> x\n" * n), ("table", "| h | k |\n|---|---|\n" + "| 1 | 2 |\n" * n), ("item", "- first\n" + "more\n" * n),
              ("columns", "|" + "a|" * 20_000 + "\n|" + "-|" * 20_000 + "\n|" + "1|" * 20_000), ("rule", "- " * n), ("nested", "> " * n + "q"), ("list", "- a\n" * n)]
     df = spark.createDataFrame(texts, "k string, ref string").withColumn("hyp", F.col("ref"))
-    got = {(r.k, r.type): (r.n, r.size) for r in df.select("k", F.explode(elements("ref")).alias("e")).groupBy("k", "e.type")
+    got = {(r.k, r.type): (r.n, r.size) for r in with_elements(df, "ref", "es").select("k", F.explode("es").alias("e")).groupBy("k", "e.type")
            .agg(F.count("*").alias("n"), F.max(F.length("e.token")).alias("size")).collect()}
     assert got["quote", "blockquotes"] == (1, 2 * n - 1) and got["table", "tables"] == (2 * n, 1)
     assert got["item", "list_items"] == (1, 5 + 5 * n) and got["list", "list_items"] == (n, 1)
@@ -116,6 +116,53 @@ def test_item_continuation_lines(spark):
     assert [t for k, t in e if k == "list_items"] == ["one more", "three", "two"]
 
 
+BLOCK_CASES = {
+    "Title\n=====": [("headings", "1:title")],
+    "Two\nlines\n---\nrest": [("headings", "2:two lines")],
+    "a\n\n===\nb": [],                                            # no paragraph above: text
+    "a\n\n---\nb": [],                                            # a rule
+    "> q\nlazy\nmore\n\nout": [("blockquotes", "q lazy more")],
+    "> q\n===": [("blockquotes", "q ===")],                        # an underline can't be lazy
+    "> q\n---\nx": [("blockquotes", "q")],
+    "> # h\nnot lazy": [("blockquotes", "# h")],
+    "> a\n>\nnot lazy": [("blockquotes", "a")],
+    "> a\n- b\n> c": [("blockquotes", "a"), ("blockquotes", "c"), ("list_items", "b")],
+    "- a\n  - b\n  - c\n- d": [("list_items", "a b c"), ("list_items", "b"), ("list_items", "c"), ("list_items", "d")],
+    "- a\n\n  more\n\nout": [("list_items", "a more")],
+    "- a\n  - b\nlazy\n\n  back\n\nout": [("list_items", "a b lazy back"), ("list_items", "b lazy")],
+    "1. a\n2. b\n   - c": [("list_items", "a"), ("list_items", "b c"), ("list_items", "c")],
+    "text\n2. no list\n1. list": [("list_items", "list")],
+    "- a\n# h\nb": [("headings", "1:h"), ("list_items", "a")],
+    "- a\n  # h\n  b": [("headings", "1:h"), ("list_items", "a h b")],
+    "- t\n  ---\n  x": [("headings", "2:t"), ("list_items", "t x")],
+    "- a\n---\nb": [("list_items", "a")],
+    "h | k\n--|--\n1 | 2\n3\n": [("tables", "1"), ("tables", "2")],
+    "x\n```\n# no\n```\n===": [],
+    "- a\n  > q\n  > r\n- b": [("blockquotes", "q r"), ("list_items", "a q r"), ("list_items", "b")],
+    "####### seven": [], "#no": [], "# ": [("headings", "1:")], "# a #": [("headings", "1:a")],
+    "": [], "\n\n": [], None: [],
+}
+
+
+def test_block_structure(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(BLOCK_CASES)], "i int, t string")
+    got = {r.i: r.e for r in with_elements(df, "t", "e").collect()}
+    for i, (text, want) in enumerate(BLOCK_CASES.items()):
+        have = sorted((x.type, x.token) for x in got[i] or [] if x.type not in ("italic", "bold"))
+        assert have == sorted(want), text
+
+
+def test_blocks_do_not_depend_on_segments(spark, monkeypatch):
+    from folio.functions import blocks as B
+
+    text = "\n\n".join(t for t in BLOCK_CASES if t) * 3
+    df = spark.createDataFrame([(text,)], "t string")
+    whole = with_elements(df, "t", "e").first().e
+    for size in (1, 3, 7):
+        monkeypatch.setattr(B, "SEGMENT", size)
+        assert with_elements(df, "t", "e").first().e == whole
+
+
 def test_embedding_match_bounds(spark):
     rows = [(1, "ref", [1.0, 0.0]), (1, "hyp", [1.0, 0.0]), (1, "hyp", [0.0, 1.0]), (2, "ref", [1.0, 1.0])]
     tv = spark.createDataFrame(rows, "pair int, side string, vec array<double>")
