@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SEGMENT = 256
+SEGMENT = 128
 BLANK, QUOTE, ATX, RULE, EQUALS, DASHES, ITEM, TEXT = range(8)
 NONE, PARA, QUOTED, QUOTED_PARA, TABLE = range(5)
 # kinds of found blocks
@@ -45,22 +45,35 @@ RE_ATX_TEXT = r"^[ \t]*#{1,6}(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$"
 BLOCKS = "array<struct<t:int,lv:int,a:int,b:int>>"
 
 
+def _line(k, ind=None, off=None, lv=None, soft=None, weak=None, empty=None, pipe=None, delim=None) -> Column:
+    no, zero = F.lit(False), F.lit(0)
+    return F.struct((F.lit(k) if isinstance(k, int) else k).alias("k"), (zero if ind is None else ind).alias("ind"), (zero if off is None else off).alias("off"),
+                    (zero if lv is None else lv).alias("lv"), (no if soft is None else soft).alias("soft"), (no if weak is None else weak).alias("weak"),
+                    (no if empty is None else empty).alias("empty"), (no if pipe is None else pipe).alias("pipe"), (no if delim is None else delim).alias("delim"))
+
+
 def line_info(lines) -> Column:
-    """What each line is by itself."""
-    def info(x):
-        lead = F.length(F.replace(F.regexp_extract(x, r"^[ \t]*", 0), F.lit("\t"), F.lit("    ")))
+    """What each line is by itself. Most lines are blank or plain text; only the others meet the patterns."""
+    def marked(x, lead, pipe):
         mark, pad, first = (F.regexp_extract(x, RE_MARK, g) for g in (1, 2, 3))
         inner = F.regexp_replace(x, RE_QUOTE_HEAD, "")
-        kind = (F.when(x.rlike(r"^[ \t]*$"), BLANK).when(x.rlike(RE_QUOTE), QUOTE).when(x.rlike(RE_ATX), ATX).when(x.rlike(RE_DASHES), DASHES)
-                .when(x.rlike(RE_RULE), RULE).when(x.rlike(RE_EQUALS), EQUALS).when(x.rlike(RE_MARK), ITEM).otherwise(TEXT))
+        off = lead + F.length(mark) + F.when((first == "") | (F.length(pad) >= 5), 1).otherwise(F.length(pad))
+        weak = (first == "") | (mark.rlike("^[0-9]") & ~mark.rlike("^1[.)]"))
         # a quote line's content goes on as a paragraph unless it is blank, a heading or a rule
-        soft = F.when(x.rlike(RE_QUOTE), ~(inner.rlike(r"^[ \t]*$") | inner.rlike(RE_ATX) | inner.rlike(RE_RULE)))
-        weak = F.when(x.rlike(RE_MARK), (first == "") | (mark.rlike("^[0-9]") & ~mark.rlike("^1[.)]")))
-        return F.struct(kind.alias("k"), lead.alias("ind"),
-                        (lead + F.length(mark) + F.when((first == "") | (F.length(pad) >= 5), 1).otherwise(F.length(pad))).alias("off"),
-                        F.length(F.regexp_extract(x, RE_ATX, 1)).alias("lv"), F.coalesce(soft, F.lit(False)).alias("soft"),
-                        F.coalesce(weak, F.lit(False)).alias("weak"), (first == "").alias("empty"), x.contains("|").alias("pipe"),
-                        (x.contains("|") & x.rlike(RE_DELIMITER)).alias("delim"))
+        soft = ~(inner.rlike(r"^[ \t]*$") | inner.rlike(RE_ATX) | inner.rlike(RE_RULE))
+        return (F.when(x.rlike(RE_QUOTE), _line(QUOTE, lead, soft=soft, pipe=pipe))
+                .when(x.rlike(RE_ATX), _line(ATX, lead, lv=F.length(F.regexp_extract(x, RE_ATX, 1)), pipe=pipe))
+                .when(x.rlike(RE_DASHES), _line(DASHES, lead)).when(x.rlike(RE_RULE), _line(RULE, lead)).when(x.rlike(RE_EQUALS), _line(EQUALS, lead))
+                .when(x.rlike(RE_MARK), _line(ITEM, lead, off, weak=weak, empty=first == "", pipe=pipe))
+                .otherwise(_line(TEXT, lead, pipe=pipe)))
+
+    def info(x):
+        lead = F.when(x.startswith(" ") | x.startswith("\t"), F.length(F.replace(F.regexp_extract(x, r"^[ \t]*", 0), F.lit("\t"), F.lit("    ")))).otherwise(0)
+        pipe = x.contains("|")
+        return (F.when(F.btrim(x, F.lit(" \t")) == "", _line(BLANK))
+                .when(pipe & x.rlike(RE_DELIMITER), _line(TEXT, lead, pipe=pipe, delim=F.lit(True)))
+                .when(F.substring(F.ltrim(x, F.lit(" \t")), 1, 1).isin(*">#=-*_+0123456789"), marked(x, lead, pipe))
+                .otherwise(_line(TEXT, lead, pipe=pipe)))
     return F.transform(lines, info)
 
 
@@ -106,7 +119,8 @@ def _step(s, x) -> Column:
     ends = F.concat(F.when(joined, _none()).otherwise(_closed(s, s["i"])), _items(F.filter(s["stack"], lambda e: e["off"] > x["ind"]), s["i"]),
                     F.when(is_[ATX], F.array(_block(HEADING, x["lv"], i, i))).otherwise(_none()))
     level = F.when(x["k"] == EQUALS, 1).otherwise(2)
-    return (F.when(x["k"] == BLANK, _state(i, NONE, i, F.lit(False), s["stack"], F.concat(s["out"], _closed(s, s["i"]))))
+    return (F.when(x["k"] == BLANK, _state(i, NONE, i, F.lit(False), s["stack"],
+                                         F.when(s["mode"] > PARA, F.concat(s["out"], _closed(s, s["i"]))).otherwise(s["out"])))
             .when(table, _state(i, TABLE, i + 1, F.lit(False), s["stack"], s["out"]))
             .when(row, _state(i, TABLE, s["frm"], F.lit(False), s["stack"], s["out"]))
             .when(setext, _state(i, NONE, i, F.lit(False), s["stack"], F.array_append(s["out"], _block(HEADING, level, s["frm"], s["i"]))))

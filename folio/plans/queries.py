@@ -665,6 +665,17 @@ def q_md_files(spark, sf):
     return FS.read_pages(spark, root)
 
 
+@register("page_tree_files", lambda: _eval_sql("SELECT lang, book, page, md FROM refs"))
+def q_page_tree_files(spark, sf):
+    """The reference pages as files <lang>/<book>/pages/page_0007.md, read back."""
+    from folio.sources import page_tree as PT
+    PT.register(spark)
+    refs, _ = _inputs(spark, sf)
+    root = _run_dir(spark, sf, "tree")
+    refs.write.format("page_tree").mode("append").save(root)
+    return spark.read.format("page_tree").load(root)
+
+
 @register("incremental_scores", lambda: _eval_sql(
     f"SELECT model, lang, book, page, ned, similarity, round_even(bleu, 6) AS bleu, struct_f1 FROM scores "
     ""))

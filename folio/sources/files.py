@@ -43,7 +43,8 @@ def read_md_dir(spark: SparkSession, path: str) -> DataFrame:
 
 def read_page_tree(spark: SparkSession, path: str) -> DataFrame:
     """Page files of a tree ``<lang>/<book>/pages/page_0007.md`` (references) or
-    ``<lang>/<book>/page_0007.md`` (predictions): lang, book, page, md; other files are left out."""
+    ``<lang>/<book>/page_0007.md`` (predictions): lang, book, page, md; other files are left out, and so
+    are empty ones, which Spark's text reader skips (``sources.page_tree`` keeps them)."""
     df = spark.read.option("pathGlobFilter", "page_*.md").option("recursiveFileLookup", "true").text(path, wholetext=True)
     at = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     rx = r"([^/]+)/([^/]+)/(?:pages/)?(page_[^/]+[.]md)$"
