@@ -5,6 +5,11 @@ cell at a time. The bit-parallel form (Myers 1999, in Hyyrö's formulation for
 global distance) advances 64 cells per machine word; Python integers make the
 bit vectors any length, so a page pair costs a few milliseconds. Common prefix
 and suffix are cut first (this keeps the distance exact).
+
+Long texts only work on a band of the table (Ukkonen's cut-off): a distance of at most k
+never leaves the 2k + 1 diagonals around the main one. k doubles until the distance fits, so
+the cost grows with distance times length; a band is given up at once when its lower edge says that
+k is too small. Texts that differ in more than about half of their characters fall back to the whole table.
 """
 
 from __future__ import annotations
@@ -25,6 +30,47 @@ def _common_prefix(a: str, b: str) -> int:
     return lo
 
 
+BAND_FROM = 4096        # shorter texts: the whole table is a few machine words wide already
+BAND_START = 256
+BAND_COLUMNS = 4096
+
+
+def banded_distance(a: str, b: str, k: int) -> int:
+    """The distance of a and b if it is at most ``k``, else k + 1; needs 0 <= len(a) - len(b) <= k < len(b).
+
+    Bit r of a vector stands for row c - k + r of column c (rows along b, columns along a): the
+    window slides down one row a column. ``edge`` is the value at the window's lower end; it goes down the
+    diagonal until the last row, then along it. It can't fall on the diagonal, and by one a column at most
+    on the row, so above ``lost`` the distance is more than k."""
+    n, m, width = len(a), len(b), 2 * k + 1
+    mask, low = (1 << width) - 1, 1 << (width - 1)
+    vp, vn, edge = mask ^ ((1 << k) - 1), 0, k
+    lost = k + (n - (m - k))
+    for first in range(0, n, BAND_COLUMNS):
+        last = min(n, first + BAND_COLUMNS)
+        begin = first - k                       # row of b at bit 0 of this stretch of columns
+        peq: dict[str, int] = {}
+        for i in range(max(begin, 0), min(m, last + k)):
+            ch = b[i]
+            peq[ch] = peq.get(ch, 0) | (1 << (i - begin))
+        for c in range(first, last):
+            eq = (peq.get(a[c], 0) >> (c - first)) & mask
+            d0 = ((((eq & vp) + vp) ^ vp) | eq | vn) & mask
+            hp = vn | (mask & ~(d0 | vp))
+            hn = d0 & vp
+            if c < m - k:
+                edge += not d0 & low
+            else:
+                at = low >> (c - (m - k) + 1)
+                edge += bool(hp & at) - bool(hn & at)
+            if edge > lost:
+                return k + 1
+            down = d0 >> 1
+            vp = hn | (mask & ~(down | hp))
+            vn = down & hp
+    return edge if edge <= k else k + 1
+
+
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance over code points (unit costs)."""
     if a == b:
@@ -39,6 +85,13 @@ def edit_distance(a: str, b: str) -> int:
     m = len(b)
     if m == 0:
         return len(a)
+    if m > BAND_FROM:
+        k = max(BAND_START, len(a) - m)
+        while 2 * k < m:
+            d = banded_distance(a, b, k)
+            if d <= k:
+                return d
+            k *= 2
     peq: dict[str, int] = {}
     for i, ch in enumerate(b):
         peq[ch] = peq.get(ch, 0) | (1 << i)

@@ -41,6 +41,58 @@ def test_ned_bleu_literals(spark):
     assert got[3].bleu == pytest.approx(100.0) and got[3].struct_f1 == 1.0
 
 
+def edited(r, text, n, letters="abcdé "):
+    out = list(text)
+    for _ in range(n):
+        k = r.randrange(len(out) + 1)
+        out[k:k + r.choice([0, 1, 1])] = r.choice([[], [r.choice(letters)]])
+    return "".join(out)
+
+
+def test_banded_distance_is_exact(monkeypatch):
+    import random
+
+    from folio.functions import distance as D
+
+    r = random.Random(11)
+    for trial in range(1500):
+        b = "".join(r.choices("ab" if trial % 2 else "abcdé ", k=r.randint(3, 60)))
+        a = edited(r, b, r.randint(0, 12)) if trial % 3 else "".join(r.choices("abcd", k=r.randint(3, 70)))
+        a, b = (a, b) if len(a) >= len(b) else (b, a)
+        true = pyref.levenshtein(a, b)
+        monkeypatch.setattr(D, "BAND_COLUMNS", r.choice([1, 5, 4096]))
+        for k in (1, 2, 5, 9, 20):
+            if len(a) - len(b) <= k < len(b):
+                assert D.banded_distance(a, b, k) == min(true, k + 1), (a, b, k)
+        monkeypatch.setattr(D, "BAND_FROM", r.choice([0, 10]))
+        monkeypatch.setattr(D, "BAND_START", r.choice([1, 3]))
+        assert D.edit_distance(a, b) == true
+
+
+def test_long_pairs_of_few_edits():
+    import random
+    import time
+
+    from folio.functions import distance as D
+
+    r = random.Random(12)
+    text = "".join(r.choices("abcdefghijklmnopqrstuvwxyz      ", k=100_000))
+    other = edited(r, text, 2000, "abcxyz ")
+    t0 = time.time()
+    d = D.edit_distance(text, other)
+    spent = time.time() - t0
+    assert 1000 < d <= 2000 and spent < 5        # the whole table takes over 10 s
+    short, brief = text[:6000], edited(r, text[:6000], 900)
+    got = D.edit_distance(short, brief)
+    whole = D.BAND_FROM
+    try:
+        D.BAND_FROM = 1 << 30
+        assert D.edit_distance(short, brief) == got
+        assert D.edit_distance(short, text[20_000:26_000]) == (setattr(D, "BAND_FROM", whole) or D.edit_distance(short, text[20_000:26_000]))
+    finally:
+        D.BAND_FROM = whole
+
+
 def _elems(spark, text):
     r = with_elements(spark.createDataFrame([(text,)], "t string"), "t", "e").first()
     return sorted((x.type, x.token) for x in r.e)
