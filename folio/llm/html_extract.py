@@ -3,7 +3,8 @@
 Markup is stripped into lines, one for every block element; scripts, styles, menus,
 page headers and footers, asides and forms leave empty lines. Elements whose class or
 id is a boilerplate name (sidebar, advert, notice, comments) do so by their text: if links make up half of
-it, or if every part of the name is such a word and the element holds little text of its own (under
+it, or if every part of the name is such a word and the page has other text (a surge of it, outside of all such
+elements) - whatever the element's length. On a page without, they go if they hold little text of their own (under
 ``LITTLE`` characters; outside of <article> and <main> also if it isn't the page's most text). Headings never
 go by name. A name that is boilerplate only in its first or last part takes the length, not the text, of
 short elements outside of <article> and <main>. The lengths of the lines (without link text) are summed over
@@ -45,7 +46,7 @@ ROLES = set("navigation banner contentinfo complementary search form dialog aler
 NAMES = set("""nav navbar navigation menu submenu sidebar footer masthead banner ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion
 cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations
 breadcrumb breadcrumbs pagination pager comments comment commentlist respond reply replies disqus widget widgets toolbar skip skiplink copyright legal disclaimer search searchbox login
-alert teaser teasers topbar bottombar tags tagcloud toc paywall survey feedback rating ratings topnav sidenav subnav
+alert teaser teasers discussion discussions topbar bottombar tags tagcloud toc paywall survey feedback rating ratings topnav sidenav subnav
 adsense adslot adbox adcontainer sidebox aside trending outbrain taboola header""".split())
 HOLDS = re.compile(r"^(?:has|with|no|without|is|not)[-_]|[-_]with[-_]")
 RESET = {"article", "main"}
@@ -67,7 +68,8 @@ def _named(attrs: str) -> tuple[set[str], str]:
                     sure.add("header")
                     parts = [x for x in parts if x != "header"]
                 if parts and (name in NAMES or all(x in NAMES for x in parts)):
-                    kind = "whole"
+                    # id=comment names one section of a text (a commentary); readers' comments come in the plural or as a class
+                    kind = kind or "part" if key == "id" and name == "comment" else "whole"
                 elif parts and (parts[0] in NAMES or parts[-1] in NAMES):
                     kind = kind or "part"
         elif key == "role" and value in ROLES:
@@ -303,9 +305,13 @@ def main_text(page: str | None, window: int = 3, surge: int = 60) -> str:
         if up >= 0:
             size[up] += size[r]
             links[up] += links[r]
+    outer: list[bool] = []                # whether the element or one around it has a wholly boilerplate name
+    for kind, up, _ in regions:
+        outer.append(kind == "whole" or up >= 0 and outer[up])
+    rest = sum(x.plain for x in lines if x.region < 0 or not outer[x.region])
     top: list[int] = []                   # the outermost element that goes, or -1
     for r, (kind, up, inside) in enumerate(regions):
-        gone = 2 * links[r] >= size[r] or kind == "whole" and (own[r] < LITTLE or not inside and 2 * (size[r] - links[r]) < whole)
+        gone = 2 * links[r] >= size[r] or kind == "whole" and (rest >= surge or own[r] < LITTLE or not inside and 2 * (size[r] - links[r]) < whole)
         top.append(top[up] if up >= 0 and top[up] >= 0 else r if gone else -1)
     left, before = [], -1
     for x in lines:
