@@ -1,4 +1,5 @@
-"""Line dedup with content-defined chunks, in DataFrame functions only.
+"""Line dedup with content-defined chunks, in DataFrame functions only. The query op3 and the pipeline use
+``dedup_passages(chunks=True)``: what either rule removes goes, each judged on the input.
 
 A rolling hash over the hashes of the last ``window`` lines ends a chunk where it
 is divisible by ``divisor``; the boundaries move with the text, so a passage keeps
@@ -176,19 +177,27 @@ def dedup_passages(docs: DataFrame, id_col="doc_id", text_col="text", words: int
     return unpack(out, docs.columns, **new)
 
 
-def oracle_sql(window: int = 2, divisor: int = 3) -> str:
-    """DuckDB twin over documents."""
+def oracle_sql(words: int = 50, window: int = 2, divisor: int = 3) -> str:
+    """DuckDB twin of ``dedup_passages(chunks=True)`` over documents."""
     roll = " + ".join(f"coalesce(lag(h, {k}) OVER w, 0) * {31 ** k}" for k in range(window))
+    ink = "[\\x20\\x09-\\x0D]+"
     return f"""WITH lines AS (
   SELECT doc_id, i, lines[i] AS line, ('0x' || substr(md5(lines[i]), 1, 7))::BIGINT AS h
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
 ends AS (SELECT *, (({roll}) % {divisor} = 0)::INT AS cut FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM ends),
-chunks AS (SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM numbered GROUP BY doc_id, no),
+chunks AS (SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n, min(i) AS a, max(i) AS b FROM numbered GROUP BY doc_id, no),
 ranked AS (SELECT *, n >= 2 AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]')
              AND row_number() OVER (PARTITION BY chunk, n >= 2 ORDER BY doc_id, no) > 1 AS gone FROM chunks),
-built AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text,
-                 count(*) FILTER (gone) AS n_removed FROM ranked GROUP BY doc_id)
+inked AS (SELECT doc_id, i, line, len(list_filter(string_split_regex(line, '{ink}'), lambda y: y <> '')) AS n FROM lines),
+worded AS (SELECT *, row_number() OVER w AS r, sum(n) OVER w AS upto FROM inked WHERE n > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+pairs AS (SELECT a.doc_id, a.r AS ra, b.r AS rb, a.i AS a, b.i AS b FROM worded a JOIN worded b ON b.doc_id = a.doc_id AND b.r >= a.r AND b.upto - a.upto + a.n >= {words}),
+runs AS (SELECT doc_id, ra, min(rb) AS rb, a, min(b) AS b FROM pairs GROUP BY doc_id, ra, a UNION SELECT doc_id, max(ra), rb, max(a), b FROM pairs GROUP BY doc_id, rb, b),
+passages AS (SELECT u.doc_id, u.a, u.b, string_agg(w.line, chr(10) ORDER BY w.r) AS passage FROM runs u JOIN worded w ON w.doc_id = u.doc_id AND w.r BETWEEN u.ra AND u.rb GROUP BY u.doc_id, u.a, u.b),
+placed AS (SELECT *, min(doc_id) OVER (PARTITION BY passage) AS first_doc, first_value(b) OVER (PARTITION BY passage ORDER BY doc_id, a, b) AS first_b FROM passages),
+spans AS (SELECT doc_id, a, b FROM ranked WHERE gone UNION ALL SELECT doc_id, a, b FROM placed WHERE doc_id <> first_doc OR a > first_b),
+marked AS (SELECT doc_id, i, line, EXISTS (SELECT 1 FROM spans s WHERE s.doc_id = l.doc_id AND l.i BETWEEN s.a AND s.b) AS gone FROM lines l),
+built AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text, count(*) FILTER (gone) AS n_removed FROM marked GROUP BY doc_id)
 SELECT d.doc_id, b.text, d.lang, d.source, length(b.text)::BIGINT AS n_chars, coalesce(b.n_removed, 0)::BIGINT AS n_removed
 FROM documents d LEFT JOIN built b ON d.doc_id = b.doc_id"""

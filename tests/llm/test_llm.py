@@ -235,10 +235,28 @@ def test_lines_odd_rows(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
-def slow_passages(docs, words=50):
+def slow_chunk_lines(docs, window=2, divisor=3):
+    """The lines (from 0) of each document that lie in a repeated chunk."""
+    seen, out = set(), {}
+    for d, t in docs:
+        lines = t.split("\n")
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        out[d], begin = set(), 0
+        for i in range(len(lines)):
+            if i == len(lines) - 1 or sum(h[i - k] * 31**k for k in range(window) if i >= k) % divisor == 0:
+                chunk = "\n".join(lines[begin:i + 1])
+                if i > begin and chunk.strip(" \t\n\r\x0b\f"):
+                    out[d] |= set(range(begin, i + 1)) if chunk in seen else set()
+                    seen.add(chunk)
+                begin = i + 1
+    return out
+
+
+def slow_passages(docs, words=50, chunks=False):
     """docs: (id, text), by id. A line goes if it lies in a run that starts or ends at a line, is as short
-    as its words allow, and stands in an earlier document or above."""
-    seen, out = {}, []
+    as its words allow, and stands in an earlier document or above (``chunks``: or in a repeated chunk)."""
+    docs = list(docs)
+    seen, out, also = {}, [], slow_chunk_lines(docs) if chunks else {}
     for d, t in docs:
         lines = t.split("\n")
         n = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
@@ -252,10 +270,20 @@ def slow_passages(docs, words=50):
             e, b = seen.setdefault("\n".join(lines[i] for i in at[x:y + 1]), (d, at[y]))
             if e < d or at[x] > b:
                 gone |= set(range(at[x], at[y] + 1))
+        gone |= also.get(d, set())
         out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
     return out
 
 
+def test_op3_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    order = sorted((x.doc_id, x.text) for x in docs.collect())
+    got = {x.doc_id: (x.text, x.n_removed) for x in queries.op3(spark, SF).collect()}
+    want = slow_passages(order, chunks=True)
+    assert [got[d][0] for d, _ in order] == want and sum(got[d][1] for d in got) > 0
+    assert all(got[d][1] == t.count("\n") - w.count("\n") + (w == "" and got[d][1] > 0) for (d, t), w in zip(order, want))
+
+
 @pytest.mark.parametrize("bits", [64, 3])
 def test_passages_match_brute_force(spark, bits):
     r = random.Random(2)
@@ -572,7 +600,8 @@ def test_pipeline_stages(spark):
     kept = {x.doc_id for x in quality.classify(docs).filter("kept").collect()}
     assert ids[1] == kept and ids[2] == kept
     rows = {x.doc_id: x.text for x in seen[2].collect()}
-    assert rows == slow_lines(sorted((x.doc_id, x.text) for x in seen[1].collect()))
+    before = sorted((x.doc_id, x.text) for x in seen[1].collect())
+    assert [rows[d] for d, _ in before] == slow_passages(before, chunks=True)
     order = sorted(rows)
     comp = slow_components([slow_print(rows[i]) for i in order], order, 4)
     assert ids[3] == set(comp)
@@ -584,4 +613,4 @@ def test_pipeline_stages(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.LLM_REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.LLM_REGISTRY) == list(range(1, 14))
