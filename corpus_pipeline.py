@@ -20,8 +20,8 @@ def good_quality(spark, docs, sf_dir):
 
 
 def unique_lines(spark, docs, sf_dir):
-    """Documents without repeated multi-line chunks; every row stays."""
-    return line_dedup.dedup_lines(docs).drop("n_removed")
+    """Documents without repeated multi-line chunks and passages of 50 words or more; every row stays."""
+    return line_dedup.dedup_passages(docs, chunks=True).drop("n_removed")
 
 
 def unique_documents(spark, docs, sf_dir):
