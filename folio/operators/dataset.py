@@ -82,3 +82,31 @@ def language_metadata(book_meta: DataFrame) -> DataFrame:
 def write_metadata(lang_meta: DataFrame, path: str) -> None:
     """JSON sink, one folder per language; non-ASCII is written as is."""
     lang_meta.write.mode("overwrite").partitionBy("lang").json(path)
+
+
+BOOKS_SCHEMA = "array<struct<id:string,title:string,authors:array<string>,pages:array<struct<page_idx:int,zone:string,img_path:string,md_path:string>>>>"
+
+
+def global_metadata(lang_meta: DataFrame, languages=()) -> DataFrame:
+    """One row, ``value``: the whole dataset's metadata as a JSON object, language -> its books, in the order of the names.
+    ``languages`` without an accepted book get an empty list. Bounded: languages x ``n_books`` x ``n_pages``."""
+    spark = lang_meta.sparkSession
+    rows = lang_meta.select(F.col("lang").cast("string").alias("lang"), F.to_json("books").alias("j")).filter("lang IS NOT NULL")
+    named = spark.range(1).select(F.explode_outer(F.lit(list(languages)).cast("array<string>")).alias("lang")).filter("lang IS NOT NULL")
+    rows = rows.unionByName(named.join(rows.select("lang"), "lang", "left_anti").select("lang", F.lit("[]").alias("j")))
+    # a name as a JSON string: the one element of an array, without its brackets
+    name = F.regexp_replace(F.to_json(F.array("lang")), r"^\[|\]$", "")
+    entry = F.concat(name, F.lit(": "), F.col("j"))
+    parts = rows.agg(F.array_sort(F.collect_list(F.struct("lang", entry.alias("e")))).alias("p"))
+    return parts.select(F.concat(F.lit("{"), F.array_join(F.transform("p", lambda x: x["e"]), ",\n"), F.lit("}")).alias("value"))
+
+
+def write_global_metadata(lang_meta: DataFrame, path: str, languages=()) -> None:
+    """The global file beside those of the languages, in a folder of its own."""
+    global_metadata(lang_meta, languages).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_global_metadata(spark, path: str) -> DataFrame:
+    """lang, books of the file written by ``write_global_metadata``."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.explode_outer(F.from_json("value", f"map<string,{BOOKS_SCHEMA}>")).alias("lang", "books")).filter("lang IS NOT NULL")

@@ -189,6 +189,25 @@ def q_dataset_metadata(spark, sf):
                        F.to_json("pages").alias("pages_json"))
 
 
+GLOBAL_LANGUAGES = ("en", "fr", "de", "es", "it")
+
+
+@register("global_metadata", lambda: f"""SELECT l.lang, count(x.book_id) AS n_books, coalesce(string_agg(x.book_id || ' ' || x.title, '; ' ORDER BY x.book_id), '') AS books,
+  coalesce(sum(json_array_length(x.pages_json)), 0)::BIGINT AS n_pages
+  FROM (VALUES {", ".join(f"('{x}')" for x in GLOBAL_LANGUAGES)}) l(lang) LEFT JOIN ({REGISTRY["dataset_metadata"][1]()}) x ON x.lang = l.lang GROUP BY l.lang""")
+def q_global_metadata(spark, sf):
+    """The dataset's one metadata file, written and read back: the accepted books of every language, none for some."""
+    books, pages = _gate(spark, sf)
+    cands = fx.books(spark, sf)
+    first = S.first_accepted(books.join(cands.select("lang", "book_id", "cand_rank"), "book_id"), GATE_PARAMS)
+    meta = D.book_metadata(D.page_records(pages.join(first.select("book_id"), "book_id", "left_semi"), cands), cands)
+    root = _run_dir(spark, sf, "metadata")
+    D.write_global_metadata(D.language_metadata(meta), root, GLOBAL_LANGUAGES)
+    found = D.read_global_metadata(spark, root)
+    return found.select("lang", F.size("books").cast("long").alias("n_books"), F.array_join(F.transform("books", lambda b: F.concat_ws(" ", b["id"], b["title"])), "; ").alias("books"),
+                        F.aggregate("books", F.lit(0).cast("long"), lambda n, b: n + F.size(b["pages"])).alias("n_pages"))
+
+
 @register("full_book_md", lambda: f"""SELECT book_id, section_pos,
   CASE WHEN section_pos = min(section_pos) OVER (PARTITION BY book_id) THEN md
        ELSE chr(10) || chr(10) || '---' || chr(10) || chr(10) || md END AS part

@@ -122,3 +122,36 @@ def test_running_sum_over_buckets(spark):
         for i in ids:
             assert got[k, i] == (run, total)
             run += i % 7
+
+
+def test_global_metadata(spark, tmp_path):
+    import json
+
+    from folio.operators import dataset as D
+
+    meta = spark.createDataFrame([("it", [("b2", 'Li"bro\u00e8', ["A"], [(3, "body", "i.jpg", "m.md")]), ("b1", None, [], [])]), ("de", []), (None, [])],
+                                 "lang string, books " + D.BOOKS_SCHEMA)
+    D.write_global_metadata(meta, str(tmp_path / "g"), ["fr", "de", 'x"y'])
+    (name,) = [f for f in os.listdir(tmp_path / "g") if f.endswith(".txt")]
+    with open(tmp_path / "g" / name, encoding="utf-8") as f:
+        raw = f.read()
+    got = json.loads(raw)
+    assert list(got) == ["de", "fr", "it", 'x"y'] and got["de"] == got["fr"] == got['x"y'] == []
+    assert got["it"][0]["pages"] == [{"page_idx": 3, "zone": "body", "img_path": "i.jpg", "md_path": "m.md"}] and "\u00e8" in raw
+    back = {r.lang: r.books for r in D.read_global_metadata(spark, str(tmp_path / "g")).collect()}
+    assert [b.id for b in back["it"]] == ["b2", "b1"] and back["fr"] == []
+    D.write_global_metadata(meta.filter("false"), str(tmp_path / "none"))
+    assert D.read_global_metadata(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_per_page_cap_keeps_the_first_linked_books(spark):
+    from folio.sources.catalog import candidates
+
+    link = {"application/epub+zip": "u"}
+    rows = [(i, f"t{i}", [], ["it"], link if i % 2 else {}, i // 6, i % 6) for i in range(18)] + [(1, "again", [], ["it"], link, 2, 0)]
+    raw = spark.createDataFrame(rows, "id long, title string, authors array<struct<name:string>>, languages array<string>, formats map<string,string>, page long, pos long")
+    capped = {r.book_id: r.title for r in candidates(raw, per_page_cap=2).collect()}
+    assert capped == {i: f"t{i}" for i in (1, 3, 7, 9, 13)}       # the repeat takes a place on its page, but no second row
+    ranks = sorted(r.cand_rank for r in candidates(raw, per_page_cap=2).collect())
+    assert ranks == [1, 2, 3, 4, 5]
+    assert candidates(raw).count() == 9
