@@ -367,6 +367,17 @@ def q_eval_summary(spark, sf):
     return E.eval_summary(_scores(spark, sf))
 
 
+@register("merged_summary", lambda: REGISTRY["eval_summary"][1]())
+def q_merged_summary(spark, sf):
+    """The summary from states that five batches of pages wrote, the scores read once."""
+    from folio.operators import report as R
+    scores = _scores(spark, sf).withColumn("part", F.pmod(F.xxhash64("page"), F.lit(5))).checkpoint()
+    root = _run_dir(spark, sf, "states")
+    for k in range(5):
+        R.write_state(scores.filter(F.col("part") == k), root, k)
+    return R.report_of(R.read_states(spark, root))
+
+
 @register("corpus_scores", lambda: _eval_sql(
     "SELECT model, count(*) AS n_pairs, coalesce(round_even(avg(ned), 4), 0.0) AS corpus_ned, "
     "coalesce(round_even(avg(bleu), 2), 0.0) AS corpus_bleu, "
