@@ -1,4 +1,4 @@
-"""13a tokenisation and word n-grams as Column expressions (public sacreBLEU definition)."""
+"""13a tokenisation as Column expressions and clipped n-gram matches (public sacreBLEU definition)."""
 
 from __future__ import annotations
 
@@ -34,19 +34,6 @@ def tokenize_13a(text) -> Column:
     return py_split(x)
 
 
-def ngrams(tokens, n: int) -> Column:
-    """Word n-grams of order n, tokens joined by one space (tokens hold no white space).
-
-    ``tokens`` must be a column reference: the lambda reads it by position
-    (``element_at`` is O(1); ``slice`` inside a lambda would copy the array each time).
-    """
-    t = col(tokens)
-    return F.when(F.size(t) >= n,
-                  F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)),
-                              lambda i: F.concat_ws(" ", *[F.element_at(t, i + k) for k in range(n)]))
-                  ).otherwise(F.array().cast("array<string>"))
-
-
 def _clipped(ref_tokens, hyp_tokens) -> list[int]:
     from collections import Counter
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import col, model_slug, py_strip
+from folio.operators.prefix import running_sum
 from folio.params import Params
 
 PAGE_KEY = ("lang", "book", "page")
@@ -37,14 +38,15 @@ def pending_counts(images: DataFrame, done: DataFrame, book_key=("lang", "book")
         F.sum(F.when(F.col("has").isNull(), 1).otherwise(0)).cast("bigint").alias("n_pending"))
 
 
-def number_batches(pending: DataFrame, params: Params = Params(), book_key=("lang", "book")) -> DataFrame:
+def number_batches(pending: DataFrame, params: Params = Params(), book_key=("lang", "book"), prefix: int = 7) -> DataFrame:
     """Pending pages in name order per book, cut into batches of ``batch_size``.
 
     Adds ``pos`` (1-based order) and ``batch`` (0-based); a book's batch ids are
-    independent of how the table is partitioned."""
+    independent of how the table is partitioned. Positions are counted inside of the first ``prefix``
+    characters of the name (``page_00``: 100 pages) and over those, so a book is many tasks."""
     k = list(book_key)
-    w = Window.partitionBy(*k).orderBy("page")
-    return (pending.withColumn("pos", F.row_number().over(w).cast("bigint"))
+    counted = running_sum(pending, k, F.substring("page", 1, prefix), ["page"], F.lit(1), "_before", "_total")
+    return (counted.withColumn("pos", (F.col("_before") + 1).cast("bigint")).drop("_before", "_total")
             .withColumn("batch", F.floor((F.col("pos") - 1) / params.batch_size).cast("bigint")))
 
 
