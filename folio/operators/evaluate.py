@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.operators.metrics import METRIC_META, score_pairs
+from folio.operators.scorers import ranking_of, score_all, summary_of
 
 PAGE_KEY = ("lang", "book", "page")
 
@@ -44,15 +45,19 @@ def missing_predictions(refs: DataFrame, preds: DataFrame, models, page_key=PAGE
         F.explode_outer(lacking).alias("model"), *k).filter(F.col("model").isNotNull())
 
 
-def eval_scores(refs: DataFrame, preds: DataFrame, page_key=PAGE_KEY, detail: bool = False) -> DataFrame:
-    """Per (model, page): ned, similarity, bleu, struct_f1."""
+def eval_scores(refs: DataFrame, preds: DataFrame, page_key=PAGE_KEY, detail: bool = False, scorers=None) -> DataFrame:
+    """Per (model, page): ned, similarity, bleu, struct_f1; with ``scorers`` (``scorers.Scorers``) a column each of them."""
     k = list(page_key)
+    if scorers is not None:
+        return score_all(spread(eval_pairs(refs, preds, k), ["model", *k]), ["model", *k], scorers)
     return score_pairs(spread(eval_pairs(refs, preds, k), ["model", *k]), ["model", *k], detail=detail)
 
 
-def eval_summary(scores: DataFrame, group=("model", "lang", "book")) -> DataFrame:
-    """Count and mean scores per group (the batch report's closing lines)."""
+def eval_summary(scores: DataFrame, group=("model", "lang", "book"), scorers=None) -> DataFrame:
+    """Count and mean scores per group (the batch report's closing lines), or each scorer's corpus score."""
     g = list(group)
+    if scorers is not None:
+        return summary_of(scores, scorers, g)
     return scores.groupBy(*g).agg(
         F.count("*").alias("n_pages"),
         F.bround(F.avg("ned"), 4).alias("avg_ned"),
@@ -73,11 +78,13 @@ def corpus_scores(scores: DataFrame, group=("model",)) -> DataFrame:
     )
 
 
-def model_ranking(scores: DataFrame, group=("lang",)) -> DataFrame:
-    """Per group and metric: models ranked best first, using each metric's direction."""
+def model_ranking(scores: DataFrame, group=("lang",), scorers=None) -> DataFrame:
+    """Per group and metric: models ranked best first, using each metric's (or scorer's) direction."""
     from pyspark.sql import Window
 
     g = list(group)
+    if scorers is not None:
+        return ranking_of(scores, scorers, g)
     metrics = [m for m, *_ in METRIC_META if m in scores.columns]
     means = scores.groupBy("model", *g).agg(*[F.avg(m).alias(m) for m in metrics])
     stacked = means.select("model", *g, F.explode(F.array(*[

@@ -396,6 +396,54 @@ def q_model_ranking(spark, sf):
     return E.model_ranking(_scores(spark, sf))
 
 
+# ---------------------------------------------------------------- scorers of a user
+
+RATIO = "coalesce(least(length(ref), length(hyp)) / nullif(greatest(length(ref), length(hyp)), 0), 1.0)"
+
+
+def _user_scorers(spark):
+    """Two metrics of score_pairs, one SQL function and one Column of line sets."""
+    from folio.operators import scorers as SC
+
+    def same_lines(ref, hyp):
+        a, b = F.split(ref, "\n"), F.split(hyp, "\n")
+        return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+
+    ratio = SC.sql_scorer(SC.expose(spark, "length_ratio", RATIO), places=6)
+    return SC.Scorers(["ned", "struct_f1"]).add(ratio).add(SC.Scorer("line_share", score=same_lines))
+
+
+def _exact_mean(m):
+    return f"CAST(sum(CAST({m} AS DECIMAL(24,12))) AS DOUBLE) / count({m})"
+
+
+def _user_scores_sql(select):
+    return _eval_sql(f"""SELECT * FROM (WITH us AS (SELECT model, lang, book, page, s.ned, s.struct_f1, {RATIO} AS length_ratio,
+    len(list_intersect(string_split(ref, chr(10)), string_split(hyp, chr(10))))
+      / len(list_distinct(list_concat(string_split(ref, chr(10)), string_split(hyp, chr(10))))) AS line_share
+  FROM scores s JOIN pairs p USING (model, lang, book, page)) {select})""")
+
+
+@register("scorer_summary", lambda: _user_scores_sql("SELECT model, lang, book, count(*) AS n_pages, " + ", ".join(
+    f"count({m}) AS n_{m}, round_even({_exact_mean(m)}, {k}) AS corpus_{m}" for m, k in (("ned", 4), ("struct_f1", 4), ("length_ratio", 6), ("line_share", 4)))
+    + " FROM us GROUP BY ALL"))
+def q_scorer_summary(spark, sf):
+    scorers = _user_scorers(spark)
+    refs, preds = _inputs(spark, sf)
+    return E.eval_summary(E.eval_scores(refs, preds, scorers=scorers), scorers=scorers)
+
+
+@register("scorer_ranking", lambda: _user_scores_sql(
+    "SELECT model, lang, metric, value, higher_is_better, row_number() OVER (PARTITION BY lang, metric ORDER BY "
+    "CASE WHEN higher_is_better THEN -value ELSE value END, model) AS rank FROM (" + " UNION ALL ".join(
+        f"SELECT model, lang, '{m}' AS metric, round_even({_exact_mean(m)}, 6) AS value, {b} AS higher_is_better FROM us GROUP BY ALL"
+        for m, b in (("ned", "false"), ("struct_f1", "true"), ("length_ratio", "true"), ("line_share", "true"))) + ")"))
+def q_scorer_ranking(spark, sf):
+    scorers = _user_scorers(spark)
+    refs, preds = _inputs(spark, sf)
+    return E.model_ranking(E.eval_scores(refs, preds, scorers=scorers), scorers=scorers)
+
+
 # ---------------------------------------------------------------- cleaning
 
 from folio.functions import clean as CL  # noqa: E402
@@ -573,8 +621,9 @@ def q_catalog_candidates(spark, sf):
     return c.withColumn("authors", F.array_join("authors", "; "))
 
 
-@register("greedy_embedding_match", lambda: """WITH tv AS (
-  SELECT vec_id // 16 AS pair_id, CASE WHEN vec_id % 2 = 0 THEN 'ref' ELSE 'hyp' END AS side, vec_id,
+def _embedding_sql(size):
+    return f"""WITH tv AS (
+  SELECT vec_id // {size} AS pair_id, CASE WHEN vec_id % 2 = 0 THEN 'ref' ELSE 'hyp' END AS side, vec_id,
          CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 sims AS (
   SELECT h.pair_id, h.vec_id AS hid, r.vec_id AS rid,
@@ -586,7 +635,10 @@ cnt AS (SELECT pair_id, count(*) FILTER (WHERE side = 'ref') AS n_ref, count(*)
 SELECT c.pair_id, c.n_ref, c.n_hyp, round_even(coalesce(p, 0.0), 6) AS precision, round_even(coalesce(r, 0.0), 6) AS recall,
   CASE WHEN n_ref = 0 AND n_hyp = 0 THEN 1.0 WHEN n_ref = 0 OR n_hyp = 0 THEN 0.0 WHEN p + r = 0 THEN 0.0
        ELSE round_even(2 * p * r / (p + r), 6) END AS bert_f1
-FROM cnt c LEFT JOIN pr USING (pair_id) LEFT JOIN rc USING (pair_id)""")
+FROM cnt c LEFT JOIN pr USING (pair_id) LEFT JOIN rc USING (pair_id)"""
+
+
+@register("greedy_embedding_match", lambda: _embedding_sql(16))
 def q_greedy_embedding_match(spark, sf):
     e = fx.table(spark, sf, "embeddings")
     tv = e.select(F.floor(F.col("vec_id") / 16).cast("bigint").alias("pair_id"),
@@ -597,6 +649,16 @@ def q_greedy_embedding_match(spark, sf):
                     F.bround("recall", 6).alias("recall"), "bert_f1")
 
 
+@register("tiled_embedding_match", lambda: _embedding_sql(512))
+def q_tiled_embedding_match(spark, sf):
+    """The same match over long pairs, in tiles of about 64 vectors."""
+    from folio.operators.embed_match import tiled_embedding_match
+    tv = fx.table(spark, sf, "embeddings").select(F.floor(F.col("vec_id") / 512).cast("bigint").alias("pair_id"),
+                                                  F.when(F.col("vec_id") % 2 == 0, "ref").otherwise("hyp").alias("side"), F.col("embedding").alias("vec"))
+    m = tiled_embedding_match(tv, ["pair_id"], tile=64)
+    return m.select("pair_id", "n_ref", "n_hyp", F.bround("precision", 6).alias("precision"), F.bround("recall", 6).alias("recall"), "bert_f1")
+
+
 @register("corpus_embedding", lambda: f"""SELECT count(*) AS n_pairs, coalesce(round_even(avg(bert_f1), 4), 0.0) AS corpus_bert_f1
 FROM ({REGISTRY["greedy_embedding_match"][1]()})""")
 def q_corpus_embedding(spark, sf):
