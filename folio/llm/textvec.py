@@ -5,12 +5,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from folio.llm.common import WHITE
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 PIECE = 1 << 20
+LONG = 256      # bytes; sums modulo 2^64 of longer spans can be equal by construction (Thue-Morse words)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -56,7 +58,7 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def span_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes; spans in order of their starts."""
+    """A 64-bit hash of each span of bytes; spans in order of their starts. Spans of more than LONG bytes get XXH3."""
     out = np.zeros(len(s), np.uint64)
     at = 0
     while at < len(s):
@@ -69,6 +71,8 @@ def span_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         np.cumsum((buf[lo:hi].astype(np.uint64) + np.uint64(1)) * up[: hi - lo], out=total[1:])
         out[at:to] = mix64((total[e[at:to] - lo] - total[s[at:to] - lo]) * down[s[at:to] - lo])
         at = to
+    for i in np.flatnonzero(e - s > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(buf[s[i]:e[i]].tobytes(), seed=42)
     return out
 
 

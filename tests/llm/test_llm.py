@@ -426,6 +426,16 @@ def test_fertility_counts():
     assert fertility.measure(["漢字仮名".encode() * 10])["script"] == ["cjk"]
 
 
+def test_long_words_built_to_collide_differ():
+    """Thue-Morse words have equal polynomial hashes modulo 2^64; they are different words."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    two = one.translate(str.maketrans("ab", "ba"))
+    got = fertility.measure([" ".join([one, "x", "y", "z", "q", two, "x", "y", "z", "q"]).encode()])
+    assert got["n_words"][0] == 10 and got["n_repeat_words"][0] == 0
+    got = fertility.measure([" ".join([one, "x", "y", "z", "q"] * 2).encode()])
+    assert got["n_repeat_words"][0] == 10
+
+
 def test_fertility_keeps_clean_documents(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
