@@ -749,6 +749,52 @@ def q_catalog_files(spark, sf):
     return c.withColumn("authors", F.array_join("authors", "; "))
 
 
+def _land_pages(spark, sf, root, pages=None, odd=True):
+    """The catalog as JSON lines with ``next`` links; with ``odd`` a book whose id is a multiple of 7 has a number
+    for its title, one of 4 a further field, and every page is followed by its first 30 characters, cut off."""
+    raw = fx.catalog_raw(spark, sf)
+    book = F.to_json(F.struct("id", "title", "authors", "languages", "formats"))
+    if odd:
+        book = F.when(F.col("id") % 7 == 0, F.to_json(F.struct("id", F.col("id").alias("title"), "authors", "languages", "formats"))).when(
+            F.col("id") % 4 == 0, F.to_json(F.struct("id", "title", "authors", "languages", "formats", F.struct("pos").alias("extra")))).otherwise(book)
+    books = raw.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("pos", book.alias("b")))).alias("bs"))
+    last = raw.agg(F.max("page")).first()[0]
+    link = F.when(F.col("page") < F.lit(last), F.concat(F.lit('"https://books.example/?page='), (F.col("page") + 1).cast("string"), F.lit('"'))).otherwise("null")
+    page = F.concat(F.lit('{"page": '), F.col("page").cast("string"), F.lit(', "next": '), link, F.lit(', "results": ['),
+                    F.array_join(F.transform("bs", lambda x: x["b"]), ", "), F.lit("]}"))
+    lines = (books if pages is None else books.filter(pages)).select(page.alias("value"))
+    if odd:
+        lines = lines.select(F.explode(F.array("value", F.substring("value", 1, 30))).alias("value"))
+    lines.write.text(root)
+
+
+@register("catalog_landed", lambda: f"""SELECT * REPLACE (CASE WHEN book_id % 7 = 0 THEN NULL ELSE title END AS title)
+FROM ({REGISTRY['catalog_candidates'][1]()})""")
+def q_catalog_landed(spark, sf):
+    """Candidates from pages with mistyped, further and unreadable parts."""
+    from folio.sources import landed as L
+    root = _run_dir(spark, sf, "landed")
+    _land_pages(spark, sf, root)
+    c = CAT.candidates(L.catalog_books(L.landed_pages(spark, root)))
+    return c.withColumn("authors", F.array_join("authors", "; "))
+
+
+@register("catalog_gaps", lambda: """WITH b AS (SELECT id, row_number() OVER (PARTITION BY lang ORDER BY id) - 1 AS r
+  FROM (SELECT lang, source, min(doc_id) AS id FROM documents GROUP BY lang, source)),
+p AS (SELECT DISTINCT page FROM (SELECT r // 8 + 1 AS page FROM b UNION ALL SELECT r // 8 + 2 FROM b WHERE id % 5 = 0)),
+here AS (SELECT page FROM p WHERE page % 3 <> 0)
+SELECT page + 1 AS page, 'not landed' AS what, 1 AS n FROM here WHERE page < (SELECT max(page) FROM p) AND page + 1 NOT IN (SELECT page FROM here)
+UNION ALL SELECT NULL, 'no JSON', count(*) FROM here HAVING count(*) > 0""")
+def q_catalog_gaps(spark, sf):
+    """What is missing of a catalog of which every third page did not land."""
+    from folio.sources import landed as L
+    root = _run_dir(spark, sf, "gaps")
+    _land_pages(spark, sf, root, F.col("page") % 3 != 0)
+    pages = L.landed_pages(spark, root)
+    gone = L.missing_pages(pages).select("page", F.lit("not landed").alias("what"))
+    return gone.unionByName(L.landed_errors(pages).select("page", F.col("error").alias("what"))).groupBy("page", "what").agg(F.count("*").alias("n"))
+
+
 @register("md_files", lambda: _eval_sql("SELECT lang, book, page, md FROM refs"))
 def q_md_files(spark, sf):
     refs, _ = _inputs(spark, sf)
