@@ -814,6 +814,20 @@ def q_page_tree_files(spark, sf):
     return spark.read.format("page_tree").load(root)
 
 
+@register("bucketed_scores", lambda: REGISTRY["eval_scores"][1]())
+def q_bucketed_scores(spark, sf):
+    """The scores from tables bucketed by page, the second model written after the first."""
+    from folio.operators import layout as L
+    refs, preds = _inputs(spark, sf)
+    root = _run_dir(spark, sf, "buckets")
+    r, p = (f"{name}_{root.rsplit('-', 1)[1]}" for name in ("folio_refs", "folio_preds"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    L.write_references(refs, r, f"{root}/refs", buckets)
+    for model in MODELS:
+        L.write_predictions(preds, p, f"{root}/preds", buckets, [model])
+    return L.bucketed_scores(spark, r, p).withColumn("bleu", F.bround("bleu", 6))
+
+
 @register("incremental_scores", lambda: _eval_sql(
     f"SELECT model, lang, book, page, ned, similarity, round_even(bleu, 6) AS bleu, struct_f1 FROM scores "
     ""))
