@@ -11,7 +11,7 @@ Conversations are never gathered: a turn is a row, and the digests read sorted r
 as a stream.
 
 Defined results: null role or text is empty; turns of equal number are ordered by
-role and text; repeated rows are turns of their own; a null conv_id is a
+a 64-bit hash of role and text; repeated rows are turns of their own; a null conv_id is a
 conversation; empty tables stay empty; further columns are ignored.
 """
 
