@@ -13,8 +13,8 @@ from the next sample:
 3. Recursion. Where equal cores have different contexts, the run of windows is cut into
    four and named again, with longer cores and shorter contexts, down to the single
    string.
-4. Merge and comparison. In every class of equal names the first member (doc_id,
-   position) stays; the windows of all others are repeats, and their bytes go.
+4. Merge and comparison. In every class of equal names the first member (doc_id, digest of
+   the text, position) stays; the windows of all others are repeats, and their bytes go.
 
 ``cover="content"`` (default) samples the least hash of every window, 2.9 % of all
 positions. ``cover="modular"`` is the textbook difference cover modulo 73 (9 residues,
@@ -28,8 +28,7 @@ a skewed key of plain rows; no group is ever gathered.
 
 Defined results: null text is empty; texts below ``length`` lose nothing; null ids come
 last; rows equal in id and text are one document (each keeps what the first keeps);
-rows of equal id and different text count as one place, so they may or may not remove
-each other's copies; an empty table stays empty; further columns are ignored.
+rows of equal (or null) id and different text are ordered by a 64-bit digest of the text; an empty table stays empty; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -123,7 +122,7 @@ def _held(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _first_names(length: int, cover: str):
+def _first_names(length: int, cover: str, shared):
     def run(batches):
         for b in batches:
             ids, cores, fulls = b.column(0).to_numpy(), [], []
@@ -135,7 +134,8 @@ def _first_names(length: int, cover: str):
                 fulls.append(full[new])
                 size[i] = new.sum()
             c, f = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (cores, fulls))
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(f.view(np.int64)), pa.array(np.repeat(ids, size))], ["core", "full", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(f.view(np.int64)), pa.array(np.repeat(ids, size)),
+                                             pa.array(np.repeat(_held(shared.value, ids.astype(np.int64).view(np.uint64)), size))], ["core", "full", "doc_id", "tie"])
     return run
 
 
@@ -195,9 +195,12 @@ def repeated_windows(docs: DataFrame, length: int = 100, cover: str = "content")
     docs: doc_id long (not null), key long, text. Repeats inside of one text whose sample
     has the same context are left to the reader of the text."""
     spark, r = docs.sparkSession, reach(length, cover)
-    names = docs.select("doc_id", "text").mapInArrow(_first_names(length, cover), "core long, full long, doc_id long")
-    cores = names.groupBy("core").agg(F.count("*").alias("n"), F.min("full").alias("f0"), F.max("full").alias("f1"), F.min("doc_id").alias("d0"))
-    cores = written(cores.filter("n > 1").select("core", (F.col("f0") != F.col("f1")).alias("mixed"), "d0"), "cores")
+    # ids of several texts: there the order within the id decides, so their cores are compared member by member
+    ids = docs.groupBy("doc_id").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1")
+    shared = spark.sparkContext.broadcast(bitmap(ids, "doc_id"))
+    names = docs.select("doc_id", "text").mapInArrow(_first_names(length, cover, shared), "core long, full long, doc_id long, tie boolean")
+    cores = names.groupBy("core").agg(F.count("*").alias("n"), F.min("full").alias("f0"), F.max("full").alias("f1"), F.min("doc_id").alias("d0"), F.max("tie").alias("tie"))
+    cores = written(cores.filter("n > 1").select("core", ((F.col("f0") != F.col("f1")) | F.col("tie")).alias("mixed"), "d0"), "cores")
     again = spark.sparkContext.broadcast(bitmap(cores, "core"))
     mixed = spark.sparkContext.broadcast(bitmap(cores.filter("mixed"), "core"))
     rows = docs.select("doc_id", "key", "text").mapInArrow(_members(length, cover, again, mixed), MEMBER).join(cores, "core")
@@ -206,10 +209,10 @@ def repeated_windows(docs: DataFrame, length: int = 100, cover: str = "content")
     level = rows.filter("mixed").select(*MEMBER.replace(" long", "").replace(" binary", "").split(", ")).withColumns({"a": F.lit(0).cast("long"), "b": F.lit(r - 1).cast("long")})
     size = r
     while True:
-        place = F.struct("doc_id", "p")
+        place = F.struct("doc_id", "key", "p")
         classes = level.groupBy("core", "full").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-        shared = classes.groupBy("core").agg(F.sum("n").alias("core_n"), F.count("*").alias("contexts")).filter("core_n > 1")
-        classes = classes.join(shared, "core").select("core", "full", "first", "contexts")
+        several = classes.groupBy("core").agg(F.sum("n").alias("core_n"), F.count("*").alias("contexts")).filter("core_n > 1")
+        classes = classes.join(several, "core").select("core", "full", "first", "contexts")
         # the rows with their bytes move once; those that are decided leave their bytes behind
         ruled = level.join(classes, ["core", "full"]).withColumn("later", place > F.col("first")).filter("later or contexts > 1")
         ruled = written(ruled.withColumn("bytes", F.when(~F.col("later"), F.col("bytes"))).drop("core", "full", "first", "contexts"), f"level{size}")

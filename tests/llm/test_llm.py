@@ -171,6 +171,20 @@ def test_suffix_dedup_matches_brute_force(spark, cover):
     assert got == slow_repeats(enumerate(texts), 100)
 
 
+def test_suffix_dedup_orders_equal_and_null_ids(spark):
+    r = random.Random(8)
+    pool = [prose(300 + i, 40) for i in range(5)]
+    rows = [(r.choice([None, None, 7, 7, i]), prose(5000 + i, r.randint(0, 9)) + "".join(x[r.randrange(20):] for x in r.choices(pool, k=r.randint(1, 4)))) for i in range(30)]
+    rows += [rows[0], (7, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = [x.k for x in df.select(suffix_dedup.digest_key("text").alias("k")).collect()]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, keys[i]))
+    want = slow_repeats([(i, rows[i][1]) for i in order if i != 30], 100)        # row 30 is row 0 again: one document
+    want[30] = want[0]
+    got = sorted((str(x.doc_id), bytes(x.kept)) for x in suffix_dedup.dedup_suffixes(df).collect())
+    assert got == sorted((str(rows[i][0]), want[i]) for i in want)
+
+
 def test_suffix_dedup_pieces_and_odd_rows(spark, monkeypatch):
     t = (prose(1, 300) + prose(2, 50) + prose(1, 200)).encode()
     whole = suffix_dedup.samples(t)
