@@ -63,6 +63,17 @@ def names(folder: str, wanted) -> list[str]:
     return sorted(n for n in os.listdir(folder) if not n.startswith(HIDDEN)) if os.path.isdir(folder) else []
 
 
+def pages_in(folder: str, wanted, suffix: str) -> list[tuple]:
+    """(name, path, size) of the page files of a folder, in order; one pass over it, or a look at each wanted name."""
+    if wanted is not None:
+        at = ((n, os.path.join(folder, n)) for n in names(folder, wanted))
+        return [(n, p, os.path.getsize(p)) for n, p in at if n.endswith(suffix) and os.path.isfile(p)]
+    if not os.path.isdir(folder):
+        return []
+    with os.scandir(folder) as found:
+        return sorted((e.name, e.path, e.stat().st_size) for e in found if not e.name.startswith(HIDDEN) and e.name.endswith(suffix) and e.is_file())
+
+
 class PageTreeReader(DataSourceReader):
     def __init__(self, root: str, inner: str, suffix: str, size: int, open_cost: int):
         self.root, self.inner, self.suffix, self.size, self.open_cost = root, inner, suffix, size, open_cost
@@ -81,10 +92,8 @@ class PageTreeReader(DataSourceReader):
         for lang in names(self.root, self.wanted.get("lang")):
             for book in names(os.path.join(self.root, lang), self.wanted.get("book")):
                 folder = os.path.join(self.root, lang, book, self.inner) if self.inner else os.path.join(self.root, lang, book)
-                for page in names(folder, self.wanted.get("page")):
-                    at = os.path.join(folder, page)
-                    if page.endswith(self.suffix) and os.path.isfile(at):
-                        yield lang, book, page, at, os.path.getsize(at)
+                for page, at, n in pages_in(folder, self.wanted.get("page"), self.suffix):
+                    yield lang, book, page, at, n
 
     def partitions(self):
         out, held, size = [], [], 0
@@ -98,8 +107,8 @@ class PageTreeReader(DataSourceReader):
 
     def read(self, partition):
         for lang, book, page, at in partition.rows:
-            with open(at, encoding="utf-8", newline="") as f:
-                yield lang, book, page, f.read()
+            with open(at, "rb") as f:
+                yield lang, book, page, f.read().decode()
 
 
 class PageTreeWriter(DataSourceWriter):
@@ -112,11 +121,12 @@ class PageTreeWriter(DataSourceWriter):
         moves = []
         for i, row in enumerate(rows):
             lang, book, page = (safe_name(row[k]) for k in KEYS)
-            part = os.path.join(folder, str(i // 1000))
-            os.makedirs(part, exist_ok=True)
+            if i % 1000 == 0:
+                part = os.path.join(folder, str(i // 1000))
+                os.makedirs(part, exist_ok=True)
             at = os.path.join(part, str(i))
-            with open(at, "w", encoding="utf-8", newline="") as f:
-                f.write(row["md"] or "")
+            with open(at, "wb") as f:
+                f.write((row["md"] or "").encode())
             moves.append((at, lang, book, page))
         return Written(folder, tuple(moves))
 
@@ -134,10 +144,13 @@ class PageTreeWriter(DataSourceWriter):
         if self.overwrite:
             for lang, book, page, at, _ in list(PageTreeReader(self.root, self.inner, "", 1, 0).listed()):
                 os.remove(at)
+        folders: dict[tuple, str] = {}                                    # each is made once, not once a page
         for m in messages:
             for at, lang, book, page in m.moves if m else ():
-                folder = os.path.join(self.root, lang, book, self.inner) if self.inner else os.path.join(self.root, lang, book)
-                os.makedirs(folder, exist_ok=True)
+                folder = folders.get((lang, book))
+                if folder is None:
+                    folder = folders[lang, book] = os.path.join(self.root, lang, book, self.inner) if self.inner else os.path.join(self.root, lang, book)
+                    os.makedirs(folder, exist_ok=True)
                 os.replace(at, os.path.join(folder, page))                # whole files only, even under a reader's eyes
         self._clear()
 

@@ -97,3 +97,26 @@ def test_empty_tree(spark, tmp_path):
     assert files(str(tmp_path)) == []
     with pytest.raises(Exception):
         spark.createDataFrame([("x",)], "lang string").write.format("page_tree").mode("append").save(str(tmp_path))
+
+
+def test_driver_works_once_a_folder(tmp_path, monkeypatch):
+    rows = [{"lang": "it", "book": f"b{i % 3}", "page": f"page_{i:04d}.md", "md": "è" * (i % 4) if i % 5 else None} for i in range(2100)]
+    calls = []
+
+    def counted(name, fn):
+        return lambda *a, **b: calls.append(name) or fn(*a, **b)
+
+    monkeypatch.setattr(PT.os, "makedirs", counted("makedirs", os.makedirs))
+    monkeypatch.setattr(PT.os.path, "getsize", counted("getsize", os.path.getsize))
+    monkeypatch.setattr(PT.os.path, "isfile", counted("isfile", os.path.isfile))
+    writer = PT.PageTreeWriter(str(tmp_path), "pages", False)
+    writer.commit([writer.write(iter(rows[:1500])), None, writer.write(iter([*rows[1500:], {**rows[0], "md": "last"}]))])
+    assert calls.count("makedirs") < 30
+    calls.clear()
+    reader = PT.PageTreeReader(str(tmp_path), "pages", ".md", 64 << 20, 1 << 16)
+    parts = reader.partitions()
+    assert not calls
+    got = {(book, page): md for p in parts for _, book, page, md in reader.read(p)}
+    assert got == {(r["book"], r["page"]): r["md"] or "" for r in rows} | {("b0", "page_0000.md"): "last"}
+    os.makedirs(tmp_path / "it" / "b0" / "pages" / "folder.md")
+    assert sum(len(p.rows) for p in reader.partitions()) == len(rows)
