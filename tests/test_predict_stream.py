@@ -31,6 +31,33 @@ def test_batches_carry_the_model(spark):
     assert all(r.page.endswith(".md") for r in out)
 
 
+def test_batches_are_runs_of_sorted_rows():
+    import pandas as pd
+
+    rows = pd.DataFrame({"model": ["m", "m", "m", None, None, "n"], "book": ["a", "a", None, None, None, None], "batch": [0, 0, 0, 0, 1, 1]})
+    assert P.batch_ends(rows, ["model", "book", "batch"]) == [2, 3, 4, 5, 6]
+    assert P.batch_ends(rows[1:2], ["model", "book", "batch"]) == [1]
+
+
+def test_batches_that_arrow_cuts_stay_whole(spark):
+    from folio.operators import predict
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    try:
+        schema = "model string, lang string, book string, page string, pos bigint, batch bigint"
+        rows = [(m, "it", b, f"page_{i:04d}.jpg", i + 1, i // 8) for m in ("x/m1", None) for b in ("b", None) for i in range(21)]
+        made = spark.createDataFrame(rows, schema).withColumn("messages", P.chat_messages(F.col("page"), F.lit("p")))
+        out = predict.predict_batches(made, model_fn=lambda ms: [f"{len(ms)} {i}" if i else None for i in range(len(ms))]).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(out) == len(rows)
+    for r in out:
+        i = int(r.page[5:9])
+        assert r.md == (f"{(8, 8, 5)[i // 8]} {i % 8}" if i % 8 else "") and r.batch == i // 8
+
+
 def test_prediction_sink(spark, tmp_path):
     p = spark.createDataFrame([("x/m1", "it", "b", "page_0001.md", "t")], PRED).withColumn("model_slug", P.model_slug("model"))
     P.write_predictions(p, str(tmp_path / "out"))
