@@ -123,3 +123,15 @@ def test_stream_keeps_one_store_a_partition(spark, tmp_path):
     assert sorted(r.page for r in read_scores(spark, out).filter("ned = 0").collect()) == [f"p{i}" for i in range(4)]
     stores = [p for p in (tmp_path / "ckpt" / "state" / "0" / "0").iterdir() if p.is_dir() and not p.name.startswith("_")]
     assert len(stores) <= 1                                 # format 2: four folders, one for each store
+
+
+def test_elements_are_made_on_all_partitions(spark):
+    from folio.operators import evaluate as E
+
+    refs = spark.createDataFrame([("it", "b", f"p{i}", f"# T {i}\n\n- a\n- a") for i in range(6)], "lang string, book string, page string, md string")
+    preds = spark.createDataFrame([("m", "it", "b", f"p{i}", "- a") for i in range(6)], "model string, lang string, book string, page string, md string")
+    found = E.eval_elements(refs, preds)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert sorted((r.page, r.side, r.type, r.token, r.cnt) for r in found.collect() if r.page == "p1") == [
+        ("p1", "hyp", "list_items", "a", 1), ("p1", "ref", "headings", "1:t 1", 1), ("p1", "ref", "list_items", "a", 2)]
