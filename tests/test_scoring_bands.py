@@ -46,3 +46,26 @@ def test_unequal_pairs_share_a_step_a_column():
     one = [D.edit_distance(a, b) for a, b in pairs]
     alone = time.process_time() - began
     assert many == one and took < 0.4 * alone, (took, alone)
+
+
+def test_patterns_without_a_lazy_loop_find_the_same(spark):
+    from pyspark.sql import functions as F
+
+    from folio.functions import markdown as MD
+    from folio.functions import text as T
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("***$$ab\n \t\r😀") for _ in range(rng.randrange(24))) for _ in range(4000)]
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    lazy = {MD.RE_MATH_BLOCK: r"(?s)\$\$(.*?)\$\$", MD.RE_MATH_INLINE: r"\$([^\$\n]+?)\$", MD.RE_BOLD_ITALIC: r"(?s)\*{3}(.+?)\*{3}",
+            MD.RE_BOLD: r"(?s)\*{2}(.+?)\*{2}", MD.RE_ITALIC: r"\*([^*\n]+)\*"}
+    assert all("?)" not in p for p in lazy)
+    for now, before in lazy.items():
+        a, b = (F.struct(F.regexp_extract_all("t", F.lit(p), 1), F.regexp_replace("t", p, "<$1>")) for p in (now, before))
+        assert df.filter(a != b).count() == 0
+    odd = F.col("t").rlike(T.ODD_SPACE)
+    assert df.filter(T.normalise_token("t") != T.normalise_token("t", odd)).count() == 0 < df.filter(odd).count() < len(texts)
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("t", "\r\n|\r", "\n"), r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    assert df.filter(T.normalise("t") != T.py_strip(plain)).count() == 0
+    spaces = spark.createDataFrame([(c,) for c in map(chr, range(1, 0x3100)) if c not in " \n"], "c string")
+    assert {r.c for r in spaces.filter(F.col("c").rlike(T.ODD_SPACE)).collect()} == set(T.PY_WHITESPACE) - set(" \n")
