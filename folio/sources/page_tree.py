@@ -4,12 +4,13 @@
 such rows under exactly these names. Predictions leave ``pages`` out: option ``inner=""``.
 
 Reading: the driver lists names and sizes only and packs the files into partitions of about ``partitionBytes`` (64 MB,
-each file counted with ``openCost`` bytes more), in path order; a task opens its files one by one. Equality and IN filters on
+each file counted with ``openCost`` bytes more), in path order; a task opens its files one by one. A partition holds its names
+packed, so the driver holds some bytes a file. Equality and IN filters on
 lang, book and page cut the listing itself, so other folders aren't even listed. A
 listing of more files than fit a driver's memory belongs into a table (``files.write_pages``).
 
-Writing: each task writes its files under a hidden folder of its attempt and names them in its commit message; the driver's
-commit renames them into place. A task that fails or runs twice leaves nothing under the tree: what isn't committed is
+Writing: each task writes its files under a hidden folder of its attempt, with a list of their names beside them; the driver's
+commit reads the lists line by line and renames the files into place. A task that fails or runs twice leaves nothing under the tree: what isn't committed is
 removed. ``overwrite`` replaces the pages of the tree, ``append`` the pages of the same name. Names that would leave their folder
 (empty, ``.``, ``..``, with a slash or null) are refused. Texts are written as they are, UTF-8; a null text as an empty file.
 
@@ -19,9 +20,12 @@ object stores use the table form.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+import zlib
 from dataclasses import dataclass
+from itertools import chain, groupby
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition, WriterCommitMessage)
@@ -29,17 +33,27 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWrit
 SCHEMA = "lang string, book string, page string, md string"
 KEYS = ("lang", "book", "page")
 HIDDEN = "."
+NAMES = "names"                       # list of an attempt's files, a line each
 
 
 @dataclass
 class Files(InputPartition):
-    rows: tuple
+    packed: bytes
+
+    @classmethod
+    def of(cls, held):
+        """Of (lang, book, page) in path order: each folder once, with its names."""
+        folders = [(*k, [x[2] for x in g]) for k, g in groupby(held, lambda x: x[:2])]
+        return cls(zlib.compress(json.dumps(folders).encode()))
+
+    @property
+    def rows(self) -> list[tuple]:
+        return [(lang, book, page) for lang, book, pages in json.loads(zlib.decompress(self.packed)) for page in pages]
 
 
 @dataclass
 class Written(WriterCommitMessage):
     folder: str
-    moves: tuple
 
 
 def local_path(path: str) -> str:
@@ -64,14 +78,14 @@ def names(folder: str, wanted) -> list[str]:
 
 
 def pages_in(folder: str, wanted, suffix: str) -> list[tuple]:
-    """(name, path, size) of the page files of a folder, in order; one pass over it, or a look at each wanted name."""
+    """(name, size) of the page files of a folder, in order; one pass over it, or a look at each wanted name."""
     if wanted is not None:
         at = ((n, os.path.join(folder, n)) for n in names(folder, wanted))
-        return [(n, p, os.path.getsize(p)) for n, p in at if n.endswith(suffix) and os.path.isfile(p)]
+        return [(n, os.path.getsize(p)) for n, p in at if n.endswith(suffix) and os.path.isfile(p)]
     if not os.path.isdir(folder):
         return []
     with os.scandir(folder) as found:
-        return sorted((e.name, e.path, e.stat().st_size) for e in found if not e.name.startswith(HIDDEN) and e.name.endswith(suffix) and e.is_file())
+        return sorted((e.name, e.stat().st_size) for e in found if not e.name.startswith(HIDDEN) and e.name.endswith(suffix) and e.is_file())
 
 
 class PageTreeReader(DataSourceReader):
@@ -88,26 +102,28 @@ class PageTreeReader(DataSourceReader):
             key = f.attribute[0]
             self.wanted[key] = values & self.wanted[key] if key in self.wanted else values
 
+    def folder(self, lang: str, book: str) -> str:
+        return os.path.join(self.root, lang, book, self.inner) if self.inner else os.path.join(self.root, lang, book)
+
     def listed(self):
         for lang in names(self.root, self.wanted.get("lang")):
             for book in names(os.path.join(self.root, lang), self.wanted.get("book")):
-                folder = os.path.join(self.root, lang, book, self.inner) if self.inner else os.path.join(self.root, lang, book)
-                for page, at, n in pages_in(folder, self.wanted.get("page"), self.suffix):
-                    yield lang, book, page, at, n
+                for page, n in pages_in(self.folder(lang, book), self.wanted.get("page"), self.suffix):
+                    yield lang, book, page, n
 
     def partitions(self):
         out, held, size = [], [], 0
-        for lang, book, page, at, n in self.listed():
+        for lang, book, page, n in self.listed():
             if held and size + n + self.open_cost > self.size:
-                out.append(Files(tuple(held)))
+                out.append(Files.of(held))
                 held, size = [], 0
-            held.append((lang, book, page, at))
+            held.append((lang, book, page))
             size += n + self.open_cost
-        return [*out, Files(tuple(held))] if held or not out else out
+        return [*out, Files.of(held)] if held or not out else out
 
     def read(self, partition):
-        for lang, book, page, at in partition.rows:
-            with open(at, "rb") as f:
+        for lang, book, page in partition.rows:
+            with open(os.path.join(self.folder(lang, book), page), "rb") as f:
                 yield lang, book, page, f.read().decode()
 
 
@@ -118,17 +134,21 @@ class PageTreeWriter(DataSourceWriter):
 
     def write(self, rows):
         folder = os.path.join(self.root, self.job, uuid.uuid4().hex)      # an attempt's own folder
-        moves = []
-        for i, row in enumerate(rows):
-            lang, book, page = (safe_name(row[k]) for k in KEYS)
-            if i % 1000 == 0:
-                part = os.path.join(folder, str(i // 1000))
-                os.makedirs(part, exist_ok=True)
-            at = os.path.join(part, str(i))
-            with open(at, "wb") as f:
-                f.write((row["md"] or "").encode())
-            moves.append((at, lang, book, page))
-        return Written(folder, tuple(moves))
+        rows = iter(rows)
+        first = next(rows, None)
+        if first is None:
+            return Written("")
+        os.makedirs(folder)
+        with open(os.path.join(folder, NAMES), "w") as listed:            # not in the commit message: the driver keeps all messages
+            for i, row in enumerate(chain([first], rows)):
+                lang, book, page = (safe_name(row[k]) for k in KEYS)
+                if i % 1000 == 0:
+                    part = os.path.join(folder, str(i // 1000))
+                    os.mkdir(part)
+                with open(os.path.join(part, str(i)), "wb") as f:
+                    f.write((row["md"] or "").encode())
+                listed.write(json.dumps([lang, book, page]) + "\n")
+        return Written(folder)
 
     def _clear(self):
         top = os.path.join(self.root, self.job)
@@ -141,17 +161,22 @@ class PageTreeWriter(DataSourceWriter):
             os.rmdir(top)
 
     def commit(self, messages):
+        tree = PageTreeReader(self.root, self.inner, "", 1, 0)
         if self.overwrite:
-            for lang, book, page, at, _ in list(PageTreeReader(self.root, self.inner, "", 1, 0).listed()):
-                os.remove(at)
+            for lang, book, page, _ in tree.listed():                     # a folder is listed before its pages go
+                os.remove(os.path.join(tree.folder(lang, book), page))
         folders: dict[tuple, str] = {}                                    # each is made once, not once a page
         for m in messages:
-            for at, lang, book, page in m.moves if m else ():
-                folder = folders.get((lang, book))
-                if folder is None:
-                    folder = folders[lang, book] = os.path.join(self.root, lang, book, self.inner) if self.inner else os.path.join(self.root, lang, book)
-                    os.makedirs(folder, exist_ok=True)
-                os.replace(at, os.path.join(folder, page))                # whole files only, even under a reader's eyes
+            if m is None or not m.folder:
+                continue
+            with open(os.path.join(m.folder, NAMES)) as listed:
+                for i, line in enumerate(listed):
+                    lang, book, page = json.loads(line)
+                    folder = folders.get((lang, book))
+                    if folder is None:
+                        folder = folders[lang, book] = tree.folder(lang, book)
+                        os.makedirs(folder, exist_ok=True)
+                    os.replace(os.path.join(m.folder, str(i // 1000), str(i)), os.path.join(folder, page))   # whole files only, even under a reader's eyes
         self._clear()
 
     def abort(self, messages):

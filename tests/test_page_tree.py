@@ -1,6 +1,7 @@
 """Page trees: exact names out and in, packing, pruning, failed tasks."""
 
 import os
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +121,18 @@ def test_driver_works_once_a_folder(tmp_path, monkeypatch):
     assert got == {(r["book"], r["page"]): r["md"] or "" for r in rows} | {("b0", "page_0000.md"): "last"}
     os.makedirs(tmp_path / "it" / "b0" / "pages" / "folder.md")
     assert sum(len(p.rows) for p in reader.partitions()) == len(rows)
+
+
+def test_driver_holds_few_bytes_a_file(tmp_path):
+    rows = [{"lang": "it", "book": f"b{i // 1500}", "page": f"page_{i:04d}\n.md" if i % 100 == 7 else f"page_{i:04d}.md", "md": "x"} for i in range(3000)]
+    writer = PT.PageTreeWriter(str(tmp_path), "pages", False)
+    messages = [writer.write(iter(rows)), writer.write(iter([]))]
+    assert len(pickle.dumps(messages)) < 1000                # names are on disk, not in the commit message
+    writer.commit(messages)
+    assert not [n for n in os.listdir(tmp_path) if n != "it"]
+    parts = PT.PageTreeReader(str(tmp_path), "pages", ".md", 64 << 20, 1 << 16).partitions()
+    assert len(pickle.dumps(parts)) < 10 * len(rows)
+    assert [x for p in parts for x in p.rows] == sorted((r["lang"], r["book"], r["page"]) for r in rows)
+    again = PT.PageTreeWriter(str(tmp_path), "pages", True)
+    again.commit([again.write(iter(rows[:3]))])
+    assert len(files(str(tmp_path))) == 3
